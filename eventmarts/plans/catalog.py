@@ -205,7 +205,7 @@ def q_active_users_rj(m: Model):
     return marts.active_users(m.fct_events(), method="range_join")
 
 
-FCT_UE = "SELECT user_id, source, event_date FROM fct_events"
+FCT_UE = O.FCT_UE
 
 
 @query("cohort_sizes", O.with_model(O.retention_sql(FCT_UE) + "SELECT * FROM cohort_sizes"))
@@ -229,3 +229,298 @@ def q_retention_orders(m: Model):
         F.col("o_custkey").cast("string").alias("user_id"), F.lit("orders").alias("source"),
         F.to_date("o_orderdate").alias("event_date"))
     return marts.retention(o)
+
+
+# --- reports ----------------------------------------------------------------
+
+from eventmarts.operators import quality, reports  # noqa: E402
+from eventmarts.session import shared_dir  # noqa: E402
+
+
+@query("list_sources", O.with_model("SELECT DISTINCT source FROM fct_events"))
+def q_list_sources(m: Model):
+    return reports.list_sources(m.fct_events())
+
+
+@query("overview_kpis", O.with_model("""
+, ek AS (SELECT source, CAST(count(*) AS BIGINT) AS total_events, min(event_date) AS min_date,
+                max(event_date) AS max_date FROM fct_events GROUP BY source),
+  sk AS (SELECT source, CAST(count(*) AS BIGINT) AS total_sessions FROM fct_sessions GROUP BY source)
+SELECT ek.source, ek.total_events, sk.total_sessions, ek.min_date, ek.max_date
+FROM ek JOIN sk ON ek.source = sk.source"""))
+def q_overview_kpis(m: Model):
+    fct = m.fct_events()
+    return reports.overview_kpis(fct, marts.session_fact(marts.sessions_from_fact(fct)))
+
+
+@query("event_mix", O.with_model(
+    "SELECT source, event_type, CAST(count(*) AS BIGINT) AS event_count "
+    "FROM fct_events GROUP BY source, event_type"))
+def q_event_mix(m: Model):
+    return reports.event_mix(m.fct_events())
+
+
+MATRIX_WEEKS = (0, 1, 2, 3, 4)
+
+
+@query("retention_matrix", O.with_model(O.retention_sql(FCT_UE) + "SELECT source, cohort_week, "
+       + ", ".join(f"max(CASE WHEN weeks_since_cohort = {w} THEN retention_rate END) AS w{w}"
+                   for w in MATRIX_WEEKS)
+       + " FROM mart_retention GROUP BY source, cohort_week"))
+def q_retention_matrix(m: Model):
+    return reports.retention_matrix(marts.retention(m.fct_events()), MATRIX_WEEKS)
+
+
+# --- quality ----------------------------------------------------------------
+
+DIRTY_SQL = """WITH """ + O.EV + """,
+d AS (
+  SELECT CAST(eid AS VARCHAR) AS event_id,
+         CASE WHEN et = 'purchase' THEN NULL ELSE CAST(uid AS VARCHAR) END AS user_id,
+         et AS event_type, ts AS event_timestamp
+  FROM (SELECT *, CASE et0 WHEN 'view' THEN 'page_view' WHEN 'error' THEN 'error_event'
+                  ELSE et0 END AS et FROM ev)),
+dirty AS (SELECT * FROM d UNION ALL SELECT * FROM d WHERE event_type = 'signup'),
+a AS (
+  SELECT count(*) AS n,
+         count(*) FILTER (WHERE event_id IS NULL) AS n1,
+         count(*) FILTER (WHERE user_id IS NULL) AS n2,
+         count(*) FILTER (WHERE event_type IS NULL) AS n3,
+         count(*) FILTER (WHERE event_timestamp IS NULL) AS n4,
+         count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN
+           ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')) AS bad,
+         count(DISTINCT coalesce(event_type, '<null>')) FILTER (WHERE event_type IS NULL OR
+           event_type NOT IN ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')) AS badv,
+         min(coalesce(event_type, '<null>')) FILTER (WHERE event_type IS NULL OR
+           event_type NOT IN ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')) AS bade
+  FROM dirty),
+dup AS (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS dup
+        FROM (SELECT event_id, count(*) AS c FROM dirty GROUP BY event_id)),
+f AS (SELECT *, CASE WHEN n1 > 0 THEN 'event_id' WHEN n2 > 0 THEN 'user_id'
+                     WHEN n3 > 0 THEN 'event_type' WHEN n4 > 0 THEN 'event_timestamp' END AS ff,
+             CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 WHEN n3 > 0 THEN n3
+                  WHEN n4 > 0 THEN n4 ELSE 0 END AS fn
+      FROM a, dup)
+SELECT 1 AS check_order, 'row_count_positive' AS "check", n > 0 AS passed,
+       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, 'rows=' || n AS detail FROM f
+UNION ALL
+SELECT 2, 'required_fields_not_null', ff IS NULL, CAST(fn AS BIGINT),
+       CASE WHEN ff IS NULL THEN '' ELSE fn || ' rows have a null ''' || ff || '''' END FROM f
+UNION ALL
+SELECT 3, 'event_type_values_valid', bad = 0, CAST(bad AS BIGINT),
+       CASE WHEN bad = 0 THEN '' ELSE badv || ' invalid values, e.g. ' || bade END FROM f
+UNION ALL
+SELECT 4, 'no_duplicate_event_ids', dup = 0, dup, dup || ' duplicate event_id values' FROM f"""
+
+
+@query("quality_report", DIRTY_SQL)
+def q_quality_report(m: Model):
+    return quality.bronze_checks(binding.dirty_stream_bronze(m.table("events")))
+
+
+@query("quality_report_clean", O.with_base("""
+, a AS (SELECT count(*) AS n FROM stg_hist),
+  dup AS (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS dup
+          FROM (SELECT event_id, count(*) AS c FROM stg_hist GROUP BY event_id))
+SELECT 1 AS check_order, 'row_count_positive' AS "check", n > 0 AS passed,
+       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, 'rows=' || n AS detail FROM a
+UNION ALL SELECT 2, 'required_fields_not_null', true, CAST(0 AS BIGINT), '' FROM a
+UNION ALL SELECT 3, 'event_type_values_valid', true, CAST(0 AS BIGINT), '' FROM a
+UNION ALL SELECT 4, 'no_duplicate_event_ids', dup = 0, dup, dup || ' duplicate event_id values'
+FROM dup"""))
+def q_quality_report_clean(m: Model):
+    return quality.bronze_checks(m.historical_bronze())
+
+
+def _mart_models(m: Model) -> dict[str, DataFrame]:
+    """All models for the declarative tests; the event fact is checkpointed
+    (reliable, to the shared folder) so the 38 tests do not each recompute
+    the session scan."""
+    shared_dir(m.spark, "ckpt")  # make sure a checkpoint folder is set
+    fct = m.fct_events().checkpoint()
+    sess = marts.session_fact(marts.sessions_from_fact(fct))
+    spine = marts.date_spine(fct)
+    return {
+        "stg_events_stream": m.stg_stream(), "stg_events_historical": m.stg_historical(),
+        "int_events_unioned": m.conformed(), "int_sessions": sess,
+        "int_sessionized_events": fct, "fct_events": fct, "fct_sessions": sess,
+        "dim_date": spine, "mart_funnel_analysis": marts.funnel(fct),
+        "mart_dau_wau_mau": marts.active_users(fct, spine), "mart_retention": marts.retention(fct),
+    }
+
+
+_CTE_OF = {
+    "stg_events_stream": "stg_stream", "stg_events_historical": "stg_hist",
+    "int_events_unioned": "conformed", "int_sessions": "int_sessions",
+    "int_sessionized_events": "fct_events", "fct_events": "fct_events",
+    "fct_sessions": "fct_sessions", "dim_date": "dim_date",
+    "mart_funnel_analysis": "mart_funnel", "mart_dau_wau_mau": "au",
+    "mart_retention": "mart_retention",
+}
+
+
+def _test_sql(model: str, test: str, col: str, arg) -> str:
+    t = _CTE_OF[model]
+    if test == "unique":
+        f = (f"(SELECT count(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING count(*) > 1))")
+    elif test == "not_null":
+        f = f"(SELECT count(*) FROM {t} WHERE {col} IS NULL)"
+    elif test == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in arg)
+        f = f"(SELECT count(DISTINCT {col}) FROM {t} WHERE {col} NOT IN ({vals}))"
+    else:
+        p, pc = arg
+        f = (f"(SELECT count(*) FROM {t} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {_CTE_OF[p]} p WHERE p.{pc} = c.{col}))")
+    return (f"SELECT '{model}' AS model, '{test}' AS test, '{col}' AS \"column\", "
+            f"{f} = 0 AS passed, CAST({f} AS BIGINT) AS failures")
+
+
+@query("model_tests", O.all_marts("\n UNION ALL ".join(_test_sql(*t) for t in quality.MODEL_TESTS)))
+def q_model_tests(m: Model):
+    return quality.run_model_tests(_mart_models(m))
+
+
+@query("reconcile_counts", O.with_model("""
+SELECT (SELECT count(*) FROM stg_stream) AS stream_rows,
+       (SELECT count(*) FROM stg_hist) AS historical_rows,
+       (SELECT count(*) FROM fct_events) AS fact_rows,
+       (SELECT count(*) FROM stg_stream) + (SELECT count(*) FROM stg_hist)
+         = (SELECT count(*) FROM fct_events) AS passed"""))
+def q_reconcile(m: Model):
+    return quality.reconcile_counts(m.stg_stream(), m.stg_historical(), m.fct_events())
+
+
+def _stream_bronze_arrival(m: Model) -> DataFrame:
+    return m.stream_bronze().withColumn("arrival", F.col("event_id").cast("long"))
+
+
+@query("cart_reconciliation", O.with_base("""
+, cart AS (SELECT session_id, round(sum(value * 1), 2) AS cart_total,
+                  CAST(count(*) AS BIGINT) AS cart_items
+           FROM stg_stream WHERE et = 'add_to_cart' GROUP BY session_id),
+  pur AS (SELECT session_id, arg_min(event_id, eid) AS purchase_event_id,
+                 arg_min(value, eid) AS total_amount, CAST(1 AS BIGINT) AS item_count
+          FROM stg_stream WHERE et = 'purchase' GROUP BY session_id)
+SELECT p.session_id, p.purchase_event_id, p.total_amount, p.item_count, c.cart_total, c.cart_items,
+       coalesce(coalesce(c.cart_total, 0.0) = p.total_amount
+                AND coalesce(c.cart_items, 0) = p.item_count, false) AS passed
+FROM pur p LEFT JOIN cart c ON p.session_id = c.session_id"""))
+def q_cart(m: Model):
+    b = _stream_bronze_arrival(m)
+    cart = staging.cart_items(b)
+    pur = staging.purchases(b).join(b.select("event_id", "arrival"), "event_id")
+    return quality.cart_reconciliation(cart, pur, "arrival")
+
+
+@query("session_time_order", O.with_base("""
+, o AS (SELECT session_id, event_timestamp < lag(event_timestamp) OVER (
+                 PARTITION BY session_id ORDER BY eid) AS bad FROM stg_stream)
+SELECT session_id, CAST(count(*) AS BIGINT) AS events,
+       CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS out_of_order,
+       sum(CASE WHEN bad THEN 1 ELSE 0 END) = 0 AS passed
+FROM o GROUP BY session_id"""))
+def q_time_order(m: Model):
+    s = m.stg_stream().withColumn("arrival", F.col("event_id").cast("long"))
+    return quality.session_time_order(s, "arrival")
+
+
+@query("session_step_order", O.with_base("""
+, st AS (SELECT session_id, eid,
+                CASE event_type WHEN 'page_view' THEN 0 WHEN 'click' THEN 1
+                     WHEN 'add_to_cart' THEN 2 WHEN 'purchase' THEN 3 END AS step
+         FROM stg_stream WHERE event_type <> 'signup'),
+  back AS (SELECT session_id, CAST(sum(CASE WHEN step < prev THEN 1 ELSE 0 END) AS BIGINT) AS steps_back
+           FROM (SELECT *, lag(step) OVER (PARTITION BY session_id ORDER BY eid) AS prev FROM st)
+           GROUP BY session_id),
+  sg AS (SELECT session_id, CAST(count(*) AS BIGINT) AS events,
+                count(*) FILTER (WHERE event_type = 'signup') AS signups,
+                arg_min(event_type, eid) AS first_type
+         FROM stg_stream GROUP BY session_id)
+SELECT sg.session_id, sg.events, coalesce(back.steps_back, 0) AS steps_back,
+       (signups = 0 OR first_type = 'signup') AS signup_first,
+       (signups = 0 OR first_type = 'signup') AND coalesce(back.steps_back, 0) = 0 AS passed
+FROM sg LEFT JOIN back ON sg.session_id = back.session_id"""))
+def q_step_order(m: Model):
+    s = m.stg_stream().withColumn("arrival", F.col("event_id").cast("long"))
+    return quality.session_step_order(s, "arrival")
+
+
+@query("contract_check", """WITH """ + O.EV + """
+SELECT CAST(count(*) + count(*) FILTER (WHERE et0 = 'signup') AS BIGINT) AS lines,
+       CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS properties_not_object,
+       CAST(count(*) FILTER (WHERE et0 = 'error') AS BIGINT) AS invalid_event_type,
+       count(*) FILTER (WHERE et0 = 'error') = 0 AS passed
+FROM ev""")
+def q_contract(m: Model):
+    from eventmarts.sinks.bronze import keyed_records
+    return quality.contract_check(keyed_records(binding.dirty_stream_bronze(m.table("events"))))
+
+
+# --- ingest round trips -------------------------------------------------------
+
+from eventmarts.sources.bronze import read_historical_bronze, read_stream_bronze  # noqa: E402
+from eventmarts.sinks.bronze import record_json  # noqa: E402
+from eventmarts.streaming import ingest as stream_ingest  # noqa: E402
+from eventmarts.sources.raw import read_event_stream  # noqa: E402
+from eventmarts.plans import pipeline  # noqa: E402
+
+
+def _write_stream_tree(m: Model, root: str) -> None:
+    b = m.stream_bronze()
+    (b.select(record_json(b).alias("value"), F.date_format("dt", "yyyy-MM-dd").alias("dt"),
+              F.format_string("%02d", "hour").alias("hour"))
+     .write.mode("overwrite").partitionBy("dt", "hour").text(root))
+
+
+@query("bronze_json_roundtrip", O.with_base(f"SELECT {STG_STREAM_COLS} FROM stg_stream"))
+def q_roundtrip(m: Model):
+    root = shared_dir(m.spark, "bronze_stream")
+    _write_stream_tree(m, root)
+    return staging.stage_stream(read_stream_bronze(m.spark, root))
+
+
+def _write_raw_csv(m: Model, path: str) -> None:
+    binding.replayed_raw_csv(m.table("events")).write.option("header", "true").csv(path)
+
+
+@query("historical_ingest", O.with_base(f"SELECT {STG_HIST_COLS} FROM stg_hist"))
+def q_hist_ingest(m: Model):
+    csv, out = shared_dir(m.spark, "raw_csv"), shared_dir(m.spark, "bronze_hist")
+    _write_raw_csv(m, csv)
+    pipeline.ingest_historical(m.spark, csv, out, max_records_per_file=1000)
+    return staging.stage_historical(read_historical_bronze(m.spark, out))
+
+
+def _stream_through(m: Model, lines: DataFrame, dedup: str | None) -> DataFrame:
+    landing = shared_dir(m.spark, "landing")
+    out, ckpt = shared_dir(m.spark, "bronze_stream"), shared_dir(m.spark, "stream_ckpt")
+    lines.select("value").write.text(landing)
+    q = stream_ingest.ingest_stream(read_event_stream(m.spark, "text", path=landing), out, ckpt,
+                                    trigger={"availableNow": True}, dedup_watermark=dedup)
+    q.awaitTermination()
+    return staging.stage_stream(read_stream_bronze(m.spark, out)).select(*O.C12.split(", "))
+
+
+@query("stream_ingest_bronze", O.with_base(f"SELECT {O.C12} FROM stg_stream"))
+def q_stream_ingest(m: Model):
+    return _stream_through(m, binding.stream_records(m.table("events")), None)
+
+
+@query("stream_dedup", O.with_base(f"SELECT {O.C12} FROM stg_stream"))
+def q_stream_dedup(m: Model):
+    recs = binding.stream_records(m.table("events"))
+    replays = recs.where(F.get_json_object("value", "$.event_type") == "signup")
+    return _stream_through(m, recs.unionByName(replays), "1 hour")
+
+
+@query("pipeline_funnel", O.funnel_sql())
+def q_pipeline(m: Model):
+    sroot, csv = shared_dir(m.spark, "bronze_stream"), shared_dir(m.spark, "raw_csv")
+    hroot, wh = shared_dir(m.spark, "bronze_hist"), shared_dir(m.spark, "warehouse")
+    _write_stream_tree(m, sroot)
+    _write_raw_csv(m, csv)
+    pipeline.ingest_historical(m.spark, csv, hroot)
+    out = pipeline.run_pipeline(m.spark, pipeline.Paths(sroot, hroot, wh), m.gap)
+    return m.spark.read.parquet(out["mart_funnel_analysis"])

@@ -116,3 +116,23 @@ def plain_window(keys: Sequence[str], ts: str, tiebreak: str) -> Window:
     """The unsplit window, kept for equivalence tests and small inputs."""
     return Window.partitionBy(*keys).orderBy(ts, tiebreak)
 
+
+
+def split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+              bucket, name: str) -> DataFrame:
+    """``lag(value) over (partition by keys order by order)`` split by ``bucket``
+    (a column expression monotone in ``order``, e.g. an arrival offset range).
+
+    The first row of a bucket takes the value of the last row of the key's
+    previous non-empty bucket (``max_by`` over the order, a partial aggregate).
+    """
+    e = df.withColumn(BUCKET, bucket)
+    wb = Window.partitionBy(*keys).orderBy(BUCKET)
+    ordering = F.struct(*[F.col(c) for c in order])
+    last = (e.groupBy(*keys, BUCKET).agg(F.max_by(value, ordering).alias("_b_lastv"))
+            .select(*keys, BUCKET, F.lag("_b_lastv").over(wb).alias("_prevv")))
+    e = join_on_keys(e, last, [*keys, BUCKET])
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
+    return (e.withColumn(name, F.when(F.row_number().over(w) == 1, F.col("_prevv"))
+                         .otherwise(F.lag(value).over(w)))
+            .drop(BUCKET, "_prevv"))

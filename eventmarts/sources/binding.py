@@ -86,3 +86,23 @@ def replayed_raw_csv(events: DataFrame) -> DataFrame:
     """Raw rows plus a second copy of every page-view beacon (double-fired beacons)."""
     raw = raw_csv(events)
     return raw.unionByName(raw.where(F.col("event") == "view"))
+
+
+def stream_records(events: DataFrame) -> DataFrame:
+    """The stream binding as raw topic records: one JSON text ``value`` per event."""
+    from eventmarts.sinks.bronze import record_json
+    b = stream_bronze(events)
+    return b.select(record_json(b).alias("value"), F.col("event_id").cast("long").alias("arrival"))
+
+
+def dirty_stream_bronze(events: DataFrame) -> DataFrame:
+    """A deliberately broken stream binding for the bronze gate: ``error`` rows
+    keep an unknown type name, purchases lose their user, and every signup
+    record is replayed once (duplicate ids)."""
+    renamed = events.withColumn(
+        "event_type", F.when(F.col("event_type") == "error", F.lit("error_event"))
+        .otherwise(F.col("event_type")))
+    b = stream_bronze(renamed)
+    b = b.withColumn("user_id", F.when(F.col("event_type") == "purchase", F.lit(None).cast("string"))
+                     .otherwise(F.col("user_id")))
+    return b.unionByName(b.where(F.col("event_type") == "signup"))

@@ -13,7 +13,7 @@ from eventmarts.schema import BRONZE, REQUIRED_FIELDS
 # ``events-<uuid>.jsonl`` files or the streaming file sink's part files; the
 # historical writer's files are Spark part files.
 STREAM_GLOB = "{events-*.json*,part-*.txt,part-*.json*}"
-HISTORICAL_GLOB = "part-*.json*"
+HISTORICAL_GLOB = "{part-*.json*,part-*.txt}"
 
 CORRUPT = "_corrupt_record"
 
