@@ -40,8 +40,8 @@ def ingest_historical(spark: SparkSession, csv_path: str, out: str,
     seen, kept = Observation("rows_read"), Observation("rows_kept")
     raw = historical.keep_known_events(read_raw_csv(spark, csv_path))
     raw = raw.observe(seen, F.count(F.lit(1)).alias("n"))
-    dedup = historical.dedup_natural_key(raw).observe(kept, F.count(F.lit(1)).alias("n"))
-    files = write_historical_bronze(historical.to_bronze(dedup), out, max_records_per_file)
+    dedup = historical.dedup_natural_key(raw)
+    files = write_historical_bronze(historical.to_bronze(dedup), out, max_records_per_file, kept)
     n_read, n_kept = int(seen.get["n"]), int(kept.get["n"])
     return IngestResult(n_read, n_read - n_kept, n_kept, files)
 

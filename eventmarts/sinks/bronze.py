@@ -21,17 +21,23 @@ def record_json(df: DataFrame) -> F.Column:
 
 
 def write_historical_bronze(df: DataFrame, root: str,
-                            max_records_per_file: int = DEFAULT_CHUNK_SIZE) -> int:
+                            max_records_per_file: int = DEFAULT_CHUNK_SIZE,
+                            observation=None) -> int:
     """K4: newline-JSON under ``root/dt=YYYY-MM-DD/``, at most
     ``max_records_per_file`` rows per file; returns the number of files.
 
     Idempotent: dynamic partition overwrite replaces exactly the dates being
     written, so a retry leaves the same content.  Range partitioning on
     (dt, event_id) keeps each date in few tasks yet splits a hot date across
-    several, so no single task writes a third of the data.
+    several, so no single task writes a third of the data.  ``observation``
+    (a :class:`pyspark.sql.Observation`) receives ``n`` = rows written; it is
+    attached above the range exchange, whose sampling pass would otherwise
+    count rows twice.
     """
     out = (df.select(F.col("dt"), record_json(df).alias("value"))
            .repartitionByRange("dt", "value"))
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("n"))
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", int(max_records_per_file))

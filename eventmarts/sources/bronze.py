@@ -15,9 +15,6 @@ from eventmarts.schema import BRONZE, REQUIRED_FIELDS
 STREAM_GLOB = "{events-*.json*,part-*.txt,part-*.json*}"
 HISTORICAL_GLOB = "{part-*.json*,part-*.txt}"
 
-CORRUPT = "_corrupt_record"
-
-
 def read_bronze(spark: SparkSession, root: str, glob: str = STREAM_GLOB,
                 on_bad: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read a Hive-partitioned bronze tree with the fixed bronze schema.
@@ -32,12 +29,15 @@ def read_bronze(spark: SparkSession, root: str, glob: str = STREAM_GLOB,
                 .option("pathGlobFilter", glob).json(root))
     if on_bad != "quarantine":
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
-    schema = T.StructType(BRONZE.fields + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("pathGlobFilter", glob).json(root))
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.where(F.col(CORRUPT).isNotNull())
+    # Raw lines (partition columns still discovered); a line is good when it is
+    # a JSON object.  Bad lines are kept verbatim for inspection.
+    lines = spark.read.option("pathGlobFilter", glob).text(root)
+    extra = [c for c in lines.columns if c != "value"]
+    ok = F.json_object_keys(F.col("value")).isNotNull()
+    good = (lines.where(ok)
+            .select(F.from_json("value", BRONZE).alias("_r"), *extra)
+            .select("_r.*", *extra))
+    bad = lines.where(~ok | F.col("value").isNull())
     return good, bad
 
 
