@@ -42,13 +42,6 @@ def with_bucket(df: DataFrame, ts: str, seconds: int) -> DataFrame:
     return df.withColumn(BUCKET, time_bucket(ts, seconds))
 
 
-def prev_bucket_last(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """(keys, bucket) -> last timestamp of the key's previous non-empty bucket."""
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
-    return (df.groupBy(*keys, BUCKET).agg(F.max(ts).alias("_b_last"))
-            .select(*keys, BUCKET, F.lag("_b_last").over(wb).alias("_prev_last")))
-
-
 def split_row_number(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                      name: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``row_number() over (partition by keys order by ts, tiebreak)`` without
@@ -75,41 +68,52 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     Adds ``start_col`` (timestamp of the session's first row; unique per key,
     since a row at the same instant as its predecessor never breaks) and
     ``seq_col`` (1-based position in the session, same total order).
+
+    One windowed pass per (key, bucket): every row but a bucket's first knows
+    its predecessor locally.  The bucket table then decides each bucket's first
+    row (against the previous bucket's last timestamp) and carries the running
+    row count and the last session start (timestamp, global rank) forward.
     """
     e = with_bucket(df, ts, bucket_seconds)
-    e = join_on_keys(e, prev_bucket_last(e, keys, ts), [*keys, BUCKET])
-
     w = Window.partitionBy(*keys, BUCKET).orderBy(ts, tiebreak)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    prev = F.coalesce(F.lag(ts).over(w), F.col("_prev_last"))
-    e = e.withColumn("_prev", prev).drop("_prev_last")
-    e = e.withColumn("_new", F.col("_prev").isNull() | is_break(F.col("_prev"), F.col(ts)))
     e = (e.withColumn("_lrank", F.row_number().over(w))
-         .withColumn("_lstart", F.max(F.when(F.col("_new"), F.col(ts))).over(run))
-         .withColumn("_lstart_rank", F.max(F.when(F.col("_new"), F.col("_lrank"))).over(run)))
+         .withColumn("_lprev", F.lag(ts).over(w)))
+    e = e.withColumn("_lnew", F.col("_lprev").isNotNull() & is_break(F.col("_lprev"), F.col(ts)))
+    e = (e.withColumn("_lstart", F.max(F.when(F.col("_lnew"), F.col(ts))).over(run))
+         .withColumn("_lstart_rank", F.max(F.when(F.col("_lnew"), F.col("_lrank"))).over(run)))
 
-    # Bucket table: row count, last session start and its in-bucket rank.
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    carry = (e.groupBy(*keys, BUCKET).agg(
+    b = (e.groupBy(*keys, BUCKET).agg(
         F.count(F.lit(1)).alias("_cnt"),
-        F.max(F.when(F.col("_new"), F.col(ts))).alias("_b_start"),
-        F.max(F.when(F.col("_new"), F.col("_lrank"))).alias("_b_start_lrank"))
-        .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-        .withColumn("_b_start_grank", F.col("_offset") + F.col("_b_start_lrank"))
-        .withColumn("_carry_start", F.max("_b_start").over(before))
-        .withColumn("_carry_grank", F.max("_b_start_grank").over(before))
-        .select(*keys, BUCKET, "_offset", "_carry_start", "_carry_grank"))
-    e = join_on_keys(e, carry, [*keys, BUCKET])
-
-    in_bucket = F.col("_lstart").isNotNull()
-    start = F.when(in_bucket, F.col("_lstart")).otherwise(F.col("_carry_start"))
-    seq = F.when(in_bucket, F.col("_lrank") - F.col("_lstart_rank") + 1).otherwise(
-        F.col("_offset") + F.col("_lrank") - F.col("_carry_grank") + 1)
+        F.min(ts).alias("_b_first"),
+        F.max(ts).alias("_b_last"),
+        F.max(F.when(F.col("_lnew"), F.col(ts))).alias("_b_lstart"),
+        F.max(F.when(F.col("_lnew"), F.col("_lrank"))).alias("_b_lstart_rank")))
+    prev_last = F.lag("_b_last").over(wb)
+    b = (b.withColumn("_first_new", prev_last.isNull() | is_break(prev_last, F.col("_b_first")))
+         .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+         .withColumn("_b_start", F.coalesce(
+             F.col("_b_lstart"), F.when(F.col("_first_new"), F.col("_b_first"))))
+         .withColumn("_b_start_grank", F.col("_offset") + F.coalesce(
+             F.col("_b_lstart_rank"), F.when(F.col("_first_new"), F.lit(1))))
+         .withColumn("_carry_start", F.max("_b_start").over(before))
+         .withColumn("_carry_grank", F.max("_b_start_grank").over(before))
+         .select(*keys, BUCKET, "_first_new", "_b_first", "_offset", "_carry_start", "_carry_grank"))
+    e = join_on_keys(e, b, [*keys, BUCKET])
+
+    local = F.col("_lstart").isNotNull()
+    first = F.col("_first_new")
+    start = (F.when(local, F.col("_lstart")).when(first, F.col("_b_first"))
+             .otherwise(F.col("_carry_start")))
+    seq = (F.when(local, F.col("_lrank") - F.col("_lstart_rank") + 1)
+           .when(first, F.col("_lrank"))
+           .otherwise(F.col("_offset") + F.col("_lrank") - F.col("_carry_grank") + 1))
     return (e.withColumn(start_col, start)
             .withColumn(seq_col, seq.cast("long"))
-            .drop(BUCKET, "_prev", "_new", "_lrank", "_lstart", "_lstart_rank",
-                  "_offset", "_carry_start", "_carry_grank"))
+            .drop(BUCKET, "_lrank", "_lprev", "_lnew", "_lstart", "_lstart_rank", "_first_new",
+                  "_b_first", "_offset", "_carry_start", "_carry_grank"))
 
 
 def plain_window(keys: Sequence[str], ts: str, tiebreak: str) -> Window:
