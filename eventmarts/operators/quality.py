@@ -165,26 +165,55 @@ MODEL_TESTS: tuple[tuple[str, str, str, object], ...] = (
 )
 
 
+def _fused_scalar_tests(df: DataFrame, model: str,
+                        tests: Sequence[tuple[str, str, object]]) -> DataFrame:
+    """All not_null / accepted_values tests of one model in a single aggregate
+    pass, returned as one row per test (same order as given)."""
+    aggs = []
+    for i, (test, column, arg) in enumerate(tests):
+        if test == _NN:
+            aggs.append(F.count(F.when(F.col(column).isNull(), 1)).alias(f"_f{i}"))
+        else:
+            aggs.append(F.count_distinct(F.when(~F.col(column).isin(list(arg)), F.col(column)))
+                        .alias(f"_f{i}"))
+    a = df.agg(*aggs)
+    structs = [F.struct(F.lit(model).alias("model"), F.lit(test).alias("test"),
+                        F.lit(column).alias("column"), (F.col(f"_f{i}") == 0).alias("passed"),
+                        F.col(f"_f{i}").cast("long").alias("failures"))
+               for i, (test, column, _) in enumerate(tests)]
+    return a.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
 def run_model_tests(models: Mapping[str, DataFrame],
                     tests: Sequence[tuple[str, str, str, object]] = MODEL_TESTS) -> DataFrame:
-    """All declarative tests whose model is given, as one result frame."""
-    out = None
+    """All declarative tests whose model is given, as one result frame.
+
+    Tests are fused per model: one aggregate pass covers every not_null and
+    accepted_values test of the model; each unique test is one grouping and
+    each relationships test one anti join.  A model is therefore scanned a
+    small, fixed number of times however many tests it carries.
+    """
+    by_model: dict[str, list[tuple[str, str, object]]] = {}
     for model, test, column, arg in tests:
-        if model not in models:
-            continue
+        if model in models:
+            by_model.setdefault(model, []).append((test, column, arg))
+    parts = []
+    for model, ts in by_model.items():
         df = models[model]
-        if test == "unique":
-            r = test_unique(df, column, model)
-        elif test == _NN:
-            r = test_not_null(df, column, model)
-        elif test == "accepted_values":
-            r = test_accepted_values(df, column, arg, model)
-        elif test == "relationships":
-            parent, pcol = arg
-            r = test_relationships(df, column, models[parent], pcol, model)
-        else:
-            raise ValueError(test)
-        out = r if out is None else out.unionByName(r)
+        scalar = [t for t in ts if t[0] in (_NN, "accepted_values")]
+        if scalar:
+            parts.append(_fused_scalar_tests(df, model, scalar))
+        for test, column, arg in ts:
+            if test == "unique":
+                parts.append(test_unique(df, column, model))
+            elif test == "relationships":
+                parent, pcol = arg
+                parts.append(test_relationships(df, column, models[parent], pcol, model))
+            elif test not in (_NN, "accepted_values"):
+                raise ValueError(test)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

@@ -66,3 +66,18 @@ def retention_matrix(mart: DataFrame, weeks: Sequence[int], source: str | None =
     p = (_src(mart, source).groupBy("source", "cohort_week")
          .pivot("weeks_since_cohort", weeks).agg(F.first("retention_rate")))
     return p.select("source", "cohort_week", *[F.col(str(w)).alias(f"w{w}") for w in weeks])
+
+
+def register_models(models: dict[str, DataFrame]) -> None:
+    """K5: expose models as temporary views (staging/intermediate are views
+    in the original warehouse) so serving SQL can address them by name."""
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+
+
+def serve(spark, table: str, source: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """P10: read a registered model for one source through parameterized SQL
+    (table name and source are bound parameters, never interpolated text)."""
+    df = spark.sql("SELECT * FROM IDENTIFIER(:table) WHERE source = :source",
+                   args={"table": table, "source": source})
+    return df.orderBy(*order_by) if order_by else df

@@ -524,3 +524,17 @@ def q_pipeline(m: Model):
     pipeline.ingest_historical(m.spark, csv, hroot)
     out = pipeline.run_pipeline(m.spark, pipeline.Paths(sroot, hroot, wh), m.gap)
     return m.spark.read.parquet(out["mart_funnel_analysis"])
+
+
+@query("serve_funnel_stream", O.funnel_sql().replace(
+    "SELECT * FROM mart_funnel", "SELECT * FROM mart_funnel WHERE source = 'stream'"))
+def q_serve_funnel(m: Model):
+    reports.register_models({"mart_funnel_analysis": marts.funnel(m.fct_events())})
+    return reports.serve(m.spark, "mart_funnel_analysis", "stream", ["step_number"])
+
+
+@query("serve_active_users_hist", O.with_model(
+    O.ACTIVE_CTES + "SELECT * FROM au WHERE source = 'batch_historical'"))
+def q_serve_active(m: Model):
+    reports.register_models({"mart_dau_wau_mau": marts.active_users(m.fct_events())})
+    return reports.serve(m.spark, "mart_dau_wau_mau", "batch_historical", ["date_day"])

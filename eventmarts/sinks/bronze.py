@@ -61,3 +61,11 @@ def write_mart(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_keyed_records(df: DataFrame, topic: str, bootstrap_servers: str) -> None:
+    """K6 sink: publish (key, value) records to a topic (needs the Kafka
+    connector on the classpath; not shipped with this environment)."""
+    (keyed_records(df).write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap_servers)
+     .option("topic", topic).save())
