@@ -126,15 +126,46 @@ def trailing_active_range_join(fact: DataFrame, spine: DataFrame, days: int, nam
 
 
 def active_users(fact: DataFrame, spine: DataFrame | None = None, method: str = "sweep") -> DataFrame:
-    """One row per spine day with dau, wau (7 days), mau (30 days); 0 when idle."""
-    spine = date_spine(fact) if spine is None else spine
-    trailing = trailing_active if method == "sweep" else trailing_active_range_join
-    out = spine
-    for part in (dau(fact), trailing(fact, spine, 7, "wau"), trailing(fact, spine, 30, "mau")):
-        out = out.join(part, ["source", "date_day"], "left")
-    return out.select("source", "date_day",
-                      *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                        for c in ("dau", "wau", "mau")])
+    """One row per spine day with dau, wau (7 days), mau (30 days); 0 when idle.
+
+    ``sweep`` (default) works from the distinct user-days in one pass: each
+    user-day emits its DAU mark and the +1/-1 deltas of both trailing
+    windows as three exploded rows.  One aggregate per (source, day) and one
+    running sum over the spine give all three measures.  ``range_join`` is
+    the range-join formulation (k-fold expansion per window).
+    """
+    if method != "sweep":
+        spine = date_spine(fact) if spine is None else spine
+        out = spine
+        for part in (dau(fact), trailing_active_range_join(fact, spine, 7, "wau"),
+                     trailing_active_range_join(fact, spine, 30, "mau")):
+            out = out.join(part, ["source", "date_day"], "left")
+        return out.select("source", "date_day",
+                          *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                            for c in ("dau", "wau", "mau")])
+
+    ud = _user_days(fact)
+    if spine is None:
+        spine = date_spine(ud, date_col="d")
+    nxt = F.lead("d").over(Window.partitionBy("source", "user_id").orderBy("d"))
+    iv = ud.select("source", "d", nxt.alias("n"))
+
+    def mark(day, a, w, m):
+        return F.struct(day.alias("date_day"), F.lit(a).alias("a"), F.lit(w).alias("w"),
+                        F.lit(m).alias("m"))
+
+    marks = iv.select("source", F.explode(F.array(
+        mark(F.col("d"), 1, 1, 1),
+        mark(F.least(F.date_add("d", 7), F.col("n")), 0, -1, 0),
+        mark(F.least(F.date_add("d", 30), F.col("n")), 0, 0, -1))).alias("x"))
+    per_day = (marks.groupBy("source", F.col("x.date_day").alias("date_day"))
+               .agg(F.sum("x.a").alias("a"), F.sum("x.w").alias("w"), F.sum("x.m").alias("m")))
+    run = Window.partitionBy("source").orderBy("date_day").rowsBetween(Window.unboundedPreceding, 0)
+    return (spine.join(per_day, ["source", "date_day"], "left")
+            .select("source", "date_day",
+                    F.coalesce(F.col("a"), F.lit(0)).cast("long").alias("dau"),
+                    F.sum(F.coalesce(F.col("w"), F.lit(0))).over(run).cast("long").alias("wau"),
+                    F.sum(F.coalesce(F.col("m"), F.lit(0))).over(run).cast("long").alias("mau")))
 
 
 # ---------------------------------------------------------------------------

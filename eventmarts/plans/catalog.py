@@ -333,16 +333,18 @@ def q_quality_report_clean(m: Model):
 
 
 def _mart_models(m: Model) -> dict[str, DataFrame]:
-    """All models for the declarative tests; the event fact is checkpointed
-    (reliable, to the shared folder) so the 38 tests do not each recompute
-    the session scan."""
+    """All models for the declarative tests.  The staged tables and the event
+    fact are checkpointed (reliable, to the shared folder) so the tests read
+    materialized data instead of recomputing the binding and session scan."""
     shared_dir(m.spark, "ckpt")  # make sure a checkpoint folder is set
-    fct = m.fct_events().checkpoint()
+    stg_s, stg_h = m.stg_stream().checkpoint(), m.stg_historical().checkpoint()
+    unioned = staging.conform(stg_s, stg_h)
+    fct = marts.event_fact(sessions.sessionize(unioned, m.gap)).checkpoint()
     sess = marts.session_fact(marts.sessions_from_fact(fct))
     spine = marts.date_spine(fct)
     return {
-        "stg_events_stream": m.stg_stream(), "stg_events_historical": m.stg_historical(),
-        "int_events_unioned": m.conformed(), "int_sessions": sess,
+        "stg_events_stream": stg_s, "stg_events_historical": stg_h,
+        "int_events_unioned": unioned, "int_sessions": sess,
         "int_sessionized_events": fct, "fct_events": fct, "fct_sessions": sess,
         "dim_date": spine, "mart_funnel_analysis": marts.funnel(fct),
         "mart_dau_wau_mau": marts.active_users(fct, spine), "mart_retention": marts.retention(fct),

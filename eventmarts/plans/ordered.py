@@ -34,8 +34,8 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     for k in keys:
         c = left[k].eqNullSafe(r[f"__r_{k}"])
         cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out.drop(*[f"__r_{k}" for k in keys])
+    keep = [left[c] for c in left.columns] + [r[c] for c in right.columns if c not in keys]
+    return left.join(r, cond, how).select(*keep)
 
 
 def with_bucket(df: DataFrame, ts: str, seconds: int) -> DataFrame:
@@ -46,15 +46,15 @@ def split_row_number(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                      name: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``row_number() over (partition by keys order by ts, tiebreak)`` without
     sending a whole key to one task."""
-    e = with_bucket(df, ts, bucket_seconds)
+    cols = [F.col(c) for c in df.columns]
+    e = df.select(*cols, time_bucket(ts, bucket_seconds).alias(BUCKET))
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (e.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
                .select(*keys, BUCKET,
                        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset")))
     e = join_on_keys(e, offsets, [*keys, BUCKET])
     w = Window.partitionBy(*keys, BUCKET).orderBy(ts, tiebreak)
-    return (e.withColumn(name, (F.col("_offset") + F.row_number().over(w)).cast("long"))
-            .drop(BUCKET, "_offset"))
+    return e.select(*cols, (F.col("_offset") + F.row_number().over(w)).cast("long").alias(name))
 
 
 def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
@@ -74,33 +74,40 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     row (against the previous bucket's last timestamp) and carries the running
     row count and the last session start (timestamp, global rank) forward.
     """
-    e = with_bucket(df, ts, bucket_seconds)
+    cols = [F.col(c) for c in df.columns]
+    tcol = F.col(ts)
+    e = df.select(*cols, time_bucket(ts, bucket_seconds).alias(BUCKET))
     w = Window.partitionBy(*keys, BUCKET).orderBy(ts, tiebreak)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    e = (e.withColumn("_lrank", F.row_number().over(w))
-         .withColumn("_lprev", F.lag(ts).over(w)))
-    e = e.withColumn("_lnew", F.col("_lprev").isNotNull() & is_break(F.col("_lprev"), F.col(ts)))
-    e = (e.withColumn("_lstart", F.max(F.when(F.col("_lnew"), F.col(ts))).over(run))
-         .withColumn("_lstart_rank", F.max(F.when(F.col("_lnew"), F.col("_lrank"))).over(run)))
+    e = e.select("*", F.row_number().over(w).alias("_lrank"), F.lag(ts).over(w).alias("_lprev"))
+    lnew = F.col("_lprev").isNotNull() & is_break(F.col("_lprev"), tcol)
+    e = e.select("*", lnew.alias("_lnew"),
+                 F.max(F.when(lnew, tcol)).over(run).alias("_lstart"),
+                 F.max(F.when(lnew, F.col("_lrank"))).over(run).alias("_lstart_rank"))
 
+    # Bucket table: one row per (key, bucket), scanned per key in bucket order.
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    b = (e.groupBy(*keys, BUCKET).agg(
+    b = e.groupBy(*keys, BUCKET).agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.min(ts).alias("_b_first"),
         F.max(ts).alias("_b_last"),
-        F.max(F.when(F.col("_lnew"), F.col(ts))).alias("_b_lstart"),
-        F.max(F.when(F.col("_lnew"), F.col("_lrank"))).alias("_b_lstart_rank")))
+        F.max(F.when(F.col("_lnew"), tcol)).alias("_b_lstart"),
+        F.max(F.when(F.col("_lnew"), F.col("_lrank"))).alias("_b_lstart_rank"))
     prev_last = F.lag("_b_last").over(wb)
-    b = (b.withColumn("_first_new", prev_last.isNull() | is_break(prev_last, F.col("_b_first")))
-         .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-         .withColumn("_b_start", F.coalesce(
-             F.col("_b_lstart"), F.when(F.col("_first_new"), F.col("_b_first"))))
-         .withColumn("_b_start_grank", F.col("_offset") + F.coalesce(
-             F.col("_b_lstart_rank"), F.when(F.col("_first_new"), F.lit(1))))
-         .withColumn("_carry_start", F.max("_b_start").over(before))
-         .withColumn("_carry_grank", F.max("_b_start_grank").over(before))
-         .select(*keys, BUCKET, "_first_new", "_b_first", "_offset", "_carry_start", "_carry_grank"))
+    first_new = prev_last.isNull() | is_break(prev_last, F.col("_b_first"))
+    offset = F.coalesce(F.sum("_cnt").over(before), F.lit(0))
+    b = b.select(*keys, BUCKET, "_b_first", first_new.alias("_first_new"), offset.alias("_offset"),
+                 "_b_lstart", "_b_lstart_rank")
+    b = b.select(*keys, BUCKET, "_b_first", "_first_new", "_offset",
+                 F.coalesce(F.col("_b_lstart"), F.when(F.col("_first_new"), F.col("_b_first")))
+                 .alias("_b_start"),
+                 (F.col("_offset") + F.coalesce(F.col("_b_lstart_rank"),
+                                                F.when(F.col("_first_new"), F.lit(1))))
+                 .alias("_b_start_grank"))
+    b = b.select(*keys, BUCKET, "_b_first", "_first_new", "_offset",
+                 F.max("_b_start").over(before).alias("_carry_start"),
+                 F.max("_b_start_grank").over(before).alias("_carry_grank"))
     e = join_on_keys(e, b, [*keys, BUCKET])
 
     local = F.col("_lstart").isNotNull()
@@ -110,10 +117,7 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     seq = (F.when(local, F.col("_lrank") - F.col("_lstart_rank") + 1)
            .when(first, F.col("_lrank"))
            .otherwise(F.col("_offset") + F.col("_lrank") - F.col("_carry_grank") + 1))
-    return (e.withColumn(start_col, start)
-            .withColumn(seq_col, seq.cast("long"))
-            .drop(BUCKET, "_lrank", "_lprev", "_lnew", "_lstart", "_lstart_rank", "_first_new",
-                  "_b_first", "_offset", "_carry_start", "_carry_grank"))
+    return e.select(*cols, start.alias(start_col), seq.cast("long").alias(seq_col))
 
 
 def plain_window(keys: Sequence[str], ts: str, tiebreak: str) -> Window:

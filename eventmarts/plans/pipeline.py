@@ -78,21 +78,31 @@ def run_pipeline(spark: SparkSession, paths: Paths,
                  gate: bool = True) -> dict[str, str]:
     """C14: gate the historical bronze, build and test the models, write marts.
 
-    Returns mart name -> Parquet path.  Raises on a failed gate or test.
+    Returns table name -> Parquet path (staged tables, facts, spine, marts).
+    Raises on a failed gate or test.
     """
     sb = read_stream_bronze(spark, paths.stream_bronze)
     hb = read_historical_bronze(spark, paths.historical_bronze)
     if gate:
         quality.raise_on_failure(quality.bronze_checks(hb))
 
-    m = build_models(sb, hb, gap_minutes)
     wh = paths.warehouse
     out: dict[str, str] = {}
 
+    # Bronze JSON is parsed once per tree: the staged tables are written as
+    # Parquet and every later model and test reads them columnar.
+    for name, df in (("stg_events_stream", staging.stage_stream(sb)),
+                     ("stg_events_historical", staging.stage_historical(hb))):
+        out[name] = os.path.join(wh, "staging", name)
+        write_mart(df, out[name])
+    stg_s = spark.read.parquet(out["stg_events_stream"])
+    stg_h = spark.read.parquet(out["stg_events_historical"])
+    unioned = staging.conform(stg_s, stg_h)
+
     # The event fact is written once; sessions, the spine and every mart are
-    # derived from the written table (no second session scan over bronze).
+    # derived from the written table (no second session scan).
     out["fct_events"] = os.path.join(wh, "fct_events")
-    write_mart(m["fct_events"], out["fct_events"])
+    write_mart(marts.event_fact(sessions.sessionize(unioned, gap_minutes)), out["fct_events"])
     fct = spark.read.parquet(out["fct_events"])
     derived = {
         "fct_sessions": marts.session_fact(marts.sessions_from_fact(fct)),
@@ -113,9 +123,9 @@ def run_pipeline(spark: SparkSession, paths: Paths,
         out[name] = os.path.join(wh, name)
         write_mart(df, out[name])
 
-    tested = dict(m)
-    tested.update({"fct_events": fct, "int_sessionized_events": fct, "fct_sessions": fs,
-                   "int_sessions": fs, "dim_date": dd})
+    tested = {"stg_events_stream": stg_s, "stg_events_historical": stg_h,
+              "int_events_unioned": unioned, "fct_events": fct, "int_sessionized_events": fct,
+              "fct_sessions": fs, "int_sessions": fs, "dim_date": dd}
     tested.update({k: spark.read.parquet(v) for k, v in out.items() if k.startswith("mart_")})
     results = quality.run_model_tests(tested)
     failed = results.where(~F.col("passed")).select("model", "test", "column", "failures")
