@@ -30,15 +30,17 @@ def dedup_replays(raw: DataFrame, watermark: str = "1 hour") -> DataFrame:
     parsed = raw.select(
         "value",
         F.get_json_object("value", "$.event_id").alias("_event_id"),
-        F.get_json_object("value", "$.event_timestamp").cast("timestamp").alias("_ts"))
+        # try_cast: a record with an unparseable timestamp must not stop the
+        # stream (its event time is NULL).
+        F.get_json_object("value", "$.event_timestamp").try_cast("timestamp").alias("_ts"))
     return (parsed.withWatermark("_ts", watermark)
             .dropDuplicatesWithinWatermark(["_event_id"])
             .select("value"))
 
 
 def ingest_stream(raw: DataFrame, out: str, checkpoint: str, *,
-                  trigger: dict | None = None, dedup_watermark: str | None = None,
-                  start: bool = True) -> StreamingQuery:
+                  trigger: dict | None = None,
+                  dedup_watermark: str | None = None) -> StreamingQuery:
     """Stream ``raw`` (one STRING ``value`` per record) into the bronze tree.
 
     ``trigger``: e.g. ``{"processingTime": "10 seconds"}`` (default) or
@@ -61,6 +63,8 @@ def drain(query: StreamingQuery) -> None:
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
-    """Raw record text -> bronze columns (same fixed schema as the file reader)."""
-    return lines.select(F.from_json("value", BRONZE).alias("r"), *[c for c in lines.columns if c != "value"]) \
-        .select("r.*", *[c for c in lines.columns if c != "value"])
+    """Raw record text -> bronze columns (same fixed schema as the file reader).
+    Works on streaming frames too, so staging can run inside a stream."""
+    extra = [c for c in lines.columns if c != "value"]
+    return (lines.select(F.from_json("value", BRONZE).alias("_r"), *extra)
+            .select("_r.*", *extra))

@@ -132,3 +132,18 @@ def test_stream_replay_dedup(spark, scratch):
     df = read_stream_bronze(spark, out)
     assert df.count() == 11 and df.select("event_id").distinct().count() == 11
     assert F is not None
+
+
+def test_streaming_staging_matches_batch(spark, scratch):
+    from eventmarts.streaming.ingest import parse_records
+
+    land = _landing(spark, scratch)
+    staged = staging.stage_stream(parse_records(read_event_stream(spark, "text", path=land)))
+    q = (staged.writeStream.format("memory").queryName("staged_fixture")
+         .option("checkpointLocation", os.path.join(scratch, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("staged_fixture").select("event_id", "url", "element_id", "event_date")
+    exp = staging.stage_stream(read_stream_bronze(spark, STREAM_ROOT)).select(
+        "event_id", "url", "element_id", "event_date")
+    assert sorted(got.collect()) == sorted(exp.collect())
