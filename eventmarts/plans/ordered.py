@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from eventmarts.functions.time import time_bucket
 
 BUCKET = "_b"
+PK = "_pk"
 DEFAULT_BUCKET_SECONDS = 600
 
 
@@ -38,22 +39,42 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).select(*keep)
 
 
-def with_bucket(df: DataFrame, ts: str, seconds: int) -> DataFrame:
-    return df.withColumn(BUCKET, time_bucket(ts, seconds))
+def _with_pk(df: DataFrame, keys: Sequence[str], bucket) -> tuple[DataFrame, list]:
+    """Add ``_pk = struct(keys..., bucket)``.
+
+    One struct column is the partition key of the per-bucket windows, the
+    grouping key of the bucket table and the join key between them.  A struct
+    is never NULL and compares NULL fields as equal, so a plain equi-join on it
+    is null-safe *and* needs exactly the hash partitioning the window already
+    has -- the windowed rows are not shuffled again for the join.
+    """
+    cols = [F.col(c) for c in df.columns]
+    pk = F.struct(*[F.col(k).alias(k) for k in keys], bucket.alias(BUCKET))
+    return df.select(*cols, pk.alias(PK)), cols
+
+
+def _unpack(b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bucket table with the key fields and bucket as plain columns, so every
+    per-key window over it shares one partitioning (one exchange)."""
+    return b.select("*", *[F.col(PK)[k].alias(f"_kk{i}") for i, k in enumerate(keys)],
+                    F.col(PK)[BUCKET].alias("_kb"))
+
+
+def _per_key(keys: Sequence[str]) -> Window:
+    """Bucket-table window: one key's buckets in order (over :func:`_unpack` columns)."""
+    return Window.partitionBy(*[f"_kk{i}" for i in range(len(keys))]).orderBy("_kb")
 
 
 def split_row_number(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                      name: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """``row_number() over (partition by keys order by ts, tiebreak)`` without
     sending a whole key to one task."""
-    cols = [F.col(c) for c in df.columns]
-    e = df.select(*cols, time_bucket(ts, bucket_seconds).alias(BUCKET))
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (e.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
-               .select(*keys, BUCKET,
-                       F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset")))
-    e = join_on_keys(e, offsets, [*keys, BUCKET])
-    w = Window.partitionBy(*keys, BUCKET).orderBy(ts, tiebreak)
+    e, cols = _with_pk(df, keys, time_bucket(ts, bucket_seconds))
+    before = _per_key(keys).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (_unpack(e.groupBy(PK).agg(F.count(F.lit(1)).alias("_cnt")), keys)
+               .select(PK, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset")))
+    e = e.join(offsets, PK)
+    w = Window.partitionBy(PK).orderBy(ts, tiebreak)
     return e.select(*cols, (F.col("_offset") + F.row_number().over(w)).cast("long").alias(name))
 
 
@@ -74,10 +95,9 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     row (against the previous bucket's last timestamp) and carries the running
     row count and the last session start (timestamp, global rank) forward.
     """
-    cols = [F.col(c) for c in df.columns]
     tcol = F.col(ts)
-    e = df.select(*cols, time_bucket(ts, bucket_seconds).alias(BUCKET))
-    w = Window.partitionBy(*keys, BUCKET).orderBy(ts, tiebreak)
+    e, cols = _with_pk(df, keys, time_bucket(ts, bucket_seconds))
+    w = Window.partitionBy(PK).orderBy(ts, tiebreak)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     e = e.select("*", F.row_number().over(w).alias("_lrank"), F.lag(ts).over(w).alias("_lprev"))
     lnew = F.col("_lprev").isNotNull() & is_break(F.col("_lprev"), tcol)
@@ -86,29 +106,28 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
                  F.max(F.when(lnew, F.col("_lrank"))).over(run).alias("_lstart_rank"))
 
     # Bucket table: one row per (key, bucket), scanned per key in bucket order.
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
+    wb = _per_key(keys)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    b = e.groupBy(*keys, BUCKET).agg(
+    kk = [f"_kk{i}" for i in range(len(keys))] + ["_kb"]
+    b = _unpack(e.groupBy(PK).agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.min(ts).alias("_b_first"),
         F.max(ts).alias("_b_last"),
         F.max(F.when(F.col("_lnew"), tcol)).alias("_b_lstart"),
-        F.max(F.when(F.col("_lnew"), F.col("_lrank"))).alias("_b_lstart_rank"))
-    prev_last = F.lag("_b_last").over(wb)
-    first_new = prev_last.isNull() | is_break(prev_last, F.col("_b_first"))
-    offset = F.coalesce(F.sum("_cnt").over(before), F.lit(0))
-    b = b.select(*keys, BUCKET, "_b_first", first_new.alias("_first_new"), offset.alias("_offset"),
-                 "_b_lstart", "_b_lstart_rank")
-    b = b.select(*keys, BUCKET, "_b_first", "_first_new", "_offset",
-                 F.coalesce(F.col("_b_lstart"), F.when(F.col("_first_new"), F.col("_b_first")))
+        F.max(F.when(F.col("_lnew"), F.col("_lrank"))).alias("_b_lstart_rank")), keys)
+    b = b.select(PK, *kk, "_b_first", "_b_lstart", "_b_lstart_rank",
+                 F.lag("_b_last").over(wb).alias("_prev_last"),
+                 F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
+    first_new = F.col("_prev_last").isNull() | is_break(F.col("_prev_last"), F.col("_b_first"))
+    b = b.select(PK, *kk, "_b_first", "_offset", first_new.alias("_first_new"),
+                 F.coalesce(F.col("_b_lstart"), F.when(first_new, F.col("_b_first")))
                  .alias("_b_start"),
-                 (F.col("_offset") + F.coalesce(F.col("_b_lstart_rank"),
-                                                F.when(F.col("_first_new"), F.lit(1))))
+                 (F.col("_offset") + F.coalesce(F.col("_b_lstart_rank"), F.when(first_new, F.lit(1))))
                  .alias("_b_start_grank"))
-    b = b.select(*keys, BUCKET, "_b_first", "_first_new", "_offset",
+    b = b.select(PK, "_b_first", "_first_new", "_offset",
                  F.max("_b_start").over(before).alias("_carry_start"),
                  F.max("_b_start_grank").over(before).alias("_carry_grank"))
-    e = join_on_keys(e, b, [*keys, BUCKET])
+    e = e.join(b, PK)
 
     local = F.col("_lstart").isNotNull()
     first = F.col("_first_new")
@@ -134,13 +153,11 @@ def split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     The first row of a bucket takes the value of the last row of the key's
     previous non-empty bucket (``max_by`` over the order, a partial aggregate).
     """
-    e = df.withColumn(BUCKET, bucket)
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
+    e, cols = _with_pk(df, keys, bucket)
     ordering = F.struct(*[F.col(c) for c in order])
-    last = (e.groupBy(*keys, BUCKET).agg(F.max_by(value, ordering).alias("_b_lastv"))
-            .select(*keys, BUCKET, F.lag("_b_lastv").over(wb).alias("_prevv")))
-    e = join_on_keys(e, last, [*keys, BUCKET])
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    return (e.withColumn(name, F.when(F.row_number().over(w) == 1, F.col("_prevv"))
-                         .otherwise(F.lag(value).over(w)))
-            .drop(BUCKET, "_prevv"))
+    last = (_unpack(e.groupBy(PK).agg(F.max_by(value, ordering).alias("_b_lastv")), keys)
+            .select(PK, F.lag("_b_lastv").over(_per_key(keys)).alias("_prevv")))
+    e = e.join(last, PK)
+    w = Window.partitionBy(PK).orderBy(*order)
+    lagged = F.when(F.row_number().over(w) == 1, F.col("_prevv")).otherwise(F.lag(value).over(w))
+    return e.select(*cols, lagged.alias(name))
