@@ -98,7 +98,11 @@ def sessionize(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES
     ``event_sequence_number`` = position in the session by (timestamp, event_id)."""
     stream = split_row_number(_by_source(events, native), ["session_id"], TS, TIE,
                               "event_sequence_number", bucket_seconds)
-    hist = gap_session_events(events, gap_minutes, inferred, bucket_seconds)
+    # Attaching by "user equal and time between start and end" can never match
+    # an event whose user or timestamp is NULL; such events are not part of the
+    # sessionized table (their sessions still are part of the session table).
+    attachable = events.where(F.col("user_id").isNotNull() & F.col(TS).isNotNull())
+    hist = gap_session_events(attachable, gap_minutes, inferred, bucket_seconds)
     return stream.select(*_OUT).unionByName(hist.select(*_OUT))
 
 

@@ -104,8 +104,13 @@ def run_pipeline(spark: SparkSession, paths: Paths,
     out["fct_events"] = os.path.join(wh, "fct_events")
     write_mart(marts.event_fact(sessions.sessionize(unioned, gap_minutes)), out["fct_events"])
     fct = spark.read.parquet(out["fct_events"])
+    # Sessions of events that cannot be attached (NULL user or time) exist in
+    # the session table but not in the fact; a pushed-down NULL filter finds them.
+    unattached = sessions.gap_sessions(
+        unioned.where(F.col("user_id").isNull() | F.col("event_timestamp").isNull()), gap_minutes)
     derived = {
-        "fct_sessions": marts.session_fact(marts.sessions_from_fact(fct)),
+        "fct_sessions": marts.session_fact(
+            marts.sessions_from_fact(fct).unionByName(unattached)),
         "dim_date": marts.date_spine(fct),
     }
     for name, df in derived.items():

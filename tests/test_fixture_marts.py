@@ -137,8 +137,10 @@ def test_full_pipeline_writes_marts(spark, scratch):
     from eventmarts.plans.pipeline import Paths, run_pipeline
 
     out = run_pipeline(spark, Paths(STREAM_ROOT, HIST_ROOT, os.path.join(scratch, "wh")))
-    assert set(out) == {"fct_events", "fct_sessions", "dim_date", "mart_funnel_analysis",
+    assert set(out) == {"stg_events_stream", "stg_events_historical", "fct_events",
+                        "fct_sessions", "dim_date", "mart_funnel_analysis",
                         "mart_dau_wau_mau", "mart_retention"}
+    assert spark.read.parquet(out["fct_sessions"]).count() == 13
     assert spark.read.parquet(out["fct_events"]).count() == 24
     assert spark.read.parquet(out["mart_retention"]).count() == 6
     assert spark.read.parquet(out["mart_dau_wau_mau"]).count() == 17

@@ -103,3 +103,20 @@ def test_stream_session_spanning_two_users_keeps_two_rows(spark):
          ("b", "u2", "s", dt.datetime(2024, 1, 1, 11), "stream")],
         "event_id string, user_id string, session_id string, event_timestamp timestamp, source string")
     assert sessions.native_sessions(df).count() == 2
+
+
+def test_unattachable_events_match_interval_join(spark):
+    """NULL users / timestamps: same rows as the interval-join formulation."""
+    df = spark.createDataFrame(
+        [("a", "u", dt.datetime(2024, 1, 1, 10)), ("b", None, dt.datetime(2024, 1, 1, 10)),
+         ("c", "u", None), ("d", "u", dt.datetime(2024, 1, 1, 10, 5))],
+        "event_id string, user_id string, event_timestamp timestamp"
+    ).select("event_id", "user_id", F.lit(None).cast("string").alias("session_id"),
+             F.lit("page_view").alias("event_type"), "event_timestamp",
+             F.to_date("event_timestamp").alias("event_date"),
+             *[F.lit(None).cast("string").alias(c) for c in
+               ("element_id", "url", "referrer", "item_id", "transaction_id")],
+             F.lit("batch_historical").alias("source"))
+    cols = ("event_id", "session_id", "event_sequence_number")
+    assert rows(sessions.sessionize(df), *cols) == rows(sessions.sessionize_interval_join(df), *cols)
+    assert sessions.gap_sessions(df).count() == 3  # (u, NULL-start), (u, 10:00), (NULL user)
