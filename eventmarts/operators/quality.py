@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 from eventmarts.plans.ordered import split_lag
 from eventmarts.schema import EVENT_TYPES, HISTORICAL, REQUIRED_FIELDS, STREAM
 
-GATE_SCHEMA = "check_order int, check string, passed boolean, failures long, detail string"
-
-
 # ---------------------------------------------------------------------------
 # Bronze gate (Q1-Q5)
 # ---------------------------------------------------------------------------
@@ -82,9 +79,6 @@ def raise_on_failure(report: DataFrame) -> None:
 # Declarative tests (Q6-Q9)
 # ---------------------------------------------------------------------------
 
-TEST_SCHEMA = "model string, test string, column string, passed boolean, failures long"
-
-
 def _result(df: DataFrame, model: str, test: str, column: str, failures) -> DataFrame:
     return df.select(F.lit(model).alias("model"), F.lit(test).alias("test"),
                      F.lit(column).alias("column"),

@@ -26,19 +26,6 @@ PK = "_pk"
 DEFAULT_BUCKET_SECONDS = 600
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                 how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (window partitions group NULLs)."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"__r_{k}"])
-        cond = c if cond is None else cond & c
-    keep = [left[c] for c in left.columns] + [r[c] for c in right.columns if c not in keys]
-    return left.join(r, cond, how).select(*keep)
-
-
 def _with_pk(df: DataFrame, keys: Sequence[str], bucket) -> tuple[DataFrame, list]:
     """Add ``_pk = struct(keys..., bucket)``.
 
@@ -139,12 +126,6 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     return e.select(*cols, start.alias(start_col), seq.cast("long").alias(seq_col))
 
 
-def plain_window(keys: Sequence[str], ts: str, tiebreak: str) -> Window:
-    """The unsplit window, kept for equivalence tests and small inputs."""
-    return Window.partitionBy(*keys).orderBy(ts, tiebreak)
-
-
-
 def split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
               bucket, name: str) -> DataFrame:
     """``lag(value) over (partition by keys order by order)`` split by ``bucket``
