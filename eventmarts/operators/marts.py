@@ -125,6 +125,29 @@ def trailing_active_range_join(fact: DataFrame, spine: DataFrame, days: int, nam
             .groupBy("source", "date_day").agg(F.countDistinct("user_id").alias(name)))
 
 
+def _active_users_range_join(fact: DataFrame, spine: DataFrame | None) -> DataFrame:
+    """J3-J5 in one pass: each distinct user-day is listed under the 30 spine
+    days it counts for, joined to the spine once; per (day, user) the youngest
+    coverage decides dau (age 0), wau (< 7) and mau (< 30)."""
+    ud = _user_days(fact)
+    spine = date_spine(ud, date_col="d") if spine is None else spine
+    cover = ud.select("source", "user_id", "d",
+                      F.explode(F.sequence("d", F.date_add("d", 29))).alias("date_day"))
+    # Youngest coverage per (day, user): one grouping instead of three
+    # distinct counts (which would expand every row once per count).
+    ages = (cover.join(spine, ["source", "date_day"])
+            .groupBy("source", "date_day", "user_id")
+            .agg(F.min(F.datediff("date_day", "d")).alias("age")))
+    counts = (ages.groupBy("source", "date_day")
+              .agg(F.count(F.when(F.col("age") == 0, 1)).alias("dau"),
+                   F.count(F.when(F.col("age") < 7, 1)).alias("wau"),
+                   F.count(F.lit(1)).alias("mau")))
+    return (spine.join(counts, ["source", "date_day"], "left")
+            .select("source", "date_day",
+                    *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                      for c in ("dau", "wau", "mau")]))
+
+
 def active_users(fact: DataFrame, spine: DataFrame | None = None, method: str = "sweep") -> DataFrame:
     """One row per spine day with dau, wau (7 days), mau (30 days); 0 when idle.
 
@@ -135,14 +158,7 @@ def active_users(fact: DataFrame, spine: DataFrame | None = None, method: str =
     the range-join formulation (k-fold expansion per window).
     """
     if method != "sweep":
-        spine = date_spine(fact) if spine is None else spine
-        out = spine
-        for part in (dau(fact), trailing_active_range_join(fact, spine, 7, "wau"),
-                     trailing_active_range_join(fact, spine, 30, "mau")):
-            out = out.join(part, ["source", "date_day"], "left")
-        return out.select("source", "date_day",
-                          *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                            for c in ("dau", "wau", "mau")])
+        return _active_users_range_join(fact, spine)
 
     ud = _user_days(fact)
     if spine is None:

@@ -35,6 +35,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Skip capturing the Python call site of every Column/DataFrame call
+        # (several JVM round trips each, only used for error context).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
