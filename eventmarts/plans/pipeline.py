@@ -102,7 +102,10 @@ def run_pipeline(spark: SparkSession, paths: Paths,
     # The event fact is written once; sessions, the spine and every mart are
     # derived from the written table (no second session scan).
     out["fct_events"] = os.path.join(wh, "fct_events")
-    write_mart(marts.event_fact(sessions.sessionize(unioned, gap_minutes)), out["fct_events"])
+    # Partitioned by source: serving reads filter on it and prune whole
+    # directories; with two values each task writes at most two files.
+    write_mart(marts.event_fact(sessions.sessionize(unioned, gap_minutes)), out["fct_events"],
+               partition_by=("source",))
     fct = spark.read.parquet(out["fct_events"])
     # Sessions of events that cannot be attached (NULL user or time) exist in
     # the session table but not in the fact; a pushed-down NULL filter finds them.
@@ -115,7 +118,7 @@ def run_pipeline(spark: SparkSession, paths: Paths,
     }
     for name, df in derived.items():
         out[name] = os.path.join(wh, name)
-        write_mart(df, out[name])
+        write_mart(df, out[name], partition_by=("source",) if name == "fct_sessions" else ())
     fs = spark.read.parquet(out["fct_sessions"])
     dd = spark.read.parquet(out["dim_date"])
 
