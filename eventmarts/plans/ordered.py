@@ -24,6 +24,9 @@ from eventmarts.functions.time import time_bucket
 BUCKET = "_b"
 PK = "_pk"
 DEFAULT_BUCKET_SECONDS = 600
+# Rows of one (key, bucket) above which the bucket is subdivided.
+DEFAULT_HOT_ROWS = 2_000_000
+_SUB = 1 << 20  # sub-buckets per bucket (composite bucket = bucket * _SUB + sub)
 
 
 def _with_pk(df: DataFrame, keys: Sequence[str], bucket) -> tuple[DataFrame, list]:
@@ -40,6 +43,36 @@ def _with_pk(df: DataFrame, keys: Sequence[str], bucket) -> tuple[DataFrame, lis
     return df.select(*cols, pk.alias(PK)), cols
 
 
+def _time_buckets(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int,
+                  hot_rows: int | None) -> tuple[DataFrame, str]:
+    """Add a time-bucket column ``_tb`` (monotone in ``ts`` within a key).
+
+    With ``hot_rows``, a (key, bucket) holding more rows than that -- a burst
+    of one key inside one bucket -- is subdivided into sub-buckets whose width
+    shrinks with its row count (about ``hot_rows`` rows each when spread over
+    time).  The list of hot buckets has at most rows / ``hot_rows`` entries;
+    AQE picks the join strategy for it from its measured size.
+    """
+    coarse = time_bucket(ts, bucket_seconds)
+    if hot_rows is None:
+        return df.select("*", coarse.alias("_tb")), "_tb"
+    width = int(bucket_seconds) * 1_000_000
+    hk = F.struct(*[F.col(k).alias(k) for k in keys], F.col("_cb").alias("_cb"))
+    base = df.select("*", coarse.alias("_cb"))
+    hot = (base.groupBy(hk.alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > int(hot_rows))
+           .select("_hk", F.greatest(F.lit(1).cast("long"), F.floor(
+               F.lit(width).cast("long") * F.lit(int(hot_rows)).cast("long") / F.col("_n")))
+                   .cast("long").alias("_fine")))
+    e = base.select("*", hk.alias("_hk")).join(hot, "_hk", "left")
+    offset = F.unix_micros(F.col(ts)) - F.col("_cb") * F.lit(width).cast("long")
+    sub = F.when(F.col("_fine").isNotNull(),
+                 F.least(F.floor(offset / F.col("_fine")), F.lit(_SUB - 1).cast("long"))
+                 ).otherwise(F.lit(0).cast("long"))
+    tb = F.col("_cb") * F.lit(_SUB).cast("long") + sub
+    return e.select(*[F.col(c) for c in df.columns], tb.cast("long").alias("_tb")), "_tb"
+
+
 def _unpack(b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bucket table with the key fields and bucket as plain columns, so every
     per-key window over it shares one partitioning (one exchange)."""
@@ -53,10 +86,13 @@ def _per_key(keys: Sequence[str]) -> Window:
 
 
 def split_row_number(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
-                     name: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     name: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                     hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """``row_number() over (partition by keys order by ts, tiebreak)`` without
-    sending a whole key to one task."""
-    e, cols = _with_pk(df, keys, time_bucket(ts, bucket_seconds))
+    sending a whole key (or a burst of one key) to one task."""
+    tb, col = _time_buckets(df, keys, ts, bucket_seconds, hot_rows)
+    e, _ = _with_pk(tb, keys, F.col(col))
+    cols = [F.col(c) for c in df.columns]
     before = _per_key(keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (_unpack(e.groupBy(PK).agg(F.count(F.lit(1)).alias("_cnt")), keys)
                .select(PK, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset")))
@@ -68,7 +104,8 @@ def split_row_number(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
 def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                        is_break, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                        start_col: str = "session_start_at",
-                       seq_col: str = "event_sequence_number") -> DataFrame:
+                       seq_col: str = "event_sequence_number",
+                       hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Gap sessionization of each key's ordered rows.
 
     ``is_break(prev_ts, ts) -> Column`` says whether a row starts a new session
@@ -83,7 +120,9 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     row count and the last session start (timestamp, global rank) forward.
     """
     tcol = F.col(ts)
-    e, cols = _with_pk(df, keys, time_bucket(ts, bucket_seconds))
+    tb, col = _time_buckets(df, keys, ts, bucket_seconds, hot_rows)
+    e, _ = _with_pk(tb, keys, F.col(col))
+    cols = [F.col(c) for c in df.columns]
     w = Window.partitionBy(PK).orderBy(ts, tiebreak)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     e = e.select("*", F.row_number().over(w).alias("_lrank"), F.lag(ts).over(w).alias("_lprev"))

@@ -120,3 +120,33 @@ def test_unattachable_events_match_interval_join(spark):
     cols = ("event_id", "session_id", "event_sequence_number")
     assert rows(sessions.sessionize(df), *cols) == rows(sessions.sessionize_interval_join(df), *cols)
     assert sessions.gap_sessions(df).count() == 3  # (u, NULL-start), (u, 10:00), (NULL user)
+
+
+def test_hot_buckets_are_subdivided_and_still_exact(spark):
+    """A burst of one key inside one bucket is split into sub-buckets."""
+    from eventmarts.plans.ordered import split_gap_sessions
+
+    df = _events(spark, _random_events(3))
+    cols = ("event_id", "session_start_at", "event_sequence_number")
+    expected = rows(_plain(df, 30), *cols)
+    for hot in (20, 200):
+        got = split_gap_sessions(df, ["source", "user_id"], "event_timestamp", "event_id",
+                                 sessions.gap_rule(30), bucket_seconds=86400, hot_rows=hot)
+        assert rows(got, *cols) == expected, hot
+    plain_rn = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")))
+    got = split_row_number(df, ["user_id"], "event_timestamp", "event_id", "rn",
+                           bucket_seconds=86400, hot_rows=20)
+    assert rows(got, "event_id", "rn") == rows(plain_rn, "event_id", "rn")
+
+
+def test_hot_bucket_plan_splits_the_burst(spark):
+    """With hot_rows small, the busiest (key, bucket) spans many sub-buckets."""
+    from eventmarts.plans.ordered import _time_buckets
+
+    df = _events(spark, _random_events(5))
+    tb, col = _time_buckets(df, ["source", "user_id"], "event_timestamp", 86400, 25)
+    per = tb.groupBy("user_id", col).count().agg(F.max("count").alias("m")).first().m
+    coarse = df.groupBy("user_id", F.to_date("event_timestamp")).count().agg(
+        F.max("count").alias("m")).first().m
+    assert coarse > 25 and per < coarse
