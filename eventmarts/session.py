@@ -63,11 +63,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     checkpoint dir).  Only when neither is set -- local tests -- do we choose
     one ourselves, and then we register it so later calls agree.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="eventmarts-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)  # DataFrame.checkpoint() writes here
     return os.path.join(base, *parts, uuid.uuid4().hex)
