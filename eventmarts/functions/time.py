@@ -38,7 +38,7 @@ def week_start(d) -> Column:
 
 def weeks_between(a, b) -> Column:
     """Whole weeks between two Mondays a <= b."""
-    return F.floor(F.datediff(_col(b), _col(a)) / F.lit(7)).cast("int")
+    return F.floor(F.datediff(_col(b), _col(a)) / F.lit(7)).cast("long")
 
 
 def iso_millis(ts) -> Column:
