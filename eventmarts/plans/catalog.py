@@ -540,3 +540,36 @@ def q_serve_funnel(m: Model):
 def q_serve_active(m: Model):
     reports.register_models({"mart_dau_wau_mau": marts.active_users(m.fct_events())})
     return reports.serve(m.spark, "mart_dau_wau_mau", "batch_historical", ["date_day"])
+
+
+@query("keyed_records", O.with_base("""
+SELECT user_id AS key, event_id, event_type, url, element_id,
+       strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_timestamp
+FROM stg_stream"""))
+def q_keyed_records(m: Model):
+    from eventmarts.sinks.bronze import keyed_records
+    r = keyed_records(m.stream_bronze())
+    j = F.col("value")
+    return r.select(
+        "key",
+        F.get_json_object(j, "$.event_id").alias("event_id"),
+        F.get_json_object(j, "$.event_type").alias("event_type"),
+        F.get_json_object(j, "$.event_properties.url").alias("url"),
+        F.get_json_object(j, "$.event_properties.element_id").alias("element_id"),
+        F.get_json_object(j, "$.event_timestamp").alias("event_timestamp"))
+
+
+@query("bronze_gate_ingested", O.with_base("""
+, a AS (SELECT count(*) AS n FROM stg_hist)
+SELECT 1 AS check_order, 'row_count_positive' AS "check", n > 0 AS passed,
+       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, 'rows=' || n AS detail FROM a
+UNION ALL SELECT 2, 'required_fields_not_null', true, CAST(0 AS BIGINT), '' FROM a
+UNION ALL SELECT 3, 'event_type_values_valid', true, CAST(0 AS BIGINT), '' FROM a
+UNION ALL SELECT 4, 'no_duplicate_event_ids', true, CAST(0 AS BIGINT), '0 duplicate event_id values'
+FROM a"""))
+def q_gate_ingested(m: Model):
+    from eventmarts.sources.bronze import load_bronze_events
+    csv, out = shared_dir(m.spark, "raw_csv"), shared_dir(m.spark, "bronze_hist")
+    _write_raw_csv(m, csv)
+    pipeline.ingest_historical(m.spark, csv, out, max_records_per_file=2000)
+    return quality.bronze_checks(load_bronze_events(m.spark, out))

@@ -14,6 +14,7 @@ from eventmarts.schema import BRONZE, REQUIRED_FIELDS
 # historical writer's files are Spark part files.
 STREAM_GLOB = "{events-*.json*,part-*.txt,part-*.json*}"
 HISTORICAL_GLOB = "{part-*.json*,part-*.txt}"
+ANY_BRONZE_GLOB = "{*.json*,part-*.txt}"
 
 def read_bronze(spark: SparkSession, root: str, glob: str = STREAM_GLOB,
                 on_bad: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
@@ -52,7 +53,8 @@ def read_historical_bronze(spark: SparkSession, root: str, on_bad: str = "fail")
 
 
 def load_bronze_events(spark: SparkSession, root: str) -> DataFrame:
-    """S3: every ``*.json*`` file under ``root`` at any depth, for quality checks.
+    """S3: every bronze file (``*.json*``, or a part file of our text writers)
+    under ``root`` at any depth, for quality checks.
 
     A missing or empty tree yields an empty frame with the required columns.
     """
@@ -61,7 +63,7 @@ def load_bronze_events(spark: SparkSession, root: str) -> DataFrame:
     try:
         df = (spark.read.schema(BRONZE).option("mode", "FAILFAST")
               .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.json*").json(root))
+              .option("pathGlobFilter", ANY_BRONZE_GLOB).json(root))
         # Listing happens at analysis time; an empty directory gives no files.
         if not df.inputFiles():
             return empty
