@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmarts.schema import CONFORMED_FIELDS, HISTORICAL, STREAM
+from eventmarts.schema import CART_PROPS, CONFORMED_FIELDS, HISTORICAL, PURCHASE_PROPS, STREAM
 
 
 def _maybe(df: DataFrame, name: str, cast: str):
@@ -69,7 +69,6 @@ def conform(*staged: DataFrame) -> DataFrame:
 
 def cart_items(events_bronze: DataFrame) -> DataFrame:
     """Typed add_to_cart payload rows (session, product, price, quantity)."""
-    from eventmarts.schema import CART_PROPS
     p = F.from_json(F.col("event_properties"), CART_PROPS)
     return (events_bronze.where(F.col("event_type") == "add_to_cart")
             .select("event_id", "user_id", "session_id", p.alias("p"))
@@ -78,7 +77,6 @@ def cart_items(events_bronze: DataFrame) -> DataFrame:
 
 def purchases(events_bronze: DataFrame) -> DataFrame:
     """Typed purchase payload rows (session, order, total, item count)."""
-    from eventmarts.schema import PURCHASE_PROPS
     p = F.from_json(F.col("event_properties"), PURCHASE_PROPS)
     return (events_bronze.where(F.col("event_type") == "purchase")
             .select("event_id", "user_id", "session_id", p.alias("p"))

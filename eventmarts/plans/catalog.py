@@ -13,10 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmarts.operators import historical, marts, sessions, staging
+from eventmarts.operators import historical, marts, quality, reports, sessions, staging
 from eventmarts.plans import oracle as O
+from eventmarts.plans import pipeline
 from eventmarts.plans.build import Model
+from eventmarts.session import shared_dir
+from eventmarts.sinks.bronze import keyed_records, record_json
 from eventmarts.sources import binding
+from eventmarts.sources.bronze import (
+    load_bronze_events,
+    read_historical_bronze,
+    read_stream_bronze,
+)
+from eventmarts.sources.raw import read_event_stream
+from eventmarts.streaming import ingest as stream_ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -233,9 +243,6 @@ def q_retention_orders(m: Model):
 
 # --- reports ----------------------------------------------------------------
 
-from eventmarts.operators import quality, reports  # noqa: E402
-from eventmarts.session import shared_dir  # noqa: E402
-
 
 @query("list_sources", O.with_model("SELECT DISTINCT source FROM fct_events"))
 def q_list_sources(m: Model):
@@ -456,18 +463,11 @@ SELECT CAST(count(*) + count(*) FILTER (WHERE et0 = 'signup') AS BIGINT) AS line
        count(*) FILTER (WHERE et0 = 'error') = 0 AS passed
 FROM ev""")
 def q_contract(m: Model):
-    from eventmarts.sinks.bronze import keyed_records
     return quality.contract_check(keyed_records(binding.dirty_stream_bronze(m.table("events"))))
 
 
 # --- ingest round trips -------------------------------------------------------
 
-from eventmarts.sources.bronze import read_historical_bronze, read_stream_bronze  # noqa: E402
-from eventmarts.sinks.bronze import record_json  # noqa: E402
-from eventmarts.streaming import ingest as stream_ingest  # noqa: E402
-from eventmarts.sources.raw import read_event_stream  # noqa: E402
-from eventmarts.plans import pipeline  # noqa: E402
-
 
 def _write_stream_tree(m: Model, root: str) -> None:
     b = m.stream_bronze()
@@ -547,7 +547,6 @@ SELECT user_id AS key, event_id, event_type, url, element_id,
        strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_timestamp
 FROM stg_stream"""))
 def q_keyed_records(m: Model):
-    from eventmarts.sinks.bronze import keyed_records
     r = keyed_records(m.stream_bronze())
     j = F.col("value")
     return r.select(
@@ -568,7 +567,6 @@ UNION ALL SELECT 3, 'event_type_values_valid', true, CAST(0 AS BIGINT), '' FROM
 UNION ALL SELECT 4, 'no_duplicate_event_ids', true, CAST(0 AS BIGINT), '0 duplicate event_id values'
 FROM a"""))
 def q_gate_ingested(m: Model):
-    from eventmarts.sources.bronze import load_bronze_events
     csv, out = shared_dir(m.spark, "raw_csv"), shared_dir(m.spark, "bronze_hist")
     _write_raw_csv(m, csv)
     pipeline.ingest_historical(m.spark, csv, out, max_records_per_file=2000)
