@@ -517,8 +517,8 @@ def q_stream_dedup(m: Model):
     return _stream_through(m, recs.unionByName(replays), "1 hour")
 
 
-@query("pipeline_funnel", O.funnel_sql())
-def q_pipeline(m: Model):
+@query("warehouse_funnel", O.funnel_sql())
+def q_warehouse_funnel(m: Model):
     sroot, csv = shared_dir(m.spark, "bronze_stream"), shared_dir(m.spark, "raw_csv")
     hroot, wh = shared_dir(m.spark, "bronze_hist"), shared_dir(m.spark, "warehouse")
     _write_stream_tree(m, sroot)
