@@ -146,3 +146,20 @@ def test_streaming_staging_matches_batch(spark, scratch):
     exp = staging.stage_stream(read_stream_bronze(spark, STREAM_ROOT)).select(
         "event_id", "url", "element_id", "event_date")
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_stream_restart_picks_up_only_new_files(spark, scratch):
+    land = os.path.join(scratch, "landing")
+    lines = spark.read.text(STREAM_ROOT).select("value")
+    first, second = lines.where("value like '%fx-user-1%'"), lines.where("value not like '%fx-user-1%'")
+    first.write.text(land)
+    out, ckpt = os.path.join(scratch, "bronze"), os.path.join(scratch, "ckpt")
+    ingest_stream(read_event_stream(spark, "text", path=land), out, ckpt,
+                  trigger={"availableNow": True}).awaitTermination()
+    n1 = read_stream_bronze(spark, out).count()
+    second.write.mode("append").text(land)
+    ingest_stream(read_event_stream(spark, "text", path=land), out, ckpt,
+                  trigger={"availableNow": True}).awaitTermination()
+    df = read_stream_bronze(spark, out)
+    assert n1 == first.count() and df.count() == 11
+    assert df.select("event_id").distinct().count() == 11
