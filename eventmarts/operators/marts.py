@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eventmarts.functions import pct, second_boundaries, week_start, weeks_between
 from eventmarts.schema import EVENT_FACT_FIELDS, FUNNEL_STEPS, SESSION_FIELDS
+from eventmarts.sources.raw import funnel_steps
 
 # ---------------------------------------------------------------------------
 # Facts and calendar
@@ -63,8 +64,7 @@ def funnel(fact: DataFrame, steps: DataFrame | Iterable[tuple[str, int, str]] =
     a fixed handful of rows: broadcasting it is safe at any data size.
     """
     if not isinstance(steps, DataFrame):
-        steps = fact.sparkSession.createDataFrame(
-            list(steps), "source string, step_number int, event_type string")
+        steps = funnel_steps(fact.sparkSession, steps)
     reached = (fact.select("source", "event_type", "session_id")
                .join(F.broadcast(steps), ["source", "event_type"])
                .groupBy("source", "step_number", F.col("event_type").alias("step_name"))

@@ -163,3 +163,19 @@ def test_stream_restart_picks_up_only_new_files(spark, scratch):
     df = read_stream_bronze(spark, out)
     assert n1 == first.count() and df.count() == 11
     assert df.select("event_id").distinct().count() == 11
+
+
+def test_read_mart_and_drain(spark, scratch):
+    from eventmarts.sinks.bronze import write_mart
+    from eventmarts.sources.bronze import read_mart
+    from eventmarts.streaming.ingest import drain
+
+    path = os.path.join(scratch, "mart")
+    write_mart(spark.range(5).selectExpr("id", "'stream' as source"), path, ("source",))
+    assert read_mart(spark, path).where("source = 'stream'").count() == 5
+    land = _landing(spark, scratch)
+    q = ingest_stream(read_event_stream(spark, "text", path=land), os.path.join(scratch, "b"),
+                      os.path.join(scratch, "c"), trigger={"processingTime": "1 second"})
+    drain(q)
+    assert not q.isActive
+    assert read_stream_bronze(spark, os.path.join(scratch, "b")).count() == 11
