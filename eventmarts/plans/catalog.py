@@ -139,6 +139,11 @@ def q_sessionize_window(m: Model):
     return marts.event_fact(m.sessionized())
 
 
+@query("sessionize_gap_360", O.with_model("SELECT * FROM fct_events", 360))
+def q_sessionize_360(m: Model):
+    return marts.event_fact(sessions.sessionize(m.conformed(), 360))
+
+
 @query("sessionize_interval_join", SESSIONIZED_SQL)
 def q_sessionize_interval(m: Model):
     return marts.event_fact(sessions.sessionize_interval_join(m.conformed(), m.gap))
