@@ -150,3 +150,41 @@ def test_hot_bucket_plan_splits_the_burst(spark):
     coarse = df.groupBy("user_id", F.to_date("event_timestamp")).count().agg(
         F.max("count").alias("m")).first().m
     assert coarse > 25 and per < coarse
+
+
+def test_skewed_real_table_matches_duckdb(spark):
+    """sf0.01 events with one user holding ~1/3 of all rows (test-only remap):
+    the split scan, with bursts forced through subdivision, equals a plain
+    window computed independently by DuckDB."""
+    import duckdb
+
+    from eventmarts.plans.ordered import split_gap_sessions
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.when(F.col("user_id") < 50, F.lit("hot")).otherwise(F.col("user_id").cast("string"))
+        .alias("user_id"),
+        F.col("ts").cast("timestamp").alias("event_timestamp"),
+        F.lit("batch_historical").alias("source"))
+    got = split_gap_sessions(ev, ["source", "user_id"], "event_timestamp", "event_id",
+                             sessions.gap_rule(30), bucket_seconds=3600, hot_rows=5)
+    got = sorted((r.event_id, r.session_start_at.replace(tzinfo=None), r.event_sequence_number)
+                 for r in got.collect())
+    pdf = ev.select("event_id", "user_id",
+                    F.col("event_timestamp").cast("timestamp_ntz").alias("ts")).toPandas()
+    con = duckdb.connect()
+    con.register("ev", pdf)
+    exp = con.execute("""
+        WITH g AS (SELECT *, datediff('minute', lag(ts) OVER w, ts) AS m FROM ev
+                   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+             n AS (SELECT *, sum(CASE WHEN m IS NULL OR m > 30 THEN 1 ELSE 0 END) OVER (
+                     PARTITION BY user_id ORDER BY ts, event_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM g)
+        SELECT event_id, min(ts) OVER (PARTITION BY user_id, s) AS start,
+               row_number() OVER (PARTITION BY user_id, s ORDER BY ts, event_id) AS seq
+        FROM n""").fetchall()
+    exp = sorted((e, st.to_pydatetime() if hasattr(st, "to_pydatetime") else st, q)
+                 for e, st, q in exp)
+    hot_share = (pdf.user_id == "hot").mean()
+    assert 0.25 < hot_share < 0.45
+    assert got == exp
