@@ -72,8 +72,10 @@ def gap_sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUT
     """A2 + F12: one row per inferred session."""
     e = split_gap_sessions(
         _by_source(events, sources).select("source", "user_id", TS, TIE),
-        ["source", "user_id"], TS, TIE, gap_rule(gap_minutes), bucket_seconds)
-    s = (e.groupBy("user_id", "source", "session_start_at")
+        ["source", "user_id"], TS, TIE, gap_rule(gap_minutes), bucket_seconds,
+        rank_col="_srank")
+    # The start rank separates sessions whose start timestamp is NULL.
+    s = (e.groupBy("user_id", "source", "session_start_at", "_srank")
          .agg(F.max(TS).alias("session_end_at"), F.count(F.lit(1)).alias("event_count")))
     return s.select(
         surrogate_key(F.col("user_id"), ts_key_text(F.col("session_start_at"))).alias("session_id"),

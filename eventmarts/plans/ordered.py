@@ -105,14 +105,19 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
                        is_break, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                        start_col: str = "session_start_at",
                        seq_col: str = "event_sequence_number",
-                       hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                       hot_rows: int | None = DEFAULT_HOT_ROWS,
+                       rank_col: str | None = None) -> DataFrame:
     """Gap sessionization of each key's ordered rows.
 
     ``is_break(prev_ts, ts) -> Column`` says whether a row starts a new session
     given the previous row's timestamp (the first row of a key always does).
     Adds ``start_col`` (timestamp of the session's first row; unique per key,
     since a row at the same instant as its predecessor never breaks) and
-    ``seq_col`` (1-based position in the session, same total order).
+    ``seq_col`` (1-based position in the session, same total order) and, if
+    ``rank_col`` is given, the session's start position in the key's order
+    (unique per session even when start timestamps are NULL).  A NULL
+    timestamp -- on the row or its predecessor -- always breaks, as a NULL
+    difference does in SQL.
 
     One windowed pass per (key, bucket): every row but a bucket's first knows
     its predecessor locally.  The bucket table then decides each bucket's first
@@ -126,7 +131,9 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     w = Window.partitionBy(PK).orderBy(ts, tiebreak)
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     e = e.select("*", F.row_number().over(w).alias("_lrank"), F.lag(ts).over(w).alias("_lprev"))
-    lnew = F.col("_lprev").isNotNull() & is_break(F.col("_lprev"), tcol)
+    # Rows after a bucket's first: break when either timestamp is NULL or the
+    # rule says so.  (A bucket's first row is decided in the bucket table.)
+    lnew = (F.col("_lrank") > 1) & F.coalesce(is_break(F.col("_lprev"), tcol), F.lit(True))
     e = e.select("*", lnew.alias("_lnew"),
                  F.max(F.when(lnew, tcol)).over(run).alias("_lstart"),
                  F.max(F.when(lnew, F.col("_lrank"))).over(run).alias("_lstart_rank"))
@@ -144,7 +151,7 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     b = b.select(PK, *kk, "_b_first", "_b_lstart", "_b_lstart_rank",
                  F.lag("_b_last").over(wb).alias("_prev_last"),
                  F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
-    first_new = F.col("_prev_last").isNull() | is_break(F.col("_prev_last"), F.col("_b_first"))
+    first_new = F.coalesce(is_break(F.col("_prev_last"), F.col("_b_first")), F.lit(True))
     b = b.select(PK, *kk, "_b_first", "_offset", first_new.alias("_first_new"),
                  F.coalesce(F.col("_b_lstart"), F.when(first_new, F.col("_b_first")))
                  .alias("_b_start"),
@@ -155,14 +162,15 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
                  F.max("_b_start_grank").over(before).alias("_carry_grank"))
     e = e.join(b, PK)
 
-    local = F.col("_lstart").isNotNull()
+    local = F.col("_lstart_rank").isNotNull()
     first = F.col("_first_new")
     start = (F.when(local, F.col("_lstart")).when(first, F.col("_b_first"))
              .otherwise(F.col("_carry_start")))
-    seq = (F.when(local, F.col("_lrank") - F.col("_lstart_rank") + 1)
-           .when(first, F.col("_lrank"))
-           .otherwise(F.col("_offset") + F.col("_lrank") - F.col("_carry_grank") + 1))
-    return e.select(*cols, start.alias(start_col), seq.cast("long").alias(seq_col))
+    srank = (F.when(local, F.col("_offset") + F.col("_lstart_rank"))
+             .when(first, F.col("_offset") + 1).otherwise(F.col("_carry_grank")))
+    seq = F.col("_offset") + F.col("_lrank") - srank + 1
+    extra = [srank.cast("long").alias(rank_col)] if rank_col else []
+    return e.select(*cols, start.alias(start_col), seq.cast("long").alias(seq_col), *extra)
 
 
 def split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,

@@ -188,3 +188,34 @@ def test_skewed_real_table_matches_duckdb(spark):
     hot_share = (pdf.user_id == "hot").mean()
     assert 0.25 < hot_share < 0.45
     assert got == exp
+
+
+def test_null_timestamps_each_start_a_session_like_sql(spark):
+    """Several NULL-timestamp events of one user: one session each (a NULL
+    difference always breaks), checked against DuckDB's window SQL."""
+    import duckdb
+
+    data = [("a", "u", None), ("b", "u", None), ("c", "u", "2024-01-01 10:00:00"),
+            ("d", "u", "2024-01-01 10:10:00"), ("e", "v", None)]
+    df = spark.createDataFrame(
+        [(e, u, dt.datetime.fromisoformat(t) if t else None, "batch_historical") for e, u, t in data],
+        SCHEMA)
+    got = sorted((r.user_id, r.session_id, r.event_count)
+                 for r in sessions.gap_sessions(df).collect())
+    con = duckdb.connect()
+    exp = con.execute("""
+        WITH ev(event_id, user_id, ts) AS (VALUES ('a', 'u', NULL::TIMESTAMP), ('b', 'u', NULL),
+               ('c', 'u', TIMESTAMP '2024-01-01 10:00:00'), ('d', 'u', TIMESTAMP '2024-01-01 10:10:00'),
+               ('e', 'v', NULL)),
+        g AS (SELECT *, datediff('minute', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id),
+                                 ts) AS m FROM ev),
+        n AS (SELECT *, sum(CASE WHEN m IS NULL OR m > 30 THEN 1 ELSE 0 END) OVER (
+                PARTITION BY user_id ORDER BY ts, event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM g)
+        SELECT user_id,
+               md5(user_id || '-' || coalesce(CAST(min(ts) AS VARCHAR) || '+00',
+                                              '_dbt_utils_surrogate_key_null_')),
+               count(*)
+        FROM n GROUP BY user_id, s""").fetchall()
+    assert got == sorted(exp)
+    assert len(got) == 4
