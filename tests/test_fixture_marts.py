@@ -144,3 +144,11 @@ def test_full_pipeline_writes_marts(spark, scratch):
     assert spark.read.parquet(out["fct_events"]).count() == 24
     assert spark.read.parquet(out["mart_retention"]).count() == 6
     assert spark.read.parquet(out["mart_dau_wau_mau"]).count() == 17
+
+
+def test_serve_binds_parameters(spark, fixture_models):
+    reports.register_models({"fct_events": fixture_models["fct_events"]})
+    assert reports.serve(spark, "fct_events", "stream").count() == 11
+    assert reports.serve(spark, "fct_events", "stream' OR '1'='1").count() == 0
+    rows_ = reports.serve(spark, "fct_events", "batch_historical", ["event_timestamp"]).collect()
+    assert len(rows_) == 13 and rows_[0].event_id == "fx-hist-0001"
