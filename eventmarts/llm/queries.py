@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmarts.llm import host_quality, quote_links, secret_scan, url_filter
+from eventmarts.llm import host_quality, quote_links, rff_quality, secret_scan, url_filter
 from eventmarts.llm.common import read
 
 
@@ -28,11 +28,17 @@ def op8_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_links.conversations(read(spark, sf_dir, "conversations"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rff_quality.score_documents(read(spark, sf_dir, "documents"),
+                                       read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_host_quality_rules": op5_host_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op8_quote_linking": op8_quote_linking,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
