@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmarts.llm import host_quality, quote_links, rff_quality, secret_scan, url_filter
+from eventmarts.llm import host_quality, packing, quote_links, rff_quality, secret_scan, url_filter
 from eventmarts.llm.common import read
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_filter.RULES), "rule string, verdict string")
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules).select(
@@ -34,6 +40,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_host_quality_rules": op5_host_quality_rules,
     "op6_secret_scan": op6_secret_scan,
