@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmarts.llm import host_quality, packing, quote_links, rff_quality, secret_scan, url_filter
+from eventmarts.llm import host_quality, mixing, packing, quote_links, rff_quality, secret_scan, url_filter
 from eventmarts.llm.common import read
+from eventmarts.llm.oracle import ORACLES  # noqa: F401
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target",
+                        mixing.words_taken(F.col("segments")).alias("taken"))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +48,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_source_mixing": op2_source_mixing,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_host_quality_rules": op5_host_quality_rules,
@@ -47,5 +56,3 @@ QUERIES = {
     "op8_quote_linking": op8_quote_linking,
     "op10_quality_classifier": op10_quality_classifier,
 }
-
-ORACLES: dict[str, str] = {}
