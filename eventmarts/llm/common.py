@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,8 +65,8 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             continue
         col = batch.column(batch.schema.get_field_index(key))
         if n > 1:
-            differs = pa.compute.not_equal(col.slice(1), col.slice(0, n - 1))
-            cuts = [i + 1 for i, d in enumerate(differs.to_pylist()) if d]
+            differs = pc.not_equal(col.slice(1), col.slice(0, n - 1))
+            cuts = (np.flatnonzero(differs.to_numpy(zero_copy_only=False)) + 1).tolist()
         else:
             cuts = []
         begin = 0

@@ -4,6 +4,27 @@ from __future__ import annotations
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP1 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+         ELSE array_to_string(w[i:i + 4], ' ') END AS gram
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 2))) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 5 * k >= 4 * (p.n + q.n - k)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT d.doc_id, least(d.doc_id, coalesce(lowest.b, d.doc_id)) AS class_id,
+       coalesce(degree.n, 0)::BIGINT AS n_links
+FROM d LEFT JOIN lowest ON lowest.a = d.doc_id LEFT JOIN degree ON degree.a = d.doc_id
+"""
+
 OP2 = rf"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
@@ -59,6 +80,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 ORACLES = {
+    "op1_ngram_jaccard_join": OP1,
     "op2_source_mixing": OP2,
     "op4_url_filter": OP4,
 }

@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmarts.llm import host_quality, mixing, packing, quote_links, rff_quality, secret_scan, url_filter
+from eventmarts.llm import host_quality, mixing, ngram_join, packing, quote_links, rff_quality, secret_scan, url_filter
 from eventmarts.llm.common import read
 from eventmarts.llm.oracle import ORACLES  # noqa: F401
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(read(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -48,6 +53,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
