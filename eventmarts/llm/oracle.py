@@ -79,8 +79,28 @@ m AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
+OP9 = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(degree.n, 0)::BIGINT AS n_links,
+       least(vec_id, coalesce(lowest.b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(lowest.b, vec_id)) AS kept
+FROM embeddings m LEFT JOIN lowest ON lowest.a = m.vec_id LEFT JOIN degree ON degree.a = m.vec_id
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": OP1,
     "op2_source_mixing": OP2,
+    "op9_lattice_near_dup": OP9,
     "op4_url_filter": OP4,
 }

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmarts.llm import host_quality, mixing, ngram_join, packing, quote_links, rff_quality, secret_scan, url_filter
+from eventmarts.llm import (host_quality, lattice_dedup, mixing, ngram_join, packing, quote_links,
+                            rff_quality, secret_scan, url_filter)
 from eventmarts.llm.common import read
 from eventmarts.llm.oracle import ORACLES  # noqa: F401
 
@@ -47,6 +48,10 @@ def op8_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_links.conversations(read(spark, sf_dir, "conversations"))
 
 
+def op9_lattice_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rff_quality.score_documents(read(spark, sf_dir, "documents"),
                                        read(spark, sf_dir, "labels"))
@@ -60,5 +65,6 @@ QUERIES = {
     "op5_host_quality_rules": op5_host_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op8_quote_linking": op8_quote_linking,
+    "op9_lattice_near_dup": op9_lattice_near_dup,
     "op10_quality_classifier": op10_quality_classifier,
 }
