@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmarts.llm import (host_quality, lattice_dedup, mixing, ngram_join, packing, quote_links,
-                            rff_quality, secret_scan, url_filter)
+from eventmarts.llm import (host_quality, html_extract, lattice_dedup, mixing, ngram_join, packing,
+                            quote_links, rff_quality, secret_scan, url_filter)
 from eventmarts.llm.common import read
 from eventmarts.llm.oracle import ORACLES  # noqa: F401
 
@@ -44,6 +44,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_links.conversations(read(spark, sf_dir, "conversations"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_host_quality_rules": op5_host_quality_rules,
     "op6_secret_scan": op6_secret_scan,
+    "op7_html_extraction": op7_html_extraction,
     "op8_quote_linking": op8_quote_linking,
     "op9_lattice_near_dup": op9_lattice_near_dup,
     "op10_quality_classifier": op10_quality_classifier,
