@@ -79,6 +79,54 @@ m AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
+_RATE = """
+  (f_{r} + m_{r} * greatest(coalesce(m_{r} * (1 - m_{r})
+     / nullif(greatest(q_{r} - m_{r} * m_{r} - m_{r} * (1 - m_{r}) * hosts / docs,
+                       m_{r} * (1 - m_{r}) / 1000), 0) - 1, 0), 2))
+  / (n + greatest(coalesce(m_{r} * (1 - m_{r})
+     / nullif(greatest(q_{r} - m_{r} * m_{r} - m_{r} * (1 - m_{r}) * hosts / docs,
+                       m_{r} * (1 - m_{r}) / 1000), 0) - 1, 0), 2)) <= 0.5"""
+_HOST_RULES = ("short", "repeats", "symbols", "dup_lines")
+
+OP5 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS t, {_WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+g AS (
+  SELECT k, i, count(*) OVER (PARTITION BY k, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS seen
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 1))) AS i)),
+r AS (
+  SELECT k, count(DISTINCT i + j) AS n
+  FROM g, (SELECT unnest(range(0, 5)) AS j) WHERE seen > 1 GROUP BY k),
+m AS (
+  SELECT d.k, doc_id, source, len(w)::BIGINT AS n_words,
+         length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         len(lines) AS n_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN r ON r.k = d.k),
+f AS (
+  SELECT *, n_words < 10 AS short, 100 * n_repeat_words > 20 * n_words AS repeats,
+         100 * n_symbols > 10 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_lines AS dup_lines
+  FROM m),
+h AS (
+  SELECT source, count(*)::DOUBLE AS n,
+         {", ".join(f"sum({r}::INT)::DOUBLE AS f_{r}" for r in _HOST_RULES)}
+  FROM f GROUP BY source),
+p AS (
+  SELECT sum(n) AS docs, count(*) AS hosts,
+         {", ".join(f"sum(f_{r}) / sum(n) AS m_{r}, sum(f_{r} * f_{r} / n) / sum(n) AS q_{r}"
+                    for r in _HOST_RULES)}
+  FROM h),
+v AS (
+  SELECT source, {" AND ".join(_RATE.format(r=r) for r in _HOST_RULES)} AS ok FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       short OR repeats AS base_failed, NOT (short OR repeats) AND ok AS kept
+FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
 OP9 = """
 WITH RECURSIVE e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
@@ -101,6 +149,7 @@ FROM embeddings m LEFT JOIN lowest ON lowest.a = m.vec_id LEFT JOIN degree ON de
 ORACLES = {
     "op1_ngram_jaccard_join": OP1,
     "op2_source_mixing": OP2,
+    "op5_host_quality_rules": OP5,
     "op9_lattice_near_dup": OP9,
     "op4_url_filter": OP4,
 }

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame
 STRONG = ("assign", "access", "hex")
 WEAK = ("identifier", "secret", "endpoint")
 KINDS = STRONG + WEAK
+SECRET_KINDS = frozenset({0, 2, 4})  # assign, hex, secret; the others name or place one
 REACH = 200
 MASK = "<secret>"
 
@@ -73,6 +75,23 @@ def _random_looking(s: str) -> bool:
     return digits >= 2 and upper >= 2 and lower >= 2
 
 
+def _outside(spans: list[Span], strong: list[Span]) -> list[Span]:
+    """Spans that do not overlap a strong one."""
+    merged: list[list[int]] = []
+    for s, _, e in sorted(strong):
+        if merged and s < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([s, e])
+    ends = [e for _, e in merged]
+    out = []
+    for p in spans:
+        k = bisect_right(ends, p[0])
+        if k == len(merged) or merged[k][0] >= p[2]:
+            out.append(p)
+    return out
+
+
 def weak_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span]:
     """Weak candidates whose complementary parts lie in the same scope."""
     found = [(m.start(), 3, m.end()) for m in _IDENTIFIER.finditer(text)]
@@ -81,24 +100,26 @@ def weak_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span]:
         return []  # a secret alone is no credential
     found += [(m.start(), 4, m.end()) for m in _SECRET.finditer(text)
               if _random_looking(m.group())]
+    found = _outside(found, strong)
     if not found:
         return []
-    parts = sorted(found + strong)
-    scopes = [m.start() for m in _BREAK.finditer(text)]
-    out, near, at, scope = set(), [], 0, 0
-    role = (1, 0, 1, 0, 1, 2)  # identifier 0, secret 1, endpoint 2
-    for start, kind, end in parts:
-        while at < len(scopes) and scopes[at] < start:
-            at, scope = at + 1, scope + 1
-        near = [p for p in near if p[3] == scope and p[2] + reach >= start]
-        for other in near:
-            if (role[kind] == 1) != (role[other[1]] == 1):  # secret with identifier or endpoint
-                out.update(p[:3] for p in (other, (start, kind, end)) if p[1] >= 3)
-        # one latest part of each kind is enough: its end reaches as far as any
-        near = [p for p in near if p[1] != kind or p[2] > end] + [(start, kind, end, scope)]
-    strong_at = sorted((s, e) for s, _, e in strong)
-    covered = lambda s, e: any(a < e and s < b for a, b in strong_at)
-    return [p for p in out if not (p[1] == 4 and covered(p[0], p[2]))]
+    breaks = [m.start() for m in _BREAK.finditer(text)]
+    out: set[Span] = set()
+    # parts within reach, by role; spans of a kind do not overlap, so these are few
+    near: tuple[list, list] = ([], [])
+    scope = 0
+    for part in sorted(found + strong):
+        start, kind, end = part
+        if scope < len(breaks) and breaks[scope] < start:
+            scope = bisect_left(breaks, start)
+            near = ([], [])
+        is_secret = kind in SECRET_KINDS
+        others = [p for p in near[not is_secret] if p[2] + reach >= start]
+        near[not is_secret][:] = others
+        if others:
+            out.update(p for p in (*others, part) if p[1] >= len(STRONG))
+        near[is_secret].append(part)
+    return list(out)
 
 
 def find_spans(text: str | None) -> list[Span]:
