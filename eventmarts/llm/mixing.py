@@ -198,22 +198,23 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: i
     their length.
     """
     columns = docs.columns
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    taken = (mix(rows, ("_row", "doc_id"), weights, seed=seed)
-             .select("_row", "size", F.explode("segments").alias("s"))
-             .select("_row", "size", "s.*"))
-    # within a shard, a seeded hash of row and epoch is the local shuffle
-    mixed = (rows.join(taken, "_row")
-             .withColumn("_place", F.xxhash64(F.lit(seed), "_row", "epoch", "first_word")))
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    taken = (mix(rows, ("__row", "doc_id"), weights, seed=seed)
+             .select("__row", F.col("size").alias("__size"), F.explode("segments").alias("s"))
+             .select("__row", "__size", F.col("s.shard").alias("__shard"),
+                     F.col("s.first_word").alias("__first"), F.col("s.n_words").alias("__words"),
+                     # within a shard, a seeded hash is the local shuffle
+                     F.xxhash64(F.lit(seed), "__row", "s.epoch", "s.first_word").alias("__place")))
+    mixed = rows.join(taken, "__row")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            part = (pdf["n_words"] < pdf["size"]).to_numpy()
+            part = (pdf["__words"] < pdf["__size"]).to_numpy()
             if part.any():
                 texts = pdf["text"].to_numpy(dtype=object, copy=True)
                 for i in np.flatnonzero(part):
-                    texts[i] = cut_words(texts[i], int(pdf["first_word"].iat[i]),
-                                         int(pdf["n_words"].iat[i]))
+                    texts[i] = cut_words(texts[i], int(pdf["__first"].iat[i]),
+                                         int(pdf["__words"].iat[i]))
                 pdf["text"] = texts
                 if "n_chars" in columns:
                     sizes = pdf["n_chars"].astype("Int64")
@@ -221,6 +222,5 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: i
                     pdf["n_chars"] = sizes
             yield pdf[columns]
 
-    shard = F.col("shard")
-    return (mixed.repartition(shard).sortWithinPartitions("shard", "_place")
+    return (mixed.repartition("__shard").sortWithinPartitions("__shard", "__place")
             .mapInPandas(cut, docs.schema))

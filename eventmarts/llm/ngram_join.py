@@ -340,14 +340,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """
     columns = docs.columns
     keep = (jaccard_join(docs, id_col).where(F.col(id_col) == F.col("class_id"))
-            .groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")))
+            .groupBy(id_col).agg(F.count(F.lit(1)).alias("__rows")))
     named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col)
     # repeated rows: the join has brought equal ids together already
     alike = F.regexp_replace(F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")),
                              " +", " ")
-    again = Window.partitionBy(id_col, "_words").orderBy(F.xxhash64(*columns))
-    single = named.where(F.col("_rows") == 1)
-    repeated = (named.where(F.col("_rows") > 1).withColumn("_words", F.md5(alike.cast("binary")))
-                .withColumn("_k", F.row_number().over(again)).where(F.col("_k") == 1))
+    again = Window.partitionBy(id_col, "__words").orderBy(F.xxhash64(*columns))
+    single = named.where(F.col("__rows") == 1)
+    repeated = (named.where(F.col("__rows") > 1).withColumn("__words", F.md5(alike.cast("binary")))
+                .withColumn("__k", F.row_number().over(again)).where(F.col("__k") == 1))
     return (single.select(*columns).unionByName(repeated.select(*columns))
             .unionByName(docs.where(F.col(id_col).isNull())))

@@ -1,0 +1,92 @@
+"""Normal equations, calibration and held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from eventmarts.llm import rff_quality as R
+from eventmarts.llm.words import chunks
+
+
+def _corpus(n=600, seed=1):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(800)]
+    rows, labels = [], []
+    for i in range(n):
+        text = " ".join(rng.choices(words, k=rng.randint(20, 200))) + "."
+        good = i % 4 > 0
+        if not good:
+            text = rng.choice([lambda: text.upper().replace(" ", "!! "), lambda: (text[:12] + " ") * 30,
+                               lambda: text.replace(" ", "### ")])()
+        rows.append((i, text, f"s{i % 3}"))
+        if i // 4 % 2:
+            labels.append((i, int(good), 0))
+    return rows, labels
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_held_out_documents_are_told_apart(spark, documents):
+    rows, labels = _corpus()
+    docs = documents(rows)
+    out = {r["doc_id"]: r for r in R.score_documents(docs, spark.createDataFrame(labels, LABELS)).collect()}
+    assert len(out) == len(rows)
+    for i, r in out.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3)
+    unseen = [(r["predicted"], int(i % 4 > 0)) for i, r in out.items() if r["held_out"] or i // 4 % 2 == 0]
+    assert np.mean([a == b for a, b in unseen]) > 0.97
+    kept = R.keep_good(docs, spark.createDataFrame(labels, LABELS))
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, r in out.items() if r["predicted"]}
+
+
+def test_held_out_labels_and_other_columns_do_not_reach_the_score(spark, documents):
+    rows, labels = _corpus(200)
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, 1) for i, q, _ in labels]
+    a = R.score_documents(documents(rows), spark.createDataFrame(labels, LABELS))
+    b = R.score_documents(documents([(i, t, "other") for i, t, _ in rows]), spark.createDataFrame(flipped, LABELS))
+    score = lambda df: {r["doc_id"]: r["score"] for r in df.collect()}
+    assert score(a) == pytest.approx(score(b), abs=1e-9)
+
+
+def test_summed_equations_equal_one_solve(spark):
+    rng = np.random.default_rng(3)
+    stats = rng.standard_normal((300, len(R.STATS)))
+    label = (stats[:, 0] > 0).astype(float)
+    df = spark.createDataFrame([(s.tolist(), float(y)) for s, y in zip(stats, label)],
+                               "stats array<double>, label double").repartition(5)
+    model = R.fit(df, features=20)
+    z = model.features(stats)
+    want = np.linalg.solve(z.T @ z + R.RIDGE * 300 / 21 * np.eye(21), z.T @ label)
+    assert np.allclose(model.weights, want, atol=1e-6)
+    assert (np.diff(model.values) >= 0).all()
+
+
+def test_isotonic_equals_the_min_max_formula():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n = rng.integers(1, 12)
+        w, v = rng.integers(1, 5, n).astype(float), rng.random(n)
+        mean = lambda a, b: (w[a:b + 1] @ v[a:b + 1]) / w[a:b + 1].sum()
+        want = [max(min(mean(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+        assert np.allclose(R.isotonic(w, v), want)
+
+
+def test_statistics_do_not_depend_on_the_batch():
+    texts = ["", None, "word", "a b a b a b a b", "Über ÉTÉ! 12", "x " * 4000, "NO!! YES!!\nNO!! YES!!"] * 3
+    whole = np.concatenate([R.statistics(t) for _, t in chunks(pa.array(texts))])
+    single = np.concatenate([R.statistics(t) for _, t in chunks(pa.array(texts), 1)])
+    assert np.isfinite(whole).all() and np.allclose(whole, single)
+
+
+def test_without_labels_and_empty_tables(spark, documents):
+    none = spark.createDataFrame([(1, None, None), (None, 1, 0)], LABELS)
+    out = R.score_documents(documents([(1, "text", "s"), (1, None, "s"), (None, "x", "s")]), none).collect()
+    assert [(r["score"], r["predicted"]) for r in out] == [(0.5, 1)] * 3
+    assert R.score_documents(documents([]), none).count() == 0
