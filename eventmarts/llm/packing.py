@@ -2,8 +2,8 @@
 
 Tokenising.  A text's ids end with one separator.  A text longer than a sequence
 is cut into full sequences, the shorter remainder first.  Tasks remember the ids
-of words (a run of blanks and line ends with the word after it), which the
-tokenizer treats independently; texts with any other white space or control
+of words (with the blanks and line ends before them), which the tokenizer treats
+independently; texts with any other white space or control
 character are encoded as a whole.  Both give the ids of encoding the whole text.
 
 Packing (hierarchical residual packing).  Pieces are dealt to partitions by hash.
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -46,14 +47,28 @@ WIDTH = 1024
 SEPARATOR = 2
 FAN_IN = 8
 ITEMS_PER_TASK = 200_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 
-_WORD = re.compile(r"[ \n]*[^ \n]+|[ \n]+\Z")
+# blanks and line ends with the run after them; letters before plain punctuation or the
+# end of a run stand alone, as the tokenizer always cuts there
+_WORD = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,;:!?()]|\Z)|[ \n]*[^ \n]+|[ \n]+\Z")
+# one pre-token: the merges apply to it directly
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # any white space but blank and line end, and control or format characters
 _ODD = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f"
                   r"\u205f-\u2064\u3000\ufeff]")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that a byte-level vocabulary writes for each byte: printable ones stay."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, remembering words."""
 
@@ -64,7 +79,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -74,23 +91,32 @@ class Encoder:
         return cls._loaded[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in
-                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (
+            e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
+
+    def _learn(self, words: set[str]) -> None:
+        """Make ``known`` hold all of ``words``."""
+        if len(self.known) > CACHED_WORDS // 2:  # two generations: words in use are kept
+            self.known, self.older = {}, self.known
+        new = words.difference(self.known)
+        kept = [w for w in new if w in self.older]
+        self.known.update((w, self.older[w]) for w in kept)
+        new.difference_update(kept)
+        other = []
+        for w in new:
+            if _PLAIN.fullmatch(w):
+                ids = [t.id for t in self.merge(w.encode().decode("latin-1").translate(_LETTERS))]
+                self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                other.append(w)
+        if other:
+            self.known.update(zip(other, self._encode(other)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD.search(t) else _WORD.findall(t) for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        known = self.known
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words)
-        new -= known.keys()
-        if new:
-            order = list(new)
-            known.update(zip(order, self._encode(order)))
-        return [self._encode([t])[0] if words is None else b"".join(map(known.__getitem__, words))
+        self._learn(set().union(*(words for words in split if words)))
+        known = self.known.__getitem__
+        return [self._encode([t])[0] if words is None else b"".join(map(known, words))
                 for t, words in zip(texts, split)]
 
 

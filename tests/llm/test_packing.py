@@ -25,6 +25,9 @@ def test_remembered_words_give_the_ids_of_whole_texts(tokenizer):
     parts = ["word", "it's", "we'll", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", "　", "日本", "é", "12",
              "...", "!?", "<|endoftext|>", "\x1c", "\x85", "​", "😀", "'s", "A", "#$%", "﻿"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(1500)]
+    letters = "aZÀÖØößøÿé"
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) + rng.choice([".", ",", "", "?!", "'s"])
+                       for _ in range(20)) for _ in range(200)]
     got = P.Encoder(PATH).encode(texts)
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
