@@ -14,9 +14,9 @@
 
 "The latest earlier one" (steps 3 and 4) is an as-of join over runs of turns: a
 partial aggregate keeps the last turn of each run, a window over that small table
-carries it forward, and only the rows of one run meet.  So neither a conversation
-nor a passage with a third of all rows is one group.  Branches are found by
-pointer doubling on the equi-key (conversation, turn).
+carries it forward, and only the rows of one run meet.  So neither a
+conversation nor a passage with a third of all rows is one group.  The equi-key
+(conversation, turn) spreads a large conversation in all other joins.
 
 Defined results: a null text is empty; a message whose conversation or turn is
 null links to nothing and is its own branch.  Rows of the same (conv_id, turn) are
@@ -73,8 +73,9 @@ def parse(messages: DataFrame) -> DataFrame:
     lines = F.col("_lines")
     own = F.filter(lines, lambda x, i: (x["level"] == 0) & ~(
         F.coalesce(F.get(lines, i + 1)["level"] > 0, F.lit(False)) & x["line"].rlike(_ATTRIBUTION)))
-    own_text = F.trim(F.regexp_replace(
-        F.array_join(F.transform(own, lambda x: x["line"]), "\n"), r"\n{3,}", "\n\n"))
+    own_text = F.btrim(F.regexp_replace(
+        F.array_join(F.transform(own, lambda x: x["line"]), "\n"), r"\n{3,}", "\n\n"),
+        F.lit(" \t\r\n"))
     spans = F.filter(F.transform(
         F.concat(lines, _passages(lines)),
         lambda x: F.struct(x["level"].alias("level"), normalise(x["line"]).alias("said"))),
@@ -134,23 +135,40 @@ def links(parsed: DataFrame) -> DataFrame:
 
 
 def branches(replies: DataFrame) -> DataFrame:
-    """``conv_id, turn, branch`` from distinct ``conv_id, turn, reply_to``.
+    """``conv_id, turn, branch`` from distinct ``conv_id, turn, before, reply_to``.
 
-    The first reply of a message points to it, every other message to itself;
-    doubling the pointers until none moves leads each to its branch's first turn.
+    The first reply of a message continues its branch.  Most messages continue the
+    turn right before them; such runs are found by one as-of join on their heads.
+    Only heads that continue an earlier message point elsewhere, and doubling
+    these pointers until none moves leads each to its branch's first turn.
     """
-    first = replies.where(F.col("reply_to").isNotNull()).groupBy("conv_id", "reply_to").agg(
-        F.min("turn").alias("turn"))
-    up = stored(replies.select("conv_id", "turn").join(first, ["conv_id", "turn"], "left")
-                .select("conv_id", "turn", F.coalesce("reply_to", "turn").alias("up")), "quote-up")
+    first = (replies.where(F.col("reply_to").isNotNull()).groupBy("conv_id", "reply_to")
+             .agg(F.min("turn").alias("first")))
+    known = replies.join(first, ["conv_id", "reply_to"], "left")
+    continues = F.coalesce(F.col("first") == F.col("turn"), F.lit(False))
+    inline = continues & (F.col("reply_to") == F.col("before"))
+    known = known.select("conv_id", "turn", "reply_to", continues.alias("continues"),
+                         F.coalesce(inline, F.lit(False)).alias("inline"))
+    heads = known.where(~F.col("inline"))
+    inner = known.where("inline").select("conv_id", "turn")
+    runs = stored(latest_before(inner, heads.select("conv_id", "turn"), ["conv_id"])
+                  .select("conv_id", "turn", F.col("found").alias("head"))
+                  .unionByName(heads.select("conv_id", "turn", F.col("turn").alias("head"))),
+                  "quote-runs")
+    jumps = heads.where("continues").select("conv_id", F.col("turn").alias("head"), "reply_to")
+    up = stored(jumps.join(runs.select("conv_id", F.col("turn").alias("reply_to"),
+                                       F.col("head").alias("up")), ["conv_id", "reply_to"])
+                .select("conv_id", "head", "up"), "quote-up")
     while True:
-        further = up.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"))
-        moved = stored(up.join(further, ["conv_id", "up"])
-                       .select("conv_id", "turn", F.col("next").alias("up"),
-                               (F.col("next") != F.col("up")).alias("moved")), "quote-up")
-        up = moved.select("conv_id", "turn", "up")
+        further = up.select("conv_id", F.col("head").alias("up"), F.col("up").alias("next"))
+        moved = stored(up.join(further, ["conv_id", "up"], "left")
+                       .select("conv_id", "head", F.coalesce("next", "up").alias("up"),
+                               F.col("next").isNotNull().alias("moved")), "quote-up")
+        up = moved.select("conv_id", "head", "up")
         if not moved.where("moved").limit(1).count():
-            return up.withColumnRenamed("up", "branch")
+            break
+    return (runs.join(up, ["conv_id", "head"], "left")
+            .select("conv_id", "turn", F.coalesce("up", "head").alias("branch")))
 
 
 def conversations(messages: DataFrame) -> DataFrame:
@@ -165,9 +183,10 @@ def conversations(messages: DataFrame) -> DataFrame:
              .select("conv_id", "turn").distinct())
     before = latest_before(turns, turns, ["conv_id"])
     replies = stored(before.join(quoting, ["conv_id", "turn"], "left")
-                     .withColumn("reply_to", F.coalesce("quoted_turn", "found")).drop("found"),
+                     .withColumn("reply_to", F.coalesce("quoted_turn", "found"))
+                     .withColumnRenamed("found", "before"),
                      "quote-replies")
-    placed = replies.join(branches(replies.select("conv_id", "turn", "reply_to")),
+    placed = replies.join(branches(replies.select("conv_id", "turn", "before", "reply_to")),
                           ["conv_id", "turn"])
     zero = F.lit(0).cast("long")
     return (parsed.drop("spans").join(placed, ["conv_id", "turn"], "left")
