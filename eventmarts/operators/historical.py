@@ -37,8 +37,9 @@ def event_type_of(raw_event) -> F.Column:
 
 
 def historical_event_id(raw: DataFrame | None = None) -> F.Column:
-    """UUIDv5 of ``visitorid-timestamp-event-itemid`` under the fixed namespace."""
-    key = F.concat_ws("-", *[F.col(c).cast("string") for c in
+    """UUIDv5 of ``visitorid-timestamp-event-itemid`` under the fixed namespace.
+    A NULL part is spelled out, so that no two keys share an id."""
+    key = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in
                             ("visitorid", "timestamp", "event", "itemid")])
     return uuid5(EVENT_ID_NAMESPACE, key)
 

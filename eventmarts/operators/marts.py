@@ -60,13 +60,14 @@ def funnel(fact: DataFrame, steps: DataFrame | Iterable[tuple[str, int, str]] =
 
     A session reaches a step if it has at least one event of the step's type
     (order inside the session is not required).  Steps nobody reached are
-    absent, so "start" and "previous" refer to present steps.  The step list is
-    a fixed handful of rows: broadcasting it is safe at any data size.
+    absent, so "start" and "previous" refer to present steps.  A constant step
+    list is a handful of rows and is broadcast; a caller's own frame may be of
+    any size and is left to the optimizer.
     """
     if not isinstance(steps, DataFrame):
-        steps = funnel_steps(fact.sparkSession, steps)
+        steps = F.broadcast(funnel_steps(fact.sparkSession, steps))
     reached = (fact.select("source", "event_type", "session_id")
-               .join(F.broadcast(steps), ["source", "event_type"])
+               .join(steps, ["source", "event_type"])
                .groupBy("source", "step_number", F.col("event_type").alias("step_name"))
                .agg(F.countDistinct("session_id").alias("sessions_reached")))
     w = Window.partitionBy("source").orderBy("step_number")
@@ -83,7 +84,10 @@ def funnel(fact: DataFrame, steps: DataFrame | Iterable[tuple[str, int, str]] =
 
 
 def _user_days(fact: DataFrame) -> DataFrame:
-    return fact.select("source", "user_id", F.col("event_date").alias("d")).distinct()
+    """Distinct (source, user, day).  A NULL user is nobody (a distinct count
+    ignores NULL) and a NULL day lies in no window."""
+    return (fact.select("source", "user_id", F.col("event_date").alias("d"))
+            .where(F.col("user_id").isNotNull() & F.col("d").isNotNull()).distinct())
 
 
 def dau(fact: DataFrame) -> DataFrame:
@@ -130,7 +134,7 @@ def _active_users_range_join(fact: DataFrame, spine: DataFrame | None) -> DataFr
     days it counts for, joined to the spine once; per (day, user) the youngest
     coverage decides dau (age 0), wau (< 7) and mau (< 30)."""
     ud = _user_days(fact)
-    spine = date_spine(ud, date_col="d") if spine is None else spine
+    spine = date_spine(fact) if spine is None else spine  # days of all events
     cover = ud.select("source", "user_id", "d",
                       F.explode(F.sequence("d", F.date_add("d", 29))).alias("date_day"))
     # Youngest coverage per (day, user): one grouping instead of three
@@ -162,7 +166,7 @@ def active_users(fact: DataFrame, spine: DataFrame | None = None, method: str =
 
     ud = _user_days(fact)
     if spine is None:
-        spine = date_spine(ud, date_col="d")
+        spine = date_spine(fact)  # days of all events, of users or not
     nxt = F.lead("d").over(Window.partitionBy("source", "user_id").orderBy("d"))
     iv = ud.select("source", "d", nxt.alias("n"))
 
@@ -198,15 +202,20 @@ def user_weeks(fact: DataFrame, user_col: str = "user_id", date_col: str = "even
 
 def cohorts(weeks: DataFrame) -> DataFrame:
     """Each user's cohort week (first activity week), as a window over the
-    user's distinct weeks -- no join back."""
+    user's distinct weeks -- no join back.  A join by user drops rows without a
+    user, and one by cohort week drops users without any dated week."""
     w = Window.partitionBy("source", "user_id")
-    return weeks.withColumn("cohort_week", F.min("activity_week").over(w))
+    return (weeks.where(F.col("user_id").isNotNull())
+            .withColumn("cohort_week", F.min("activity_week").over(w))
+            .where(F.col("cohort_week").isNotNull()))
 
 
 def cohort_sizes(fact: DataFrame, **cols) -> DataFrame:
-    """Users per (source, cohort week)."""
-    c = cohorts(user_weeks(fact, **cols)).where(F.col("activity_week") == F.col("cohort_week"))
-    return c.groupBy("source", "cohort_week").agg(F.count(F.lit(1)).alias("cohort_size"))
+    """Distinct users per (source, cohort week).  Users without a dated week
+    form the NULL cohort; the NULL user has a cohort but counts for nobody."""
+    per_user = (user_weeks(fact, **cols).groupBy("source", "user_id")
+                .agg(F.min("activity_week").alias("cohort_week")))
+    return per_user.groupBy("source", "cohort_week").agg(F.count("user_id").alias("cohort_size"))
 
 
 def retention(fact: DataFrame, user_col: str = "user_id", date_col: str = "event_date",
@@ -215,14 +224,16 @@ def retention(fact: DataFrame, user_col: str = "user_id", date_col: str = "event
 
     Rows are distinct user-weeks, so counting rows counts distinct users.  The
     cohort size is the week-0 cell (every user is active in their cohort week),
-    taken by a window over the small aggregated table instead of a join.
+    spread over its cohort by a window over the small aggregated table instead of
+    a join.  Weeks without a date form a cell of their own (NULL weeks since).
     Empty cells are absent.
     """
     c = cohorts(user_weeks(fact, user_col, date_col, source_col))
     cells = (c.groupBy("source", "cohort_week",
                        weeks_between("cohort_week", "activity_week").alias("weeks_since_cohort"))
              .agg(F.count(F.lit(1)).alias("retained_users")))
-    w = Window.partitionBy("source", "cohort_week").orderBy("weeks_since_cohort")
-    return (cells.withColumn("cohort_size", F.first("retained_users").over(w))
+    w = Window.partitionBy("source", "cohort_week")
+    size = F.max(F.when(F.col("weeks_since_cohort") == 0, F.col("retained_users"))).over(w)
+    return (cells.withColumn("cohort_size", size)
             .select("source", "cohort_week", "weeks_since_cohort", "cohort_size", "retained_users",
                     pct("retained_users", "cohort_size").alias("retention_rate")))

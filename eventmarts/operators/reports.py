@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,33 +38,58 @@ def overview_kpis(fct_events: DataFrame, fct_sessions: DataFrame,
 
 def event_mix(fct_events: DataFrame, source: str | None = None) -> DataFrame:
     """Events per type, most frequent first (type breaks ties)."""
-    return (_src(fct_events, source).groupBy("source", "event_type")
-            .agg(F.count(F.lit(1)).alias("event_count"))
-            .orderBy("source", F.desc("event_count"), "event_type"))
+    mix = (_src(fct_events, source).groupBy("source", "event_type")
+           .agg(F.count(F.lit(1)).alias("event_count")))
+    return ranked(mix, F.desc("event_count"), "event_type")
+
+
+def ranked(df: DataFrame, *order) -> DataFrame:
+    """``df`` in ``order`` with its place there as ``position`` (1, 2, ...).
+
+    For the aggregated marts of the serving layer: a few thousand rows, and one
+    window per source.
+    """
+    w = Window.partitionBy("source").orderBy(*order)
+    return (df.withColumn("position", F.row_number().over(w).cast("long"))
+            .orderBy("source", "position"))
 
 
 def read_funnel(mart: DataFrame, source: str | None = None) -> DataFrame:
-    return _src(mart, source).orderBy("source", "step_number")
+    return ranked(_src(mart, source), "step_number")
 
 
 def read_active_users(mart: DataFrame, source: str | None = None) -> DataFrame:
-    return _src(mart, source).orderBy("source", "date_day")
+    return ranked(_src(mart, source), "date_day")
 
 
 def read_retention(mart: DataFrame, source: str | None = None) -> DataFrame:
-    return _src(mart, source).orderBy("source", "cohort_week", "weeks_since_cohort")
+    return ranked(_src(mart, source), "cohort_week", "weeks_since_cohort")
+
+
+def matrix_weeks(mart: DataFrame, source: str | None = None) -> list[int]:
+    """Weeks 0 to the mart's own last one (one aggregate, one number)."""
+    last = _src(mart, source).agg(F.max("weeks_since_cohort")).first()[0]
+    return list(range(int(last) + 1)) if last is not None else []
 
 
-def retention_matrix(mart: DataFrame, weeks: Sequence[int], source: str | None = None) -> DataFrame:
+def retention_matrix(mart: DataFrame, weeks: Sequence[int] | None = None,
+                     source: str | None = None) -> DataFrame:
     """Cohort x weeks-since pivot of the retention rate.
 
-    The week list is given (pivot values known up front, so Spark does not
-    run a separate distinct job and the output schema is fixed).  Columns are
-    named ``w<k>``; empty cells are NULL.
+    Without ``weeks`` the columns run to the mart's last week.  A given list fixes
+    the schema; it is refused if it leaves a cell out.  Columns are named
+    ``w<k>``; empty cells are NULL.  (The cell of undated weeks has no column.)
     """
-    weeks = [int(w) for w in weeks]
-    p = (_src(mart, source).groupBy("source", "cohort_week")
-         .pivot("weeks_since_cohort", weeks).agg(F.first("retention_rate")))
+    rows = _src(mart, source)
+    if weeks is None:
+        weeks = matrix_weeks(rows)
+    else:
+        weeks = [int(w) for w in weeks]
+        missed = rows.where(~F.col("weeks_since_cohort").isin(weeks)).limit(1).collect()
+        if missed:
+            raise ValueError(f"week {missed[0]['weeks_since_cohort']} has no column")
+    p = (rows.groupBy("source", "cohort_week")
+         .pivot("weeks_since_cohort", weeks or [0]).agg(F.first("retention_rate")))
     return p.select("source", "cohort_week", *[F.col(str(w)).alias(f"w{w}") for w in weeks])
 
 

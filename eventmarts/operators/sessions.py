@@ -22,11 +22,7 @@ from pyspark.sql import functions as F
 
 from eventmarts.functions import minute_boundaries, surrogate_key, ts_key_text
 from eventmarts.functions.time import time_bucket
-from eventmarts.plans.ordered import (
-    DEFAULT_BUCKET_SECONDS,
-    split_gap_sessions,
-    split_row_number,
-)
+from eventmarts.plans.ordered import split_gap_sessions, split_row_number
 from eventmarts.schema import (
     CONFORMED_FIELDS,
     DEFAULT_SESSION_GAP_MINUTES,
@@ -34,8 +30,11 @@ from eventmarts.schema import (
     SESSION_FIELDS,
     STREAM,
 )
+from eventmarts.session import materialize
 
 TS, TIE = "event_timestamp", "event_id"
+# Width of the equi-key of the interval join.
+JOIN_BUCKET_SECONDS = 600
 
 
 def _by_source(events: DataFrame, sources: Sequence[str]) -> DataFrame:
@@ -57,23 +56,20 @@ def gap_rule(gap_minutes: int):
 
 
 def gap_session_events(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
-                       sources: Sequence[str] = (HISTORICAL,),
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       sources: Sequence[str] = (HISTORICAL,)) -> DataFrame:
     """Inferred-source events with ``session_start_at``, ``event_sequence_number``
     and the derived ``session_id`` (W1, W2, W3, F12, no join)."""
     e = split_gap_sessions(_by_source(events, sources), ["source", "user_id"], TS, TIE,
-                           gap_rule(gap_minutes), bucket_seconds)
+                           gap_rule(gap_minutes))
     return e.withColumn("session_id", surrogate_key(F.col("user_id"), ts_key_text(F.col("session_start_at"))))
 
 
 def gap_sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
-                 sources: Sequence[str] = (HISTORICAL,),
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 sources: Sequence[str] = (HISTORICAL,)) -> DataFrame:
     """A2 + F12: one row per inferred session."""
     e = split_gap_sessions(
         _by_source(events, sources).select("source", "user_id", TS, TIE),
-        ["source", "user_id"], TS, TIE, gap_rule(gap_minutes), bucket_seconds,
-        rank_col="_srank")
+        ["source", "user_id"], TS, TIE, gap_rule(gap_minutes), rank_col="_srank")
     # The start rank separates sessions whose start timestamp is NULL.
     s = (e.groupBy("user_id", "source", "session_start_at", "_srank")
          .agg(F.max(TS).alias("session_end_at"), F.count(F.lit(1)).alias("event_count")))
@@ -83,34 +79,37 @@ def gap_sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUT
 
 
 def sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
-             native: Sequence[str] = (STREAM,), inferred: Sequence[str] = (HISTORICAL,),
-             bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+             native: Sequence[str] = (STREAM,), inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
     """Native sessions UNION ALL inferred sessions."""
-    return native_sessions(events, native).unionByName(
-        gap_sessions(events, gap_minutes, inferred, bucket_seconds))
+    return native_sessions(events, native).unionByName(gap_sessions(events, gap_minutes, inferred))
 
 
 _OUT = [c for c in CONFORMED_FIELDS] + ["event_sequence_number"]
 
 
+def attachable(events: DataFrame, native: Sequence[str] = (STREAM,),
+               inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
+    """The events that the sessionized table holds.  Attaching by "user equal and time
+    between start and end" can never match an inferred-source event whose user or
+    timestamp is NULL (its session still is part of the session table)."""
+    dated = F.col("user_id").isNotNull() & F.col(TS).isNotNull()
+    return events.where(F.col("source").isin(list(native))
+                        | (F.col("source").isin(list(inferred)) & dated))
+
+
 def sessionize(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
-               native: Sequence[str] = (STREAM,), inferred: Sequence[str] = (HISTORICAL,),
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               native: Sequence[str] = (STREAM,), inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
     """C6 (join-free): conformed events with ``session_id`` filled and
     ``event_sequence_number`` = position in the session by (timestamp, event_id)."""
     stream = split_row_number(_by_source(events, native), ["session_id"], TS, TIE,
-                              "event_sequence_number", bucket_seconds)
-    # Attaching by "user equal and time between start and end" can never match
-    # an event whose user or timestamp is NULL; such events are not part of the
-    # sessionized table (their sessions still are part of the session table).
-    attachable = events.where(F.col("user_id").isNotNull() & F.col(TS).isNotNull())
-    hist = gap_session_events(attachable, gap_minutes, inferred, bucket_seconds)
+                              "event_sequence_number")
+    hist = gap_session_events(attachable(events, (), inferred), gap_minutes, inferred)
     return stream.select(*_OUT).unionByName(hist.select(*_OUT))
 
 
 def attach_by_interval_join(events: DataFrame, sess: DataFrame,
                             inferred: Sequence[str] = (HISTORICAL,),
-                            bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                            bucket_seconds: int = JOIN_BUCKET_SECONDS) -> DataFrame:
     """Inferred-source events matched to their session by user, source and
     ``event_timestamp between session_start_at and session_end_at``.
 
@@ -134,11 +133,13 @@ def attach_by_interval_join(events: DataFrame, sess: DataFrame,
 def sessionize_interval_join(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
                              native: Sequence[str] = (STREAM,),
                              inferred: Sequence[str] = (HISTORICAL,),
-                             bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """C6 as the original builds it: sessions first, then the interval join,
-    then ``row_number`` over the union.  Same result as :func:`sessionize`."""
-    hist = attach_by_interval_join(events, gap_sessions(events, gap_minutes, inferred, bucket_seconds),
-                                   inferred, bucket_seconds)
-    combined = _by_source(events, native).select(*CONFORMED_FIELDS).unionByName(hist)
-    return split_row_number(combined, ["session_id"], TS, TIE, "event_sequence_number",
-                            bucket_seconds).select(*_OUT)
+                             bucket_seconds: int = JOIN_BUCKET_SECONDS) -> DataFrame:
+    """C6 with the session table first: sessions, then the interval join, then
+    ``row_number`` over the union.  Same result as :func:`sessionize`.
+
+    The conformed events and the sessions are written once and joined from there."""
+    events = materialize(events.select(*CONFORMED_FIELDS), "conformed")
+    sess = materialize(gap_sessions(events, gap_minutes, inferred), "sessions")
+    hist = attach_by_interval_join(events, sess, inferred, bucket_seconds)
+    combined = _by_source(events, native).unionByName(hist)
+    return split_row_number(combined, ["session_id"], TS, TIE, "event_sequence_number").select(*_OUT)

@@ -75,9 +75,10 @@ def cart_items(events_bronze: DataFrame) -> DataFrame:
             .select("event_id", "user_id", "session_id", "p.*"))
 
 
-def purchases(events_bronze: DataFrame) -> DataFrame:
-    """Typed purchase payload rows (session, order, total, item count)."""
+def purchases(events_bronze: DataFrame, *keep: str) -> DataFrame:
+    """Typed purchase payload rows (session, order, total, item count), with the
+    columns named in ``keep``."""
     p = F.from_json(F.col("event_properties"), PURCHASE_PROPS)
+    names = ("event_id", "user_id", "session_id", *keep)
     return (events_bronze.where(F.col("event_type") == "purchase")
-            .select("event_id", "user_id", "session_id", p.alias("p"))
-            .select("event_id", "user_id", "session_id", "p.*"))
+            .select(*names, p.alias("p")).select(*names, "p.*"))

@@ -71,6 +71,13 @@ class Model:
     def sessionized(self) -> DataFrame:
         return sessions.sessionize(self.conformed(), self.gap)
 
+    @_memo
+    def fact_rows(self) -> DataFrame:
+        """The rows of the event fact without session columns: what counts of events
+        and users need, with no session scan behind it."""
+        return sessions.attachable(self.conformed()).select(
+            "source", "user_id", "event_type", "event_timestamp", "event_date")
+
     # marts
     @_memo
     def fct_events(self) -> DataFrame:

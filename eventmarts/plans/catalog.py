@@ -17,12 +17,13 @@ from eventmarts.operators import historical, marts, quality, reports, sessions,
 from eventmarts.plans import oracle as O
 from eventmarts.plans import pipeline
 from eventmarts.plans.build import Model
-from eventmarts.session import shared_dir
-from eventmarts.sinks.bronze import keyed_records, record_json
+from eventmarts.session import materialize, shared_dir
+from eventmarts.sinks.bronze import count_files, keyed_records, record_json, write_mart
 from eventmarts.sources import binding
 from eventmarts.sources.bronze import (
     load_bronze_events,
     read_historical_bronze,
+    read_mart,
     read_stream_bronze,
 )
 from eventmarts.sources.raw import read_event_stream
@@ -195,29 +196,27 @@ def q_funnel_missing(m: Model):
 
 @query("dau", O.active_sql("dau"))
 def q_dau(m: Model):
-    return marts.dau(m.fct_events())
+    return marts.dau(m.fact_rows())
 
 
 @query("wau", O.active_sql("wau"))
 def q_wau(m: Model):
-    f = m.fct_events()
-    return marts.trailing_active(f, marts.date_spine(f), 7, "wau")
+    return marts.trailing_active(m.fact_rows(), m.dim_date(), 7, "wau")
 
 
 @query("mau", O.active_sql("mau"))
 def q_mau(m: Model):
-    f = m.fct_events()
-    return marts.trailing_active(f, marts.date_spine(f), 30, "mau")
+    return marts.trailing_active(m.fact_rows(), m.dim_date(), 30, "mau")
 
 
 @query("active_users", O.active_sql("all"))
 def q_active_users(m: Model):
-    return marts.active_users(m.fct_events())
+    return marts.active_users(m.fact_rows(), m.dim_date())
 
 
 @query("active_users_range_join", O.active_sql("all"))
 def q_active_users_rj(m: Model):
-    return marts.active_users(m.fct_events(), method="range_join")
+    return marts.active_users(m.fact_rows(), m.dim_date(), method="range_join")
 
 
 FCT_UE = O.FCT_UE
@@ -225,25 +224,28 @@ FCT_UE = O.FCT_UE
 
 @query("cohort_sizes", O.with_model(O.retention_sql(FCT_UE) + "SELECT * FROM cohort_sizes"))
 def q_cohort_sizes(m: Model):
-    return marts.cohort_sizes(m.fct_events())
+    return marts.cohort_sizes(m.fact_rows())
 
 
 @query("retention", O.with_model(O.retention_sql(FCT_UE) + "SELECT * FROM mart_retention"))
 def q_retention(m: Model):
-    return marts.retention(m.fct_events())
+    return marts.retention(m.fact_rows())
 
 
 ORDERS_UE = ("SELECT CAST(o_custkey AS VARCHAR) AS user_id, 'orders' AS source, "
              "CAST(o_orderdate AS DATE) AS event_date FROM orders")
 
 
+def _orders(m: Model) -> DataFrame:
+    return m.table("orders").select(
+        F.col("o_custkey").cast("string").alias("user_id"), F.lit("orders").alias("source"),
+        F.to_date("o_orderdate").alias("event_date"))
+
+
 @query("retention_orders",
        "WITH _x AS (SELECT 1)" + O.retention_sql(ORDERS_UE) + "SELECT * FROM mart_retention")
 def q_retention_orders(m: Model):
-    o = m.table("orders").select(
-        F.col("o_custkey").cast("string").alias("user_id"), F.lit("orders").alias("source"),
-        F.to_date("o_orderdate").alias("event_date"))
-    return marts.retention(o)
+    return marts.retention(_orders(m))
 
 
 # --- reports ----------------------------------------------------------------
@@ -251,7 +253,7 @@ def q_retention_orders(m: Model):
 
 @query("list_sources", O.with_model("SELECT DISTINCT source FROM fct_events"))
 def q_list_sources(m: Model):
-    return reports.list_sources(m.fct_events())
+    return reports.list_sources(m.fact_rows())
 
 
 @query("overview_kpis", O.with_model("""
@@ -261,15 +263,32 @@ def q_list_sources(m: Model):
 SELECT ek.source, ek.total_events, sk.total_sessions, ek.min_date, ek.max_date
 FROM ek JOIN sk ON ek.source = sk.source"""))
 def q_overview_kpis(m: Model):
-    fct = m.fct_events()
-    return reports.overview_kpis(fct, marts.session_fact(marts.sessions_from_fact(fct)))
+    return reports.overview_kpis(m.fact_rows(), m.sessions())
+
+
+@query("overview_kpis_stream", O.with_base("""
+SELECT 'stream' AS source, CAST(count(*) AS BIGINT) AS total_events,
+       CAST(count(DISTINCT (session_id, user_id)) AS BIGINT) AS total_sessions,
+       min(event_date) AS min_date, max(event_date) AS max_date
+FROM conformed WHERE source = 'stream'"""))
+def q_overview_kpis_stream(m: Model):
+    return reports.overview_kpis(m.fact_rows(), m.sessions(), "stream")
+
 
+MIX_SQL = """SELECT *, row_number() OVER (PARTITION BY source ORDER BY event_count DESC, event_type)
+  AS position
+FROM (SELECT source, event_type, CAST(count(*) AS BIGINT) AS event_count
+      FROM fct_events GROUP BY source, event_type)"""
 
-@query("event_mix", O.with_model(
-    "SELECT source, event_type, CAST(count(*) AS BIGINT) AS event_count "
-    "FROM fct_events GROUP BY source, event_type"))
+
+@query("event_mix", O.with_model(MIX_SQL))
 def q_event_mix(m: Model):
-    return reports.event_mix(m.fct_events())
+    return reports.event_mix(m.fact_rows())
+
+
+@query("event_mix_hist", O.with_model(MIX_SQL + " WHERE source = 'batch_historical'"))
+def q_event_mix_hist(m: Model):
+    return reports.event_mix(m.fact_rows(), "batch_historical")
 
 
 MATRIX_WEEKS = (0, 1, 2, 3, 4)
@@ -280,80 +299,162 @@ MATRIX_WEEKS = (0, 1, 2, 3, 4)
                    for w in MATRIX_WEEKS)
        + " FROM mart_retention GROUP BY source, cohort_week"))
 def q_retention_matrix(m: Model):
-    return reports.retention_matrix(marts.retention(m.fct_events()), MATRIX_WEEKS)
+    # refuses the list if the mart has a later week
+    return reports.retention_matrix(marts.retention(m.fact_rows()), MATRIX_WEEKS)
+
+
+@query("retention_matrix_orders", "WITH _x AS (SELECT 1)" + O.retention_sql(ORDERS_UE) + """
+SELECT source, cohort_week, 'w' || weeks_since_cohort AS week, retention_rate,
+       weeks_since_cohort = (SELECT max(weeks_since_cohort) FROM mart_retention) AS is_last
+FROM mart_retention""")
+def q_retention_matrix_orders(m: Model):
+    """The matrix over all weeks of ``orders``, its cells listed again."""
+    matrix = reports.retention_matrix(marts.retention(_orders(m)))
+    weeks = matrix.columns[2:]
+    return (matrix.unpivot(["source", "cohort_week"], weeks, "week", "retention_rate")
+            .where(F.col("retention_rate").isNotNull())
+            .withColumn("is_last", F.col("week") == weeks[-1]))
+
+
+# --- ordered serving reads (the position makes the order visible) -------------
+
+
+@query("read_funnel", O.with_model(O.funnel_ctes() + "SELECT *, row_number() OVER (PARTITION BY source "
+                                   "ORDER BY step_number) AS position FROM mart_funnel"))
+def q_read_funnel(m: Model):
+    return reports.read_funnel(marts.funnel(m.fct_events()))
+
+
+@query("read_active_users", O.with_model(O.ACTIVE_CTES + "SELECT *, row_number() OVER (PARTITION BY source "
+                                         "ORDER BY date_day) AS position FROM au WHERE source = 'stream'"))
+def q_read_active_users(m: Model):
+    return reports.read_active_users(marts.active_users(m.fact_rows(), m.dim_date()), "stream")
+
+
+@query("read_retention", "WITH _x AS (SELECT 1)" + O.retention_sql(ORDERS_UE) + """
+SELECT *, row_number() OVER (PARTITION BY source ORDER BY cohort_week, weeks_since_cohort) AS position
+FROM mart_retention""")
+def q_read_retention(m: Model):
+    return reports.read_retention(marts.retention(_orders(m)))
+
+
+# --- missing users and days -----------------------------------------------------
+
+
+def _gappy(m: Model) -> DataFrame:
+    """The whole events table with some users and some days missing (as ``O.GAPPY``)."""
+    e = F.col("event_id")
+    return m.table("events").select(
+        F.when(e % 3 == 0, "a").otherwise("b").alias("source"),
+        F.when(e % 7 > 0, F.col("user_id").cast("string")).alias("user_id"),
+        F.when(e % 11 > 0, F.to_date("ts")).alias("event_date"))
+
+
+GAPPY_ACTIVE = O.GAPPY + """
+SELECT d.source, d.date_day,
+  (SELECT count(DISTINCT user_id) FROM gappy g WHERE g.source = d.source
+     AND g.event_date = d.date_day) AS dau,
+  (SELECT count(DISTINCT user_id) FROM gappy g WHERE g.source = d.source
+     AND g.event_date <= d.date_day AND g.event_date > d.date_day - 7) AS wau,
+  (SELECT count(DISTINCT user_id) FROM gappy g WHERE g.source = d.source
+     AND g.event_date <= d.date_day AND g.event_date > d.date_day - 30) AS mau
+FROM days d"""
+
+
+@query("active_users_nulls", GAPPY_ACTIVE)
+def q_active_users_nulls(m: Model):
+    return marts.active_users(_gappy(m))
+
+
+@query("active_users_range_join_nulls", GAPPY_ACTIVE)
+def q_active_users_rj_nulls(m: Model):
+    return marts.active_users(_gappy(m), method="range_join")
+
+
+GAPPY_UE = "SELECT user_id, source, event_date FROM gappy"
+
+
+@query("retention_nulls", O.GAPPY + O.retention_sql(GAPPY_UE) + "SELECT * FROM mart_retention")
+def q_retention_nulls(m: Model):
+    return marts.retention(_gappy(m))
+
+
+@query("cohort_sizes_nulls", O.GAPPY + O.retention_sql(GAPPY_UE) + "SELECT * FROM cohort_sizes")
+def q_cohort_sizes_nulls(m: Model):
+    return marts.cohort_sizes(_gappy(m))
 
 
 # --- quality ----------------------------------------------------------------
 
-DIRTY_SQL = """WITH """ + O.EV + """,
+DIRTY_CTES = """WITH """ + O.EV + """,
 d AS (
   SELECT CAST(eid AS VARCHAR) AS event_id,
          CASE WHEN et = 'purchase' THEN NULL ELSE CAST(uid AS VARCHAR) END AS user_id,
          et AS event_type, ts AS event_timestamp
   FROM (SELECT *, CASE et0 WHEN 'view' THEN 'page_view' WHEN 'error' THEN 'error_event'
                   ELSE et0 END AS et FROM ev)),
-dirty AS (SELECT * FROM d UNION ALL SELECT * FROM d WHERE event_type = 'signup'),
-a AS (
-  SELECT count(*) AS n,
-         count(*) FILTER (WHERE event_id IS NULL) AS n1,
-         count(*) FILTER (WHERE user_id IS NULL) AS n2,
-         count(*) FILTER (WHERE event_type IS NULL) AS n3,
-         count(*) FILTER (WHERE event_timestamp IS NULL) AS n4,
-         count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN
-           ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')) AS bad,
-         count(DISTINCT coalesce(event_type, '<null>')) FILTER (WHERE event_type IS NULL OR
-           event_type NOT IN ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')) AS badv,
-         min(coalesce(event_type, '<null>')) FILTER (WHERE event_type IS NULL OR
-           event_type NOT IN ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')) AS bade
-  FROM dirty),
-dup AS (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS dup
-        FROM (SELECT event_id, count(*) AS c FROM dirty GROUP BY event_id)),
-f AS (SELECT *, CASE WHEN n1 > 0 THEN 'event_id' WHEN n2 > 0 THEN 'user_id'
-                     WHEN n3 > 0 THEN 'event_type' WHEN n4 > 0 THEN 'event_timestamp' END AS ff,
-             CASE WHEN n1 > 0 THEN n1 WHEN n2 > 0 THEN n2 WHEN n3 > 0 THEN n3
-                  WHEN n4 > 0 THEN n4 ELSE 0 END AS fn
-      FROM a, dup)
-SELECT 1 AS check_order, 'row_count_positive' AS "check", n > 0 AS passed,
-       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, 'rows=' || n AS detail FROM f
+checked AS (SELECT * FROM d UNION ALL SELECT * FROM d WHERE event_type = 'signup'),
+odd AS (SELECT event_type, CAST(count(*) AS BIGINT) AS rows FROM checked
+        WHERE event_type NOT IN ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')
+        GROUP BY event_type)"""
+
+REPORT_SQL = """
+SELECT 1 AS check_order, 'has_rows' AS "check", count(*) > 0 AS passed,
+       CAST(count(*) = 0 AS BIGINT) AS failures, count(*) || ' rows' AS detail FROM checked
 UNION ALL
-SELECT 2, 'required_fields_not_null', ff IS NULL, CAST(fn AS BIGINT),
-       CASE WHEN ff IS NULL THEN '' ELSE fn || ' rows have a null ''' || ff || '''' END FROM f
+SELECT 2, 'required_fields_present', n = 0, n, CASE WHEN n = 0 THEN '' ELSE 'user_id: ' || n END
+FROM (SELECT CAST(count(*) - count(user_id) AS BIGINT) AS n FROM checked)
 UNION ALL
-SELECT 3, 'event_type_values_valid', bad = 0, CAST(bad AS BIGINT),
-       CASE WHEN bad = 0 THEN '' ELSE badv || ' invalid values, e.g. ' || bade END FROM f
+SELECT 3, 'known_event_types', count(*) = 0, CAST(coalesce(sum(rows), 0) AS BIGINT),
+       coalesce(string_agg(event_type || ' (' || rows || ')', ', ' ORDER BY event_type), '') FROM odd
 UNION ALL
-SELECT 4, 'no_duplicate_event_ids', dup = 0, dup, dup || ' duplicate event_id values' FROM f"""
+SELECT 4, 'unique_event_ids', n = 0, n, n || ' repeated ids'
+FROM (SELECT CAST(count(*) - count(DISTINCT event_id) AS BIGINT) AS n FROM checked)"""
 
+HIST_CHECKED = """
+, checked AS (SELECT event_id, user_id, event_type FROM stg_hist),
+odd AS (SELECT event_type, CAST(count(*) AS BIGINT) AS rows FROM checked
+        WHERE event_type NOT IN ('page_view', 'click', 'add_to_cart', 'signup', 'purchase')
+        GROUP BY event_type)"""
 
-@query("quality_report", DIRTY_SQL)
+
+@query("quality_report", DIRTY_CTES + REPORT_SQL)
 def q_quality_report(m: Model):
     return quality.bronze_checks(binding.dirty_stream_bronze(m.table("events")))
 
 
-@query("quality_report_clean", O.with_base("""
-, a AS (SELECT count(*) AS n FROM stg_hist),
-  dup AS (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS dup
-          FROM (SELECT event_id, count(*) AS c FROM stg_hist GROUP BY event_id))
-SELECT 1 AS check_order, 'row_count_positive' AS "check", n > 0 AS passed,
-       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, 'rows=' || n AS detail FROM a
-UNION ALL SELECT 2, 'required_fields_not_null', true, CAST(0 AS BIGINT), '' FROM a
-UNION ALL SELECT 3, 'event_type_values_valid', true, CAST(0 AS BIGINT), '' FROM a
-UNION ALL SELECT 4, 'no_duplicate_event_ids', dup = 0, dup, dup || ' duplicate event_id values'
-FROM dup"""))
+@query("invalid_event_types", DIRTY_CTES + "SELECT * FROM odd")
+def q_invalid_event_types(m: Model):
+    return quality.invalid_event_types(binding.dirty_stream_bronze(m.table("events")))
+
+
+@query("gate_message", DIRTY_CTES + """
+SELECT 'required_fields_present failed: user_id: ' || (count(*) - count(user_id)) AS message
+FROM checked""")
+def q_gate_message(m: Model):
+    """The raising gate: what it says of the first check that fails."""
+    try:
+        quality.raise_on_failure(quality.bronze_checks(binding.dirty_stream_bronze(m.table("events"))))
+        said = "passed"
+    except AssertionError as e:
+        said = str(e)
+    return m.spark.createDataFrame([(said,)], "message string")
+
+
+@query("quality_report_clean", O.with_base(HIST_CHECKED + REPORT_SQL))
 def q_quality_report_clean(m: Model):
     return quality.bronze_checks(m.historical_bronze())
 
 
 def _mart_models(m: Model) -> dict[str, DataFrame]:
-    """All models for the declarative tests.  The staged tables and the event
-    fact are checkpointed (reliable, to the shared folder) so the tests read
-    materialized data instead of recomputing the binding and session scan."""
-    shared_dir(m.spark, "ckpt")  # make sure a checkpoint folder is set
-    stg_s, stg_h = m.stg_stream().checkpoint(), m.stg_historical().checkpoint()
+    """All models for the declarative tests.  The staged tables and the event fact are
+    written once, so each test scans the columns it needs."""
+    stg_s = materialize(m.stg_stream(), "stg_stream")
+    stg_h = materialize(m.stg_historical(), "stg_historical")
     unioned = staging.conform(stg_s, stg_h)
-    fct = marts.event_fact(sessions.sessionize(unioned, m.gap)).checkpoint()
-    sess = marts.session_fact(marts.sessions_from_fact(fct))
-    spine = marts.date_spine(fct)
+    fct = materialize(marts.event_fact(sessions.sessionize(unioned, m.gap)), "fct_events")
+    sess = materialize(marts.session_fact(marts.sessions_from_fact(fct)), "fct_sessions")
+    spine = marts.date_spine(unioned)
     return {
         "stg_events_stream": stg_s, "stg_events_historical": stg_h,
         "int_events_unioned": unioned, "int_sessions": sess,
@@ -396,6 +497,45 @@ def q_model_tests(m: Model):
     return quality.run_model_tests(_mart_models(m))
 
 
+# Four ways to break the staged stream: a repeated id, a lost user, an unknown type, a
+# session row without events.
+DIRTY_TESTS = (
+    ("stg_events_stream", "unique", "event_id", None),
+    ("stg_events_stream", "not_null", "user_id", None),
+    ("stg_events_stream", "accepted_values", "event_type",
+     ("page_view", "click", "add_to_cart", "signup", "purchase")),
+    ("fct_events", "relationships", "session_id", ("fct_sessions", "session_id")),
+)
+
+
+@query("model_tests_dirty", "WITH " + ",\n".join([O.EV, O.STG_STREAM]) + """,
+t AS (SELECT CASE WHEN eid % 5 = 0 THEN 'same' ELSE event_id END AS event_id,
+             CASE WHEN eid % 7 > 0 THEN user_id END AS user_id,
+             CASE WHEN eid % 9 = 0 THEN 'odd' || (eid % 2) ELSE event_type END AS event_type,
+             session_id, eid
+      FROM stg_stream),
+r(model, test, "column", failures) AS (
+  SELECT 'stg_events_stream', 'unique', 'event_id',
+         (SELECT count(*) FROM (SELECT event_id FROM t GROUP BY event_id HAVING count(*) > 1))
+  UNION ALL SELECT 'stg_events_stream', 'not_null', 'user_id', (SELECT count(*) FROM t WHERE user_id IS NULL)
+  UNION ALL SELECT 'stg_events_stream', 'accepted_values', 'event_type',
+         (SELECT count(DISTINCT event_type) FROM t WHERE event_type LIKE 'odd%')
+  UNION ALL SELECT 'fct_events', 'relationships', 'session_id',
+         (SELECT count(*) FROM t WHERE session_id NOT IN (SELECT session_id FROM t WHERE eid % 3 = 0)))
+SELECT model, test, "column", failures = 0 AS passed, CAST(failures AS BIGINT) AS failures FROM r""")
+def q_model_tests_dirty(m: Model):
+    e = F.col("event_id").cast("long")
+    s = materialize(m.stg_stream(), "stg_stream")
+    broken = s.select(
+        F.when(e % 5 == 0, "same").otherwise(F.col("event_id")).alias("event_id"),
+        F.when(e % 7 > 0, F.col("user_id")).alias("user_id"),
+        F.when(e % 9 == 0, F.concat(F.lit("odd"), (e % 2).cast("string")))
+        .otherwise(F.col("event_type")).alias("event_type"), "session_id")
+    models = {"stg_events_stream": broken, "fct_events": s,
+              "fct_sessions": s.where(e % 3 == 0).select("session_id")}
+    return quality.run_model_tests(models, DIRTY_TESTS)
+
+
 @query("reconcile_counts", O.with_model("""
 SELECT (SELECT count(*) FROM stg_stream) AS stream_rows,
        (SELECT count(*) FROM stg_hist) AS historical_rows,
@@ -411,7 +551,7 @@ def _stream_bronze_arrival(m: Model) -> DataFrame:
 
 
 @query("cart_reconciliation", O.with_base("""
-, cart AS (SELECT session_id, round(sum(value * 1), 2) AS cart_total,
+, cart AS (SELECT session_id, round(sum(CAST(value AS DECIMAL(18, 4))), 2)::DOUBLE AS cart_total,
                   CAST(count(*) AS BIGINT) AS cart_items
            FROM stg_stream WHERE et = 'add_to_cart' GROUP BY session_id),
   pur AS (SELECT session_id, arg_min(event_id, eid) AS purchase_event_id,
@@ -423,9 +563,7 @@ SELECT p.session_id, p.purchase_event_id, p.total_amount, p.item_count, c.cart_t
 FROM pur p LEFT JOIN cart c ON p.session_id = c.session_id"""))
 def q_cart(m: Model):
     b = _stream_bronze_arrival(m)
-    cart = staging.cart_items(b)
-    pur = staging.purchases(b).join(b.select("event_id", "arrival"), "event_id")
-    return quality.cart_reconciliation(cart, pur, "arrival")
+    return quality.cart_reconciliation(staging.cart_items(b), staging.purchases(b, "arrival"), "arrival")
 
 
 @query("session_time_order", O.with_base("""
@@ -463,10 +601,11 @@ def q_step_order(m: Model):
 
 @query("contract_check", """WITH """ + O.EV + """
 SELECT CAST(count(*) + count(*) FILTER (WHERE et0 = 'signup') AS BIGINT) AS lines,
-       CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS properties_not_object,
+       CAST(count(*) FILTER (event_id IS NULL) AS BIGINT) AS missing_keys,
+       CAST(count(*) FILTER (json_type(props) <> 'OBJECT') AS BIGINT) AS properties_not_object,
        CAST(count(*) FILTER (WHERE et0 = 'error') AS BIGINT) AS invalid_event_type,
        count(*) FILTER (WHERE et0 = 'error') = 0 AS passed
-FROM ev""")
+FROM ev JOIN events ON events.event_id = ev.eid""")
 def q_contract(m: Model):
     return quality.contract_check(keyed_records(binding.dirty_stream_bronze(m.table("events"))))
 
@@ -500,37 +639,144 @@ def q_hist_ingest(m: Model):
     return staging.stage_historical(read_historical_bronze(m.spark, out))
 
 
-def _stream_through(m: Model, lines: DataFrame, dedup: str | None) -> DataFrame:
+def _drain(m: Model, landing: str, out: str, ckpt: str, dedup: str | None = None,
+           max_files: int | None = None) -> None:
+    stream_ingest.ingest_stream(
+        read_event_stream(m.spark, "text", path=landing, max_files_per_trigger=max_files), out, ckpt,
+        trigger={"availableNow": True}, dedup_watermark=dedup).awaitTermination()
+
+
+def _stream_through(m: Model, *deliveries: DataFrame, dedup: str | None = None,
+                    max_files: int | None = None) -> str:
+    """The bronze tree after the stream has taken each delivery, with a restart between."""
     landing = shared_dir(m.spark, "landing")
     out, ckpt = shared_dir(m.spark, "bronze_stream"), shared_dir(m.spark, "stream_ckpt")
-    lines.select("value").write.text(landing)
-    q = stream_ingest.ingest_stream(read_event_stream(m.spark, "text", path=landing), out, ckpt,
-                                    trigger={"availableNow": True}, dedup_watermark=dedup)
-    q.awaitTermination()
-    return staging.stage_stream(read_stream_bronze(m.spark, out)).select(*O.C12.split(", "))
+    for lines in deliveries:
+        lines.select("value").write.mode("append").text(landing)
+        _drain(m, landing, out, ckpt, dedup, max_files)
+    return out
+
+
+def _staged(m: Model, root: str) -> DataFrame:
+    return staging.stage_stream(read_stream_bronze(m.spark, root)).select(*O.C12.split(", "))
 
 
 @query("stream_ingest_bronze", O.with_base(f"SELECT {O.C12} FROM stg_stream"))
 def q_stream_ingest(m: Model):
-    return _stream_through(m, binding.stream_records(m.table("events")), None)
+    return _staged(m, _stream_through(m, binding.stream_records(m.table("events"))))
+
+
+@query("stream_restart", O.with_base(f"SELECT {O.C12} FROM stg_stream"))
+def q_stream_restart(m: Model):
+    """Two deliveries and a third start without any: nothing lost, nothing twice."""
+    recs = binding.stream_records(m.table("events"))
+    odd = F.col("arrival") % 2 == 1
+    return _staged(m, _stream_through(m, recs.where(odd), recs.where(~odd), recs.where(F.lit(False))))
+
+
+def _shuffled(recs: DataFrame) -> DataFrame:
+    """Several files, each with event times from all over the table."""
+    return recs.repartition(4, F.xxhash64("arrival"))
 
 
 @query("stream_dedup", O.with_base(f"SELECT {O.C12} FROM stg_stream"))
 def q_stream_dedup(m: Model):
+    """One file per micro-batch, event times in any order, replays in later batches."""
     recs = binding.stream_records(m.table("events"))
     replays = recs.where(F.get_json_object("value", "$.event_type") == "signup")
-    return _stream_through(m, recs.unionByName(replays), "1 hour")
+    return _staged(m, _stream_through(m, _shuffled(recs.unionByName(replays)), _shuffled(replays),
+                                      dedup="1 hour", max_files=1))
+
+
+@query("stream_dedup_bad_lines", """
+SELECT 'no json ' || (event_id % 3) AS value, CAST(count(*) AS BIGINT) AS lines
+FROM events WHERE event_type = 'signup' GROUP BY 1""")
+def q_stream_bad_lines(m: Model):
+    """Lines without an event id pass the replay check, alike or not."""
+    e = m.table("events")
+    bad = e.where(F.col("event_type") == "signup").select(
+        F.concat(F.lit("no json "), (F.col("event_id") % 3).cast("string")).alias("value"),
+        F.col("event_id").alias("arrival"))
+    root = _stream_through(m, _shuffled(binding.stream_records(e).unionByName(bad)),
+                           dedup="1 hour", max_files=2)
+    _, lines = read_stream_bronze(m.spark, root, on_bad="quarantine")
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("flush_partitions", "SELECT CAST(count(*) AS BIGINT) AS records, true AS flushed_now FROM events")
+def q_flush_partitions(m: Model):
+    """Records lie under the date and hour at which they were flushed."""
+    hour = F.date_trunc("hour", F.current_timestamp())
+    before = m.spark.range(1).select(hour.alias("h")).first()["h"]
+    root = _stream_through(m, binding.stream_records(m.table("events")))
+    flushed = F.to_timestamp(F.concat_ws(" ", F.col("dt").cast("string"),
+                                         F.format_string("%02d:00:00", "hour")))
+    tree = m.spark.read.text(root)
+    return tree.agg(F.count(F.lit(1)).alias("records"),
+                    F.every(flushed.between(F.lit(before), hour)).alias("flushed_now"))
+
+
+@query("bronze_quarantine", """
+SELECT 'good' AS kind, CAST(count(*) AS BIGINT) AS lines FROM events
+UNION ALL SELECT 'bad', CAST(count(*) AS BIGINT) FROM events WHERE event_type = 'error'""")
+def q_quarantine(m: Model):
+    """S1 over a tree in which every error event left half a line behind."""
+    e = m.table("events")
+    recs = binding.stream_records(e)
+    halves = binding.stream_records(e.where(F.col("event_type") == "error")).select(
+        F.substring("value", 1, 20).alias("value"))
+    root = shared_dir(m.spark, "bronze_stream")
+    (recs.select("value").unionByName(halves)
+     .select("value", F.lit("2024-01-01").alias("dt"), F.lit("00").alias("hour"))
+     .write.partitionBy("dt", "hour").text(root))
+    good, bad = read_stream_bronze(m.spark, root, on_bad="quarantine")
+    kinds = good.select(F.lit("good").alias("kind")).unionByName(bad.select(F.lit("bad").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query("ingest_counts", O.with_base("""
+, offered AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE event = 'view'),
+n AS (SELECT (SELECT count(*) FROM offered WHERE event IN ('view', 'addtocart', 'transaction')) AS r,
+             (SELECT count(*) FROM stg_hist) AS w)
+SELECT CAST(r AS BIGINT) AS rows_read, CAST(r - w AS BIGINT) AS rows_dropped,
+       CAST(w AS BIGINT) AS rows_written, true AS files_counted, true AS again_alike FROM n"""))
+def q_ingest_counts(m: Model):
+    """What the ingest reports, and that a second run reports the same."""
+    csv, out = shared_dir(m.spark, "raw_csv"), shared_dir(m.spark, "bronze_hist")
+    _write_raw_csv(m, csv)
+    first = pipeline.ingest_historical(m.spark, csv, out, max_records_per_file=500)
+    files = count_files(m.spark, out)
+    again = pipeline.ingest_historical(m.spark, csv, out, max_records_per_file=500)
+    return m.spark.createDataFrame(
+        [(first.rows_read, first.rows_dropped, first.rows_written, first.files == files, again == first)],
+        "rows_read long, rows_dropped long, rows_written long, files_counted boolean, again_alike boolean")
 
 
-@query("warehouse_funnel", O.funnel_sql())
-def q_warehouse_funnel(m: Model):
+@query("read_mart", "WITH _x AS (SELECT 1)" + O.retention_sql(ORDERS_UE) + "SELECT * FROM mart_retention")
+def q_read_mart(m: Model):
+    """A mart as written and as read by path."""
+    path = shared_dir(m.spark, "mart")
+    write_mart(marts.retention(_orders(m)), path)
+    return read_mart(m.spark, path)
+
+
+def _warehouse(m: Model) -> dict[str, str]:
     sroot, csv = shared_dir(m.spark, "bronze_stream"), shared_dir(m.spark, "raw_csv")
     hroot, wh = shared_dir(m.spark, "bronze_hist"), shared_dir(m.spark, "warehouse")
     _write_stream_tree(m, sroot)
     _write_raw_csv(m, csv)
     pipeline.ingest_historical(m.spark, csv, hroot)
-    out = pipeline.run_pipeline(m.spark, pipeline.Paths(sroot, hroot, wh), m.gap)
-    return m.spark.read.parquet(out["mart_funnel_analysis"])
+    return pipeline.run_pipeline(m.spark, pipeline.Paths(sroot, hroot, wh), m.gap)
+
+
+@query("warehouse_dim_date", O.with_model("SELECT * FROM dim_date"))
+def q_warehouse_dim_date(m: Model):
+    return read_mart(m.spark, _warehouse(m)["dim_date"])
+
+
+@query("warehouse_funnel", O.funnel_sql())
+def q_warehouse_funnel(m: Model):
+    return read_mart(m.spark, _warehouse(m)["mart_funnel_analysis"])
 
 
 @query("serve_funnel_stream", O.funnel_sql().replace(
@@ -543,7 +789,7 @@ def q_serve_funnel(m: Model):
 @query("serve_active_users_hist", O.with_model(
     O.ACTIVE_CTES + "SELECT * FROM au WHERE source = 'batch_historical'"))
 def q_serve_active(m: Model):
-    reports.register_models({"mart_dau_wau_mau": marts.active_users(m.fct_events())})
+    reports.register_models({"mart_dau_wau_mau": marts.active_users(m.fact_rows(), m.dim_date())})
     return reports.serve(m.spark, "mart_dau_wau_mau", "batch_historical", ["date_day"])
 
 
@@ -563,14 +809,7 @@ def q_keyed_records(m: Model):
         F.get_json_object(j, "$.event_timestamp").alias("event_timestamp"))
 
 
-@query("bronze_gate_ingested", O.with_base("""
-, a AS (SELECT count(*) AS n FROM stg_hist)
-SELECT 1 AS check_order, 'row_count_positive' AS "check", n > 0 AS passed,
-       CAST(CASE WHEN n > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, 'rows=' || n AS detail FROM a
-UNION ALL SELECT 2, 'required_fields_not_null', true, CAST(0 AS BIGINT), '' FROM a
-UNION ALL SELECT 3, 'event_type_values_valid', true, CAST(0 AS BIGINT), '' FROM a
-UNION ALL SELECT 4, 'no_duplicate_event_ids', true, CAST(0 AS BIGINT), '0 duplicate event_id values'
-FROM a"""))
+@query("bronze_gate_ingested", O.with_base(HIST_CHECKED + REPORT_SQL))
 def q_gate_ingested(m: Model):
     csv, out = shared_dir(m.spark, "raw_csv"), shared_dir(m.spark, "bronze_hist")
     _write_raw_csv(m, csv)

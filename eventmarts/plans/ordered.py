@@ -1,15 +1,22 @@
 """Skew-proof ordered scans: per-key running state without one task per key.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; a key
-holding a third of all rows then becomes one huge sort.  Here each key's rows
-are split into fixed-width time buckets.  Events are windowed per
-``(key, bucket)``; what a bucket needs from the rows before it (previous
-timestamp, running counts, last marker) comes from a *bucket table* -- one row
-per ``(key, bucket)``, built by partial aggregation -- scanned per key in bucket
-order.  A key's bucket table has at most span/width rows whatever its event
-count, so no task holds more than one key's rows of one bucket.
-
-All orders are total: ``(ts, tiebreak)``.
+holding a third of all rows then becomes one huge sort.  Here rows are range
+partitioned by ``(keys, order)`` with sampled bounds, and the number of a row's range
+is kept.  Windows run per ``(key, range)``, so one task sorts at most the rows of one
+range of one key: a burst of one key, rows of one instant and rows without a time are
+split like any others, at every size of input.  Only rows equal in keys *and* whole
+order (the same event id at the same instant) cannot be split.
+
+What a range needs from the rows before it (previous timestamp, running counts, last
+marker) comes from a *carry table*: one row per (key, range) of the keys that lie in
+several ranges.  Each bound between two ranges is crossed by at most one key, so with n
+ranges this table has at most ``2 * (n - 1)`` rows: it is broadcast with that bound.
+All other keys need nothing carried.
+
+Event rows cross the network twice (range, then the hash exchange of the window) and
+are then written to the shared folder once, since the carry table and the final rows
+must see the same ranges.
 """
 
 from __future__ import annotations
@@ -19,94 +26,88 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmarts.functions.time import time_bucket
+from eventmarts.session import materialize
 
-BUCKET = "_b"
 PK = "_pk"
-DEFAULT_BUCKET_SECONDS = 600
-# Rows of one (key, bucket) above which the bucket is subdivided.
-DEFAULT_HOT_ROWS = 2_000_000
-_SUB = 1 << 20  # sub-buckets per bucket (composite bucket = bucket * _SUB + sub)
+_RANGE = "_range"
 
 
-def _with_pk(df: DataFrame, keys: Sequence[str], bucket) -> tuple[DataFrame, list]:
-    """Add ``_pk = struct(keys..., bucket)``.
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+           ranges: int | None = None) -> DataFrame:
+    """``df`` with ``_pk = struct(keys..., range)``.
 
-    One struct column is the partition key of the per-bucket windows, the
-    grouping key of the bucket table and the join key between them.  A struct
-    is never NULL and compares NULL fields as equal, so a plain equi-join on it
-    is null-safe *and* needs exactly the hash partitioning the window already
-    has -- the windowed rows are not shuffled again for the join.
+    One struct column is the partition key of the windows, the grouping key of the
+    carry table and the join key between them: it is never NULL and compares NULL
+    fields as equal.  ``ranges``: the session's shuffle partitions by default.
     """
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in df.columns]
-    pk = F.struct(*[F.col(k).alias(k) for k in keys], bucket.alias(BUCKET))
-    return df.select(*cols, pk.alias(PK)), cols
+    split = df.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
+    pk = F.struct(*[F.col(k).alias(k) for k in keys], F.spark_partition_id().alias(_RANGE))
+    return split.select(*cols, pk.alias(PK))
 
 
-def _time_buckets(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int,
-                  hot_rows: int | None) -> tuple[DataFrame, str]:
-    """Add a time-bucket column ``_tb`` (monotone in ``ts`` within a key).
-
-    With ``hot_rows``, a (key, bucket) holding more rows than that -- a burst
-    of one key inside one bucket -- is subdivided into sub-buckets whose width
-    shrinks with its row count (about ``hot_rows`` rows each when spread over
-    time).  The list of hot buckets has at most rows / ``hot_rows`` entries;
-    AQE picks the join strategy for it from its measured size.
-    """
-    coarse = time_bucket(ts, bucket_seconds)
-    if hot_rows is None:
-        return df.select("*", coarse.alias("_tb")), "_tb"
-    width = int(bucket_seconds) * 1_000_000
-    hk = F.struct(*[F.col(k).alias(k) for k in keys], F.col("_cb").alias("_cb"))
-    base = df.select("*", coarse.alias("_cb"))
-    hot = (base.groupBy(hk.alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > int(hot_rows))
-           .select("_hk", F.greatest(F.lit(1).cast("long"), F.floor(
-               F.lit(width).cast("long") * F.lit(int(hot_rows)).cast("long") / F.col("_n")))
-                   .cast("long").alias("_fine")))
-    e = base.select("*", hk.alias("_hk")).join(hot, "_hk", "left")
-    offset = F.unix_micros(F.col(ts)) - F.col("_cb") * F.lit(width).cast("long")
-    sub = F.when(F.col("_fine").isNotNull(),
-                 F.least(F.floor(offset / F.col("_fine")), F.lit(_SUB - 1).cast("long"))
-                 ).otherwise(F.lit(0).cast("long"))
-    tb = F.col("_cb") * F.lit(_SUB).cast("long") + sub
-    return e.select(*[F.col(c) for c in df.columns], tb.cast("long").alias("_tb")), "_tb"
-
-
-def _unpack(b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bucket table with the key fields and bucket as plain columns, so every
-    per-key window over it shares one partitioning (one exchange)."""
-    return b.select("*", *[F.col(PK)[k].alias(f"_kk{i}") for i, k in enumerate(keys)],
-                    F.col(PK)[BUCKET].alias("_kb"))
+def _carry(rows: DataFrame, keys: Sequence[str], *aggs) -> DataFrame:
+    """One row per (key, range) of the keys in several ranges, with the key's fields as
+    ``_k0``... and ``_r``, so that windows over it share one partitioning."""
+    table = rows.groupBy(PK).agg(*aggs).select(
+        "*", *[F.col(PK)[k].alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col(PK)[_RANGE].alias("_r"))
+    whole = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))])
+    return table.withColumn("_ranges", F.count(F.lit(1)).over(whole)).where(F.col("_ranges") > 1)
 
 
 def _per_key(keys: Sequence[str]) -> Window:
-    """Bucket-table window: one key's buckets in order (over :func:`_unpack` columns)."""
-    return Window.partitionBy(*[f"_kk{i}" for i in range(len(keys))]).orderBy("_kb")
+    return Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_r")
+
+
+def _with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Rows with what their range needs; keys of one range get NULLs."""
+    return rows.join(F.broadcast(carry), PK, "left")
+
+
+def numbered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
+             ranges: int | None = None) -> DataFrame:
+    """Rows with their number within (key, range): the frame that is written."""
+    w = Window.partitionBy(PK).orderBy(ts, tiebreak)
+    return ranged(df, keys, [ts, tiebreak], ranges).withColumn("_lrank", F.row_number().over(w))
 
 
 def split_row_number(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
-                     name: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                     hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                     name: str, ranges: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by ts, tiebreak)`` without
-    sending a whole key (or a burst of one key) to one task."""
-    tb, col = _time_buckets(df, keys, ts, bucket_seconds, hot_rows)
-    e, _ = _with_pk(tb, keys, F.col(col))
+    sending a whole key to one task."""
     cols = [F.col(c) for c in df.columns]
+    e = materialize(numbered(df, keys, ts, tiebreak, ranges), "numbered")
     before = _per_key(keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (_unpack(e.groupBy(PK).agg(F.count(F.lit(1)).alias("_cnt")), keys)
+    offsets = (_carry(e, keys, F.count(F.lit(1)).alias("_cnt"))
                .select(PK, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset")))
-    e = e.join(offsets, PK)
+    offset = F.coalesce(F.col("_offset"), F.lit(0))
+    return _with_carry(e, offsets).select(*cols, (offset + F.col("_lrank")).cast("long").alias(name))
+
+
+def gap_windows(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, is_break,
+                ranges: int | None = None) -> DataFrame:
+    """Rows with all that their own range tells: the frame that is written."""
+    tcol = F.col(ts)
     w = Window.partitionBy(PK).orderBy(ts, tiebreak)
-    return e.select(*cols, (F.col("_offset") + F.row_number().over(w)).cast("long").alias(name))
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    e = ranged(df, keys, [ts, tiebreak], ranges).select(
+        "*", F.row_number().over(w).alias("_lrank"), F.lag(ts).over(w).alias("_lprev"),
+        F.first(ts).over(run).alias("_first"))
+    # Rows after a range's first: break when either timestamp is NULL or the rule
+    # says so.  (A range's first row is decided by the carry table.)
+    new = (F.col("_lrank") > 1) & F.coalesce(is_break(F.col("_lprev"), tcol), F.lit(True))
+    return e.select("*", new.alias("_new")).select(
+        *[c for c in e.columns if c != "_lprev"],
+        F.max(F.when(F.col("_new"), tcol)).over(run).alias("_start"),
+        F.max(F.when(F.col("_new"), F.col("_lrank"))).over(run).alias("_start_rank"))
 
 
 def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
-                       is_break, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                       start_col: str = "session_start_at",
-                       seq_col: str = "event_sequence_number",
-                       hot_rows: int | None = DEFAULT_HOT_ROWS,
-                       rank_col: str | None = None) -> DataFrame:
+                       is_break, start_col: str = "session_start_at",
+                       seq_col: str = "event_sequence_number", rank_col: str | None = None,
+                       ranges: int | None = None) -> DataFrame:
     """Gap sessionization of each key's ordered rows.
 
     ``is_break(prev_ts, ts) -> Column`` says whether a row starts a new session
@@ -117,75 +118,57 @@ def split_gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: st
     ``rank_col`` is given, the session's start position in the key's order
     (unique per session even when start timestamps are NULL).  A NULL
     timestamp -- on the row or its predecessor -- always breaks, as a NULL
-    difference does in SQL.
+    difference does in SQL; NULL timestamps come first in a key's order.
 
-    One windowed pass per (key, bucket): every row but a bucket's first knows
-    its predecessor locally.  The bucket table then decides each bucket's first
-    row (against the previous bucket's last timestamp) and carries the running
-    row count and the last session start (timestamp, global rank) forward.
+    Every row but a range's first knows its predecessor within the range.  The carry
+    table decides each range's first row against the last timestamp of the key's
+    previous range and carries the row count and the last session start forward.
     """
-    tcol = F.col(ts)
-    tb, col = _time_buckets(df, keys, ts, bucket_seconds, hot_rows)
-    e, _ = _with_pk(tb, keys, F.col(col))
     cols = [F.col(c) for c in df.columns]
-    w = Window.partitionBy(PK).orderBy(ts, tiebreak)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    e = e.select("*", F.row_number().over(w).alias("_lrank"), F.lag(ts).over(w).alias("_lprev"))
-    # Rows after a bucket's first: break when either timestamp is NULL or the
-    # rule says so.  (A bucket's first row is decided in the bucket table.)
-    lnew = (F.col("_lrank") > 1) & F.coalesce(is_break(F.col("_lprev"), tcol), F.lit(True))
-    e = e.select("*", lnew.alias("_lnew"),
-                 F.max(F.when(lnew, tcol)).over(run).alias("_lstart"),
-                 F.max(F.when(lnew, F.col("_lrank"))).over(run).alias("_lstart_rank"))
-
-    # Bucket table: one row per (key, bucket), scanned per key in bucket order.
-    wb = _per_key(keys)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    kk = [f"_kk{i}" for i in range(len(keys))] + ["_kb"]
-    b = _unpack(e.groupBy(PK).agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.min(ts).alias("_b_first"),
-        F.max(ts).alias("_b_last"),
-        F.max(F.when(F.col("_lnew"), tcol)).alias("_b_lstart"),
-        F.max(F.when(F.col("_lnew"), F.col("_lrank"))).alias("_b_lstart_rank")), keys)
-    b = b.select(PK, *kk, "_b_first", "_b_lstart", "_b_lstart_rank",
-                 F.lag("_b_last").over(wb).alias("_prev_last"),
+    e = materialize(gap_windows(df, keys, ts, tiebreak, is_break, ranges), "gap-windows")
+
+    wk = _per_key(keys)
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    ks = [*[f"_k{i}" for i in range(len(keys))], "_r"]
+    b = _carry(e, keys, F.count(F.lit(1)).alias("_cnt"), F.first("_first").alias("_b_first"),
+               F.max(ts).alias("_b_last"), F.max("_start").alias("_b_start"),
+               F.max("_start_rank").alias("_b_rank"))
+    b = b.select(PK, *ks, "_b_first", "_b_start", "_b_rank",
+                 F.lag("_b_last").over(wk).alias("_prev_last"),
                  F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
-    first_new = F.coalesce(is_break(F.col("_prev_last"), F.col("_b_first")), F.lit(True))
-    b = b.select(PK, *kk, "_b_first", "_offset", first_new.alias("_first_new"),
-                 F.coalesce(F.col("_b_lstart"), F.when(first_new, F.col("_b_first")))
-                 .alias("_b_start"),
-                 (F.col("_offset") + F.coalesce(F.col("_b_lstart_rank"), F.when(first_new, F.lit(1))))
-                 .alias("_b_start_grank"))
-    b = b.select(PK, "_b_first", "_first_new", "_offset",
-                 F.max("_b_start").over(before).alias("_carry_start"),
-                 F.max("_b_start_grank").over(before).alias("_carry_grank"))
-    e = e.join(b, PK)
-
-    local = F.col("_lstart_rank").isNotNull()
-    first = F.col("_first_new")
-    start = (F.when(local, F.col("_lstart")).when(first, F.col("_b_first"))
+    opens = F.coalesce(is_break(F.col("_prev_last"), F.col("_b_first")), F.lit(True))
+    b = b.select(PK, *ks, "_offset", opens.alias("_opens"),
+                 F.when(F.col("_b_rank").isNotNull(), F.col("_b_start"))
+                 .when(opens, F.col("_b_first")).alias("_last_start"),
+                 (F.col("_offset") + F.coalesce(F.col("_b_rank"), F.when(opens, F.lit(1))))
+                 .alias("_last_rank"))
+    b = b.select(PK, "_opens", "_offset", F.max("_last_start").over(before).alias("_carry_start"),
+                 F.max("_last_rank").over(before).alias("_carry_rank"))
+    e = _with_carry(e, b)
+
+    local = F.col("_start_rank").isNotNull()
+    opens = F.coalesce(F.col("_opens"), F.lit(True))  # a key of one range opens with its first row
+    offset = F.coalesce(F.col("_offset"), F.lit(0))
+    start = (F.when(local, F.col("_start")).when(opens, F.col("_first"))
              .otherwise(F.col("_carry_start")))
-    srank = (F.when(local, F.col("_offset") + F.col("_lstart_rank"))
-             .when(first, F.col("_offset") + 1).otherwise(F.col("_carry_grank")))
-    seq = F.col("_offset") + F.col("_lrank") - srank + 1
-    extra = [srank.cast("long").alias(rank_col)] if rank_col else []
+    rank = (F.when(local, offset + F.col("_start_rank")).when(opens, offset + 1)
+            .otherwise(F.col("_carry_rank")))
+    seq = offset + F.col("_lrank") - rank + 1
+    extra = [rank.cast("long").alias(rank_col)] if rank_col else []
     return e.select(*cols, start.alias(start_col), seq.cast("long").alias(seq_col), *extra)
 
 
 def split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-              bucket, name: str) -> DataFrame:
-    """``lag(value) over (partition by keys order by order)`` split by ``bucket``
-    (a column expression monotone in ``order``, e.g. an arrival offset range).
-
-    The first row of a bucket takes the value of the last row of the key's
-    previous non-empty bucket (``max_by`` over the order, a partial aggregate).
-    """
-    e, cols = _with_pk(df, keys, bucket)
-    ordering = F.struct(*[F.col(c) for c in order])
-    last = (_unpack(e.groupBy(PK).agg(F.max_by(value, ordering).alias("_b_lastv")), keys)
-            .select(PK, F.lag("_b_lastv").over(_per_key(keys)).alias("_prevv")))
-    e = e.join(last, PK)
+              name: str, ranges: int | None = None) -> DataFrame:
+    """``lag(value) over (partition by keys order by order)`` without sending a whole
+    key to one task: a range's first row takes the value of the last row of the key's
+    previous range (``max_by`` over the order, a partial aggregate)."""
+    cols = [F.col(c) for c in df.columns]
     w = Window.partitionBy(PK).orderBy(*order)
-    lagged = F.when(F.row_number().over(w) == 1, F.col("_prevv")).otherwise(F.lag(value).over(w))
-    return e.select(*cols, lagged.alias(name))
+    e = materialize(ranged(df, keys, order, ranges)
+                    .select("*", F.row_number().over(w).alias("_lrank"),
+                            F.lag(value).over(w).alias("_lag")), "lagged")
+    last = (_carry(e, keys, F.max_by(value, F.col("_lrank")).alias("_last"))
+            .select(PK, F.lag("_last").over(_per_key(keys)).alias("_before")))
+    return _with_carry(e, last).select(
+        *cols, F.when(F.col("_lrank") == 1, F.col("_before")).otherwise(F.col("_lag")).alias(name))

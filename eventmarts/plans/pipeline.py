@@ -1,15 +1,17 @@
 """End-to-end jobs: historical ingest (C2) and the model build (C14).
 
-``run_pipeline`` follows the original order of steps: ingest -> quality gate
--> build models -> model tests -> write marts.  Intermediate layers that more
-than one model reads (the event fact) are written once to Parquet and read
-back, which cuts lineage (a lost executor recomputes from the written table,
-not from bronze) and lets every mart scan columnar data.
+``run_pipeline``: quality gate -> build models -> model tests -> publish.  Every model
+is written to a folder of the run and read back from there, which cuts lineage (a lost
+executor recomputes from the written table, not from bronze) and lets every later
+model and test scan columnar data.  The published tables change only after all tests
+have passed.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eventmarts.operators import historical, marts, quality, sessions, staging
 from eventmarts.schema import DEFAULT_CHUNK_SIZE, DEFAULT_SESSION_GAP_MINUTES
-from eventmarts.sinks.bronze import write_historical_bronze, write_mart
+from eventmarts.sinks.bronze import observed, write_historical_bronze, write_mart
 from eventmarts.sources.bronze import read_historical_bronze, read_stream_bronze
 from eventmarts.sources.raw import read_raw_csv
 
@@ -37,12 +39,12 @@ def ingest_historical(spark: SparkSession, csv_path: str, out: str,
     Counts come from ``observe`` metrics of the write itself (A18), so the
     input is not scanned a second time for them.
     """
-    seen, kept = Observation("rows_read"), Observation("rows_kept")
+    seen = Observation("rows_read")
     raw = historical.keep_known_events(read_raw_csv(spark, csv_path))
     raw = raw.observe(seen, F.count(F.lit(1)).alias("n"))
     dedup = historical.dedup_natural_key(raw)
-    files = write_historical_bronze(historical.to_bronze(dedup), out, max_records_per_file, kept)
-    n_read, n_kept = int(seen.get["n"]), int(kept.get["n"])
+    n_kept, files = write_historical_bronze(historical.to_bronze(dedup), out, max_records_per_file)
+    n_read = int(observed(seen, n=0)["n"])
     return IngestResult(n_read, n_read - n_kept, n_kept, files)
 
 
@@ -74,71 +76,58 @@ def build_models(stream_bronze: DataFrame, historical_bronze: DataFrame,
 
 
 def run_pipeline(spark: SparkSession, paths: Paths,
-                 gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
-                 gate: bool = True) -> dict[str, str]:
-    """C14: gate the historical bronze, build and test the models, write marts.
+                 gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES, gate: bool = True,
+                 tests: Sequence[tuple] = quality.MODEL_TESTS) -> dict[str, str]:
+    """C14: stage and gate the bronze trees, build and test the models, publish them.
 
     Returns table name -> Parquet path (staged tables, facts, spine, marts).
-    Raises on a failed gate or test.
+    Raises on a failed gate or test, and then leaves the published tables alone.
     """
-    sb = read_stream_bronze(spark, paths.stream_bronze)
-    hb = read_historical_bronze(spark, paths.historical_bronze)
+    run = os.path.join(paths.warehouse, "_runs", uuid.uuid4().hex)
+    built: dict[str, DataFrame] = {}
+
+    def build(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = os.path.join(run, name)
+        write_mart(df, path, partition_by)
+        built[name] = spark.read.parquet(path)
+        return built[name]
+
+    # Each bronze tree is parsed once; the gate reads the staged columns.
+    stg_s = build("stg_events_stream", staging.stage_stream(
+        read_stream_bronze(spark, paths.stream_bronze)))
+    stg_h = build("stg_events_historical", staging.stage_historical(
+        read_historical_bronze(spark, paths.historical_bronze)))
     if gate:
-        quality.raise_on_failure(quality.bronze_checks(hb))
-
-    wh = paths.warehouse
-    out: dict[str, str] = {}
-
-    # Bronze JSON is parsed once per tree: the staged tables are written as
-    # Parquet and every later model and test reads them columnar.
-    for name, df in (("stg_events_stream", staging.stage_stream(sb)),
-                     ("stg_events_historical", staging.stage_historical(hb))):
-        out[name] = os.path.join(wh, "staging", name)
-        write_mart(df, out[name])
-    stg_s = spark.read.parquet(out["stg_events_stream"])
-    stg_h = spark.read.parquet(out["stg_events_historical"])
+        quality.raise_on_failure(quality.bronze_checks(stg_h))
     unioned = staging.conform(stg_s, stg_h)
 
-    # The event fact is written once; sessions, the spine and every mart are
-    # derived from the written table (no second session scan).
-    out["fct_events"] = os.path.join(wh, "fct_events")
-    # Partitioned by source: serving reads filter on it and prune whole
-    # directories; with two values each task writes at most two files.
-    write_mart(marts.event_fact(sessions.sessionize(unioned, gap_minutes)), out["fct_events"],
-               partition_by=("source",))
-    fct = spark.read.parquet(out["fct_events"])
+    # The event fact is written once; sessions and marts are derived from the written
+    # table (no second session scan).  It is partitioned by source, which serving reads
+    # filter on, and clustered by date, so that a dated read prunes.
+    fct = build("fct_events", marts.event_fact(sessions.sessionize(unioned, gap_minutes))
+                .repartitionByRange("source", "event_date", "event_id"), ("source",))
     # Sessions of events that cannot be attached (NULL user or time) exist in
     # the session table but not in the fact; a pushed-down NULL filter finds them.
     unattached = sessions.gap_sessions(
         unioned.where(F.col("user_id").isNull() | F.col("event_timestamp").isNull()), gap_minutes)
-    derived = {
-        "fct_sessions": marts.session_fact(
-            marts.sessions_from_fact(fct).unionByName(unattached)),
-        "dim_date": marts.date_spine(fct),
-    }
-    for name, df in derived.items():
-        out[name] = os.path.join(wh, name)
-        write_mart(df, out[name], partition_by=("source",) if name == "fct_sessions" else ())
-    fs = spark.read.parquet(out["fct_sessions"])
-    dd = spark.read.parquet(out["dim_date"])
-
-    product = {
-        "mart_funnel_analysis": marts.funnel(fct),
-        "mart_dau_wau_mau": marts.active_users(fct, dd),
-        "mart_retention": marts.retention(fct),
-    }
-    for name, df in product.items():
-        out[name] = os.path.join(wh, name)
-        write_mart(df, out[name])
-
-    tested = {"stg_events_stream": stg_s, "stg_events_historical": stg_h,
-              "int_events_unioned": unioned, "fct_events": fct, "int_sessionized_events": fct,
-              "fct_sessions": fs, "int_sessions": fs, "dim_date": dd}
-    tested.update({k: spark.read.parquet(v) for k, v in out.items() if k.startswith("mart_")})
-    results = quality.run_model_tests(tested)
-    failed = results.where(~F.col("passed")).select("model", "test", "column", "failures")
-    bad = failed.limit(20).collect()  # report only; bounded
+    fs = build("fct_sessions", marts.session_fact(
+        marts.sessions_from_fact(fct).unionByName(unattached)), ("source",))
+    dd = build("dim_date", marts.date_spine(unioned))  # days of all events, attached or not
+    build("mart_funnel_analysis", marts.funnel(fct))
+    build("mart_dau_wau_mau", marts.active_users(fct, dd))
+    build("mart_retention", marts.retention(fct))
+
+    results = quality.run_model_tests(
+        {**built, "int_events_unioned": unioned, "int_sessionized_events": fct, "int_sessions": fs},
+        tests)
+    bad = results.where(~F.col("passed")).collect()  # at most one row per declared test
     if bad:
         raise AssertionError("model tests failed: " + "; ".join(
             f"{r['model']}.{r['column']} {r['test']} ({r['failures']})" for r in bad))
+
+    out = {}
+    for name, df in built.items():
+        layer = ("staging",) if name.startswith("stg_") else ()
+        out[name] = os.path.join(paths.warehouse, *layer, name)
+        write_mart(df, out[name], ("source",) if name.startswith("fct_") else ())
     return out

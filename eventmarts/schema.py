@@ -67,7 +67,7 @@ RAW_CSV = T.StructType([
     T.StructField("visitorid", T.LongType()),
     T.StructField("event", _s),
     T.StructField("itemid", T.LongType()),
-    T.StructField("transactionid", T.LongType()),
+    T.StructField("transactionid", T.DecimalType(28, 6)),
 ])
 
 NATURAL_KEY = ("visitorid", "timestamp", "event", "itemid")

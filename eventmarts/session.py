@@ -9,10 +9,11 @@ are re-planned from runtime statistics.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -60,14 +61,28 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
     The folder is read from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set -- local tests -- do we choose
-    one ourselves, and then we register it so later calls agree.
+    checkpoint dir).  A local master (tests) may do without: one temporary folder
+    is then chosen and registered, as driver and executor are one process.  On a
+    cluster a machine-local folder would lose files, so its absence is an error.
+    Paths are never reused; what is written there belongs to the run and goes
+    with the folder.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="eventmarts-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)  # DataFrame.checkpoint() writes here
     return os.path.join(base, *parts, uuid.uuid4().hex)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back: a table
+    that survives lost executors, is scanned by column and cuts lineage."""
+    path = shared_dir(df.sparkSession, "tables", name)
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

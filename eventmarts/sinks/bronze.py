@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventmarts.schema import DEFAULT_CHUNK_SIZE
@@ -21,33 +22,49 @@ def record_json(df: DataFrame) -> F.Column:
 
 
 def write_historical_bronze(df: DataFrame, root: str,
-                            max_records_per_file: int = DEFAULT_CHUNK_SIZE,
-                            observation=None) -> int:
+                            max_records_per_file: int = DEFAULT_CHUNK_SIZE) -> tuple[int, int]:
     """K4: newline-JSON under ``root/dt=YYYY-MM-DD/``, at most
-    ``max_records_per_file`` rows per file; returns the number of files.
+    ``max_records_per_file`` rows per file; returns (rows, files) of this write.
 
     Idempotent: dynamic partition overwrite replaces exactly the dates being
     written, so a retry leaves the same content.  Range partitioning on
     (dt, event_id) keeps each date in few tasks yet splits a hot date across
-    several, so no single task writes a third of the data.  ``observation``
-    (a :class:`pyspark.sql.Observation`) receives ``n`` = rows written; it is
-    attached above the range exchange, whose sampling pass would otherwise
-    count rows twice.
+    several, so no single task writes a third of the data.  Rows and dates are
+    observed by the write itself, above the range exchange, whose sampling pass would
+    otherwise count rows twice.  As the dates were replaced, their files are this
+    write's; they are counted as rows of a file scan that opens none.
     """
-    out = (df.select(F.col("dt"), record_json(df).alias("value"))
-           .repartitionByRange("dt", "value"))
-    if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("n"))
+    written = Observation("bronze_written")
+    out = (df.select("dt", "event_id", record_json(df).alias("value"))
+           .repartitionByRange("dt", "event_id").select("dt", "value")
+           .observe(written, F.count(F.lit(1)).alias("n"), F.collect_set("dt").alias("dates")))
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", int(max_records_per_file))
      .partitionBy("dt").text(root))
-    return count_files(df.sparkSession, root)
-
-
-def count_files(spark, root: str, glob: str = "part-*") -> int:
-    """Number of data files under a written tree (driver-side listing only)."""
-    return len(spark.read.option("pathGlobFilter", glob).text(root).inputFiles())
+    got = observed(written, n=0, dates=[])
+    return int(got["n"]), count_files(df.sparkSession, root, list(got["dates"]))
+
+
+def observed(observation: Observation, **nothing) -> dict:
+    """An observation's metrics; ``nothing`` if the input was empty.  (An empty input is
+    planned away together with the node that observes it.)"""
+    try:
+        return observation.get
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e.java_exception):
+            raise
+        return nothing
+
+
+def count_files(spark, root: str, dates: list[str] | None = None) -> int:
+    """Part files under a written tree, of some dates or all."""
+    if dates is not None and not dates:
+        return 0
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(root)
+    if dates is not None:
+        files = files.where(F.col("dt").cast("string").isin(dates))
+    return files.select("path").count()
 
 
 def keyed_records(df: DataFrame) -> DataFrame:

@@ -21,15 +21,8 @@ from eventmarts.sinks.bronze import record_json
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.  A file with a single row group is a single scan
-    split; when the scan has fewer splits than the cluster has cores, rows are
-    spread round-robin so the per-row binding work runs on every core.  A
-    large table has many splits and is left as is (no shuffle)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """One driver table, as the scan splits it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k():

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from eventmarts.schema import BRONZE, REQUIRED_FIELDS
+from eventmarts.schema import BRONZE
 
 # File-name globs of the two trees.  Stream files are either flushed
 # ``events-<uuid>.jsonl`` files or the streaming file sink's part files; the
@@ -56,20 +55,17 @@ def load_bronze_events(spark: SparkSession, root: str) -> DataFrame:
     """S3: every bronze file (``*.json*``, or a part file of our text writers)
     under ``root`` at any depth, for quality checks.
 
-    A missing or empty tree yields an empty frame with the required columns.
+    An empty tree yields an empty frame, and so does a missing one; any other
+    failure to read is raised.
     """
-    empty = spark.createDataFrame(
-        [], T.StructType([T.StructField(c, T.StringType()) for c in REQUIRED_FIELDS]))
     try:
-        df = (spark.read.schema(BRONZE).option("mode", "FAILFAST")
-              .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", ANY_BRONZE_GLOB).json(root))
-        # Listing happens at analysis time; an empty directory gives no files.
-        if not df.inputFiles():
-            return empty
-        return df
-    except AnalysisException:
-        return empty
+        return (spark.read.schema(BRONZE).option("mode", "FAILFAST")
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", ANY_BRONZE_GLOB).json(root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], BRONZE)
 
 
 def read_mart(spark: SparkSession, path_or_table: str) -> DataFrame:

@@ -12,9 +12,13 @@ from eventmarts.schema import FUNNEL_STEPS, RAW_CSV
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The raw historical CSV with an explicit schema (no inference)."""
-    return (spark.read.schema(RAW_CSV).option("header", "true")
-            .option("mode", "FAILFAST").csv(path))
+    """The raw historical CSV with an explicit schema (no inference).
+
+    Transaction ids may be written with a fraction (``4000.0``); they are whole
+    numbers."""
+    raw = (spark.read.schema(RAW_CSV).option("header", "true")
+           .option("mode", "FAILFAST").csv(path))
+    return raw.withColumn("transactionid", F.col("transactionid").cast("long"))
 
 
 def read_event_stream(spark: SparkSession, kind: str = "kafka", *,

@@ -10,8 +10,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 DATA = os.path.join(ROOT, "tests", "data")
-STREAM_ROOT = os.path.join(DATA, "bronze", "events")
-HIST_ROOT = os.path.join(DATA, "bronze", "events_historical")
+STREAM_ROOT = os.path.join(DATA, "shop", "events")
+HIST_ROOT = os.path.join(DATA, "shop", "events_historical")
 
 
 @pytest.fixture(scope="session")

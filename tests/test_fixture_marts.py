@@ -1,103 +1,72 @@
-"""End-to-end over the 24-event bronze fixture against hand-derived goldens."""
+"""End to end over a small bronze fixture, against the models in plain Python."""
 
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventmarts.operators import marts, quality, reports, sessions
+from tests import plain
 from tests.conftest import HIST_ROOT, STREAM_ROOT, rows
 
 D = dt.date
 
 
-def T(s):
-    return dt.datetime.fromisoformat(s)
-
-
-def test_counts(fixture_models):
-    assert fixture_models["fct_events"].count() == 24
-    assert fixture_models["fct_sessions"].count() == 13
-
-
-def test_sessions_golden(fixture_models):
-    got = rows(fixture_models["fct_sessions"], "session_id", "user_id", "event_count",
-               "duration_seconds")
-    expected = sorted([
-        ("fx-session-1a", "fx-user-1", 4, 19), ("fx-session-2a", "fx-user-2", 2, 4),
-        ("fx-session-1b", "fx-user-1", 2, 8), ("fx-session-3a", "fx-user-3", 3, 15),
-        ("6327bebb5cbba4ca5c508bf359f870b8", "hist-101", 3, 159),
-        ("8c066ee5ad8f60381458ab7372288eb5", "hist-101", 1, 0),
-        ("ebd54d5be8d9a0322d5610219d1dc8cd", "hist-101", 1, 0),
-        ("9ceb68078b84ef337ccfb3ea6b245b92", "hist-102", 1, 0),
-        ("a066db9736bceb573087b941e27a9c3b", "hist-102", 1, 0),
-        ("1f18d512e334bbbc43dde3384133d39e", "hist-102", 1, 0),
-        ("9b4652f0edb7486185fc2a473df07f85", "hist-103", 2, 150),
-        ("b16b01f4b28d90f099d9c94f7c558da0", "hist-104", 2, 300),
-        ("ce6de6bf6087785d4d6515dfb61490f6", "hist-105", 1, 0),
-    ], key=lambda t: tuple(str(x) for x in t))
-    assert got == expected
-
-
-def test_event_sequence_numbers(fixture_models):
-    got = rows(fixture_models["fct_events"].where("session_id = 'fx-session-1a'"),
-               "event_id", "event_sequence_number")
-    assert got == [("fx-stream-0001", 1), ("fx-stream-0002", 2), ("fx-stream-0003", 3),
-                   ("fx-stream-0004", 4)]
-    hist = rows(fixture_models["fct_events"].where("user_id = 'hist-101'"),
-                "event_id", "event_sequence_number")
-    assert hist[:3] == [("fx-hist-0001", 1), ("fx-hist-0002", 2), ("fx-hist-0003", 3)]
-
-
-def test_funnel_golden(fixture_models):
-    got = rows(marts.funnel(fixture_models["fct_events"]), "source", "step_number", "step_name",
-               "sessions_reached", "pct_of_funnel_start", "pct_of_previous_step")
-    assert got == [
-        ("batch_historical", 1, "page_view", 8, 100.0, None),
-        ("batch_historical", 2, "add_to_cart", 3, 37.5, 37.5),
-        ("batch_historical", 3, "purchase", 2, 25.0, 66.67),
-        ("stream", 1, "page_view", 4, 100.0, None),
-        ("stream", 2, "click", 3, 75.0, 75.0),
-        ("stream", 3, "add_to_cart", 2, 50.0, 66.67),
-        ("stream", 4, "purchase", 1, 25.0, 50.0),
-    ]
-
-
-def test_active_users_golden(fixture_models):
-    fct = fixture_models["fct_events"]
-    got = {(r.source, r.date_day): (r.dau, r.wau, r.mau)
-           for r in marts.active_users(fct).collect()}
-    assert got[("stream", D(2024, 1, 1))] == (2, 2, 2)
-    assert got[("stream", D(2024, 1, 2))] == (2, 3, 3)
-    assert got[("batch_historical", D(2015, 1, 5))] == (3, 3, 3)
-    for d in range(6, 12):
-        assert got[("batch_historical", D(2015, 1, d))] == (0, 3, 3)
-    assert got[("batch_historical", D(2015, 1, 12))] == (3, 3, 4)
-    for d in range(13, 19):
-        assert got[("batch_historical", D(2015, 1, d))] == (0, 3, 4)
-    assert got[("batch_historical", D(2015, 1, 19))] == (3, 3, 5)
-    assert len(got) == 2 + 15
-
-
-def test_active_users_sweep_equals_range_join(fixture_models):
-    fct = fixture_models["fct_events"]
-    cols = ("source", "date_day", "dau", "wau", "mau")
-    assert rows(marts.active_users(fct), *cols) == rows(
-        marts.active_users(fct, method="range_join"), *cols)
+@pytest.fixture(scope="module")
+def events():
+    out = plain.load(STREAM_ROOT) + plain.load(HIST_ROOT)
+    plain.sessions(out)
+    return out
+
+
+def test_the_fixture_has_the_cases(events):
+    parts = plain.sessions(events)
+    assert len(events) == 25 and len(parts) == 15
+    by_event = {e["event_id"]: e["sid"] for e in events}
+    assert by_event["o-01"] == by_event["o-02"] != by_event["o-03"] == by_event["o-04"]  # 30, 31, 0 minutes
+    assert by_event["o-05"] == by_event["o-06"] != by_event["o-07"]  # over midnight
+
+
+def test_sessions(events, fixture_models):
+    want = sorted((p[0]["sid"], p[0]["user_id"] or "", len(p),
+                   int((p[-1]["at"].replace(microsecond=0) - p[0]["at"].replace(microsecond=0)).total_seconds()))
+                  for p in plain.sessions(events))
+    got = sorted((r.session_id, r.user_id or "", r.event_count, r.duration_seconds)
+                 for r in fixture_models["fct_sessions"].collect())
+    assert got == want
+
+
+def test_event_fact(events, fixture_models):
+    want = sorted((e["event_id"], e["sid"], k) for p in plain.sessions(events)
+                  for k, e in enumerate(p, 1) if plain.in_fact(e))
+    assert rows(fixture_models["fct_events"], "event_id", "session_id", "event_sequence_number") == want
+
 
+def test_funnel(events, fixture_models):
+    got = [tuple(r) for r in marts.funnel(fixture_models["fct_events"]).collect()]
+    assert sorted(got) == plain.funnel(events)
+    assert ("stream", 3, "add_to_cart", 2, 50.0, 66.67) in got
 
-def test_retention_golden(fixture_models):
-    got = rows(marts.retention(fixture_models["fct_events"]), "source", "cohort_week",
-               "weeks_since_cohort", "cohort_size", "retained_users", "retention_rate")
-    assert got == [
-        ("batch_historical", D(2015, 1, 5), 0, 3, 3, 100.0),
-        ("batch_historical", D(2015, 1, 5), 1, 3, 2, 66.67),
-        ("batch_historical", D(2015, 1, 5), 2, 3, 2, 66.67),
-        ("batch_historical", D(2015, 1, 12), 0, 1, 1, 100.0),
-        ("batch_historical", D(2015, 1, 19), 0, 1, 1, 100.0),
-        ("stream", D(2024, 1, 1), 0, 3, 3, 100.0),
-    ]
+
+@pytest.mark.parametrize("method", ["sweep", "range_join"])
+def test_active_users(events, fixture_models, method):
+    # the spine comes from all events, the users from the fact
+    got = marts.active_users(fixture_models["fct_events"], fixture_models["dim_date"], method)
+    assert sorted(tuple(r) for r in got.collect()) == plain.active(events)
+
+
+def test_dim_date_spans_events_that_no_user_owns(events, fixture_models):
+    days = sorted(tuple(r) for r in fixture_models["dim_date"].collect())
+    assert days == plain.spine(events)
+    assert ("batch_historical", D(2021, 12, 6)) in days  # only a NULL user's event
+
+
+def test_retention(events, fixture_models):
+    got = [tuple(r) for r in marts.retention(fixture_models["fct_events"]).collect()]
+    assert sorted(got) == plain.retention(events)
 
 
 def test_interval_join_equals_join_free(fixture_models):
@@ -107,48 +76,66 @@ def test_interval_join_equals_join_free(fixture_models):
         sessions.sessionize_interval_join(conformed), *cols)
 
 
-def test_model_tests_all_pass(fixture_models):
-    models = dict(fixture_models)
+def test_model_tests(fixture_models):
     fct = fixture_models["fct_events"]
-    models["mart_funnel_analysis"] = marts.funnel(fct)
-    models["mart_dau_wau_mau"] = marts.active_users(fct)
-    models["mart_retention"] = marts.retention(fct)
-    res = quality.run_model_tests(models)
-    assert res.count() == 38
-    assert res.where(~F.col("passed")).count() == 0
+    models = {**fixture_models, "mart_funnel_analysis": marts.funnel(fct),
+              "mart_dau_wau_mau": marts.active_users(fct, fixture_models["dim_date"]),
+              "mart_retention": marts.retention(fct)}
+    failed = {(r.model, r.column, r.failures)
+              for r in quality.run_model_tests(models).where(~F.col("passed")).collect()}
+    # the fixture's three events without a user, wherever a user is asked for
+    assert all(column == "user_id" for _, column, _ in failed) and failed
 
 
-def test_reports(fixture_models):
+def test_reports(events, fixture_models):
     fct, fs = fixture_models["fct_events"], fixture_models["fct_sessions"]
     assert [r.source for r in reports.list_sources(fct).collect()] == ["batch_historical", "stream"]
     k = reports.overview_kpis(fct, fs, "stream").first()
-    assert (k.total_events, k.total_sessions, k.min_date, k.max_date) == (11, 4, D(2024, 1, 1), D(2024, 1, 2))
-    mix = [(r.event_type, r.event_count) for r in reports.event_mix(fct, "batch_historical").collect()]
-    assert mix == [("page_view", 8), ("add_to_cart", 3), ("purchase", 2)]
-    mat = reports.retention_matrix(marts.retention(fct), [0, 1, 2], "batch_historical").collect()
-    assert [(r.cohort_week, r.w0, r.w1, r.w2) for r in mat] == [
-        (D(2015, 1, 5), 100.0, 66.67, 66.67), (D(2015, 1, 12), 100.0, None, None),
-        (D(2015, 1, 19), 100.0, None, None)]
-
-
-def test_full_pipeline_writes_marts(spark, scratch):
-    import os
-
+    assert (k.total_events, k.total_sessions, k.min_date, k.max_date) == (12, 5, D(2022, 3, 7), D(2022, 3, 10))
+    mix = [(r.event_type, r.event_count, r.position)
+           for r in reports.event_mix(fct, "batch_historical").collect()]
+    assert mix == [("page_view", 6, 1), ("add_to_cart", 3, 2), ("purchase", 2, 3)]
+    order = [(r.cohort_week, r.weeks_since_cohort, r.position) for r in
+             reports.read_retention(marts.retention(fct), "batch_historical").collect()]
+    assert order == sorted(order) and [p for *_, p in order] == list(range(1, len(order) + 1))
+
+
+def test_retention_matrix_shows_every_week_or_refuses(fixture_models):
+    mart = marts.retention(fixture_models["fct_events"])
+    m = reports.retention_matrix(mart, source="batch_historical")
+    assert m.columns == ["source", "cohort_week", "w0", "w1", "w2", "w3", "w4"]
+    got = {r.cohort_week: r for r in m.collect()}
+    assert (got[D(2021, 11, 1)].w1, got[D(2021, 11, 1)].w2, got[D(2021, 11, 1)].w4) == (50.0, None, 50.0)
+    with pytest.raises(ValueError, match="week"):
+        reports.retention_matrix(mart, [0, 1])
+    assert reports.retention_matrix(mart.limit(0)).columns == ["source", "cohort_week"]
+
+
+def test_pipeline_publishes_only_after_its_tests(spark, scratch, events):
     from eventmarts.plans.pipeline import Paths, run_pipeline
 
-    out = run_pipeline(spark, Paths(STREAM_ROOT, HIST_ROOT, os.path.join(scratch, "wh")))
+    strict = [t for t in quality.MODEL_TESTS if t[2] != "user_id"]
+    paths = Paths(STREAM_ROOT, HIST_ROOT, os.path.join(scratch, "wh"))
+    out = run_pipeline(spark, paths, gate=False, tests=strict)
     assert set(out) == {"stg_events_stream", "stg_events_historical", "fct_events",
                         "fct_sessions", "dim_date", "mart_funnel_analysis",
                         "mart_dau_wau_mau", "mart_retention"}
-    assert spark.read.parquet(out["fct_sessions"]).count() == 13
-    assert spark.read.parquet(out["fct_events"]).count() == 24
-    assert spark.read.parquet(out["mart_retention"]).count() == 6
-    assert spark.read.parquet(out["mart_dau_wau_mau"]).count() == 17
+    want = plain.active(events)
+    assert sorted(tuple(r) for r in spark.read.parquet(out["mart_dau_wau_mau"]).collect()) == want
+    assert spark.read.parquet(out["fct_sessions"]).count() == len(plain.sessions(events))
+    # a build whose tests fail leaves what is published in place
+    other = Paths(STREAM_ROOT, os.path.join(HIST_ROOT, "dt=2021-11-01"), paths.warehouse)
+    with pytest.raises(AssertionError, match="model tests failed"):
+        run_pipeline(spark, other, gate=False,
+                     tests=[*strict, ("fct_events", "accepted_values", "source", ("stream",))])
+    assert sorted(tuple(r) for r in spark.read.parquet(out["mart_dau_wau_mau"]).collect()) == want
+    with pytest.raises(AssertionError, match="required_fields_present"):
+        run_pipeline(spark, paths)
 
 
 def test_serve_binds_parameters(spark, fixture_models):
     reports.register_models({"fct_events": fixture_models["fct_events"]})
-    assert reports.serve(spark, "fct_events", "stream").count() == 11
+    assert reports.serve(spark, "fct_events", "stream").count() == 12
     assert reports.serve(spark, "fct_events", "stream' OR '1'='1").count() == 0
     rows_ = reports.serve(spark, "fct_events", "batch_historical", ["event_timestamp"]).collect()
-    assert len(rows_) == 13 and rows_[0].event_id == "fx-hist-0001"
+    assert len(rows_) == 11 and rows_[0].event_id == "o-01"

@@ -6,9 +6,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmarts.operators import marts, sessions
+from eventmarts.plans import catalog
 from eventmarts.plans.build import Model
+from eventmarts.plans.ordered import gap_windows
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,23 +31,45 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_gap_scan_shuffles_event_rows_once_on_the_struct_key(spark, large_plan):
+def _exchanges(plan: str) -> int:
+    return plan.count("Exchange ")
+
+
+def test_session_scan_moves_event_rows_twice(spark, large_plan):
+    """Above its input the written frame has a range and a hash exchange, no join."""
     m = Model(spark, SF)
-    p = _plan(sessions.gap_session_events(m.conformed(), 30))
-    # no window or exchange keyed by (source, user_id) alone over event rows
+    hist = m.conformed().where("source = 'batch_historical'")
+    written = gap_windows(hist, ["source", "user_id"], "event_timestamp", "event_id", sessions.gap_rule(30))
+    p = _plan(written)
+    assert _exchanges(p) == _exchanges(_plan(hist)) + 2
+    assert "rangepartitioning(source" in p and "hashpartitioning(_pk" in p and "SortMergeJoin" not in p
+    # no window or exchange keyed by the user alone
     assert not re.search(r"hashpartitioning\(source#\d+, user_id#\d+, \d+\)", p)
-    # the join back to the bucket table needs no exchange above the event window
-    smj = p[p.index("SortMergeJoin"):]
-    first_child = smj.split("\n")[1:4]
-    assert any("Window" in line for line in first_child), first_child
-    assert "hashpartitioning(_pk" in p
+
+
+def test_final_rows_of_the_scan_are_not_moved_again(spark, large_plan):
+    p = _plan(sessions.gap_session_events(Model(spark, SF).conformed(), 30))
+    first = p[:p.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in first and "Exchange hash" not in first
+    # the broadcast side holds only keys that cross a range bound
+    assert "_ranges" in p and "> 1)" in p
+
+
+@pytest.mark.parametrize("name", ["dau", "retention", "list_sources", "active_users", "event_mix"])
+def test_user_level_marts_need_no_session_scan(spark, large_plan, name):
+    p = _plan(catalog.QUERIES[name](spark, SF))
+    assert "_pk" not in p and "rangepartitioning(user_id" not in p
+    assert _exchanges(p) <= 9
 
 
 def test_funnel_broadcasts_only_the_step_list(spark, large_plan):
     m = Model(spark, SF)
-    p = _plan(marts.funnel(m.fct_events()))
-    assert "BroadcastExchange" in p and "BroadcastHashJoin" in p
-    assert p.count("BroadcastExchange") == 1
+    facts = m.fact_rows().withColumn("session_id", F.col("user_id"))
+    p = _plan(marts.funnel(facts))
+    assert "BroadcastHashJoin" in p and p.count("BroadcastExchange") == 1
+    # a caller's own frame may be of any size: no hint
+    steps = spark.range(9).selectExpr("'stream' as source", "cast(id as int) as step_number", "'click' as event_type")
+    assert "BroadcastExchange" not in _plan(marts.funnel(facts, steps))
 
 
 def test_scans_read_only_needed_columns(spark):
@@ -61,6 +86,6 @@ def test_active_user_sweep_has_no_k_fold_expansion(spark, large_plan):
     m = Model(spark, SF)
     per_user_day = r"sequence\(d#\d+, date_add\(d#\d+, \d+\)"
     # the sweep only generates the calendar spine
-    assert not re.search(per_user_day, _plan(marts.active_users(m.fct_events())))
+    assert not re.search(per_user_day, _plan(marts.active_users(m.fact_rows())))
     # the range-join form lists every user-day under the 30 days it counts for
-    assert re.search(per_user_day, _plan(marts.active_users(m.fct_events(), method="range_join")))
+    assert re.search(per_user_day, _plan(marts.active_users(m.fact_rows(), method="range_join")))

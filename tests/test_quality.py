@@ -7,54 +7,44 @@ from pyspark.sql import functions as F
 
 from eventmarts.operators import quality
 
-COLS = "event_id string, user_id string, event_type string, event_timestamp string"
+SCHEMA = "event_id string, user_id string, event_type string, event_timestamp string"
+CLEAN = [("k1", "ada", "click", "t"), ("k2", "ben", "signup", "t"), ("k3", "ada", "purchase", "t")]
 
 
-def _frame(spark, n=3, over=None):
-    data = [[f"e{i}", f"u{i}", "page_view", "2026-07-23T00:00:00.000Z"] for i in range(n)]
-    for (row, col), v in (over or {}).items():
-        data[row][["event_id", "user_id", "event_type", "event_timestamp"].index(col)] = v
-    return spark.createDataFrame([tuple(r) for r in data], COLS)
+def _report(spark, rows):
+    return {r.check: (r.passed, r.failures, r.detail)
+            for r in quality.bronze_checks(spark.createDataFrame(rows, SCHEMA)).collect()}
 
 
-def _check(report, name):
-    return report.where(F.col("check") == name).first()
+def test_gate_on_clean_rows(spark):
+    assert _report(spark, CLEAN) == {
+        "has_rows": (True, 0, "3 rows"), "required_fields_present": (True, 0, ""),
+        "known_event_types": (True, 0, ""), "unique_event_ids": (True, 0, "0 repeated ids")}
 
 
-def test_row_count(spark):
-    assert _check(quality.bronze_checks(_frame(spark)), "row_count_positive").passed
-    r = _check(quality.bronze_checks(_frame(spark, 0)), "row_count_positive")
-    assert not r.passed and r.failures == 1
+def test_gate_without_rows(spark):
+    r = _report(spark, [])
+    assert r["has_rows"] == (False, 1, "0 rows")
+    assert all(passed for name, (passed, *_) in r.items() if name != "has_rows")
 
 
-def test_required_fields(spark):
-    assert _check(quality.bronze_checks(_frame(spark)), "required_fields_not_null").passed
-    r = _check(quality.bronze_checks(_frame(spark, over={(0, "event_id"): None})),
-               "required_fields_not_null")
-    assert not r.passed and r.failures == 1 and "'event_id'" in r.detail
+def test_gate_names_every_fault(spark):
+    rows = [*CLEAN, ("k3", None, "refund", None), ("k3", "cyd", "refund", "t"), (None, "cyd", None, "t"),
+            (None, "cyd", "wish", "t")]
+    assert _report(spark, rows) == {
+        "has_rows": (True, 0, "7 rows"),
+        "required_fields_present": (False, 2, "event_id: 2, user_id: 1, event_type: 1, event_timestamp: 1"),
+        "known_event_types": (False, 4, "<null> (1), refund (2), wish (1)"),
+        "unique_event_ids": (False, 3, "3 repeated ids")}
+    kinds = quality.invalid_event_types(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(tuple(r) for r in kinds.collect()) == [("<null>", 1), ("refund", 2), ("wish", 1)]
 
 
-def test_event_types(spark):
-    ok = spark.createDataFrame([("a", "u", t, "x") for t in ("page_view", "add_to_cart", "purchase")], COLS)
-    assert _check(quality.bronze_checks(ok), "event_type_values_valid").passed
-    r = _check(quality.bronze_checks(_frame(spark, over={(1, "event_type"): "not_a_real_event_type"})),
-               "event_type_values_valid")
-    assert not r.passed and r.failures == 1 and "not_a_real_event_type" in r.detail
-    r = _check(quality.bronze_checks(_frame(spark, over={(1, "event_type"): None})), "event_type_values_valid")
-    assert not r.passed  # a NULL type is invalid
-
-
-def test_duplicate_ids(spark):
-    assert _check(quality.bronze_checks(_frame(spark)), "no_duplicate_event_ids").passed
-    r = _check(quality.bronze_checks(_frame(spark, over={(1, "event_id"): "e0"})), "no_duplicate_event_ids")
-    assert not r.passed and r.failures == 1
-
-
-def test_gate_raises_at_first_failure(spark):
-    bad = _frame(spark, over={(0, "event_id"): None, (1, "event_type"): "nope"})
-    with pytest.raises(AssertionError, match="required_fields_not_null"):
-        quality.raise_on_failure(quality.bronze_checks(bad))
-    quality.raise_on_failure(quality.bronze_checks(_frame(spark)))
+def test_gate_raises_at_the_first_fault(spark):
+    broken = spark.createDataFrame([*CLEAN, (None, "ada", "wish", "t")], SCHEMA)
+    with pytest.raises(AssertionError, match="required_fields_present failed: event_id: 1"):
+        quality.raise_on_failure(quality.bronze_checks(broken))
+    quality.raise_on_failure(quality.bronze_checks(spark.createDataFrame(CLEAN, SCHEMA)))
 
 
 def test_declarative_tests(spark):

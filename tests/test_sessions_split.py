@@ -1,18 +1,18 @@
-"""Gap rule boundary cases, and the split (bucketed) scans against plain
-windows -- including one user holding most of the rows, with buckets small
-enough that its rows spread over many buckets."""
+"""Gap rule boundary cases, and the split scans against plain windows -- including one
+user holding most of the rows, bursts, ties and rows without a time."""
 
 from __future__ import annotations
 
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventmarts.functions import minute_boundaries
 from eventmarts.operators import sessions
-from eventmarts.plans.ordered import split_lag, split_row_number
+from eventmarts.plans.ordered import _carry, numbered, ranged, split_gap_sessions, split_lag, split_row_number
 from tests.conftest import rows
 
 SCHEMA = "event_id string, user_id string, event_timestamp timestamp, source string"
@@ -66,16 +66,18 @@ def _random_events(seed, n=3000):
 def test_split_gap_scan_equals_plain_window(spark):
     df = _events(spark, _random_events(7))
     cols = ("event_id", "session_start_at", "event_sequence_number")
-    for bucket in (60, 600, 86400):
-        split = sessions.gap_session_events(df, 30, bucket_seconds=bucket)
-        assert rows(split, *cols) == rows(_plain(df, 30), *cols), bucket
+    expected = rows(_plain(df, 30), *cols)
+    for ranges in (1, 2, 7, 40):
+        split = split_gap_sessions(df, ["source", "user_id"], "event_timestamp", "event_id",
+                                   sessions.gap_rule(30), ranges=ranges)
+        assert rows(split, *cols) == expected, ranges
 
 
 def test_split_row_number_equals_row_number(spark):
     df = _events(spark, _random_events(11))
     plain = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")))
-    split = split_row_number(df, ["user_id"], "event_timestamp", "event_id", "rn", bucket_seconds=120)
+    split = split_row_number(df, ["user_id"], "event_timestamp", "event_id", "rn", ranges=9)
     assert rows(split, "event_id", "rn") == rows(plain, "event_id", "rn")
 
 
@@ -84,7 +86,7 @@ def test_split_row_number_groups_null_keys(spark):
         [("a", None, dt.datetime(2024, 1, 1, 0, 0, 1)), ("b", None, dt.datetime(2024, 1, 1, 5)),
          ("c", "s", dt.datetime(2024, 1, 1, 0, 0, 2))],
         "event_id string, session_id string, event_timestamp timestamp")
-    got = rows(split_row_number(df, ["session_id"], "event_timestamp", "event_id", "rn", 60),
+    got = rows(split_row_number(df, ["session_id"], "event_timestamp", "event_id", "rn"),
                "event_id", "rn")
     assert got == [("a", 1), ("b", 2), ("c", 1)]
 
@@ -93,8 +95,9 @@ def test_split_lag_equals_lag(spark):
     data = [(i, "hot" if i % 3 else f"k{i % 5}", random.Random(i).random()) for i in range(2000)]
     df = spark.createDataFrame(data, "arrival long, key string, v double")
     plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("key").orderBy("arrival")))
-    split = split_lag(df, ["key"], ["arrival"], "v", F.floor(F.col("arrival") / 50), "p")
-    assert rows(split, "arrival", "p") == rows(plain, "arrival", "p")
+    for ranges in (1, 6, 30):
+        split = split_lag(df, ["key"], ["arrival"], "v", "p", ranges)
+        assert rows(split, "arrival", "p") == rows(plain, "arrival", "p")
 
 
 def test_stream_session_spanning_two_users_keeps_two_rows(spark):
@@ -122,44 +125,37 @@ def test_unattachable_events_match_interval_join(spark):
     assert sessions.gap_sessions(df).count() == 3  # (u, NULL-start), (u, 10:00), (NULL user)
 
 
-def test_hot_buckets_are_subdivided_and_still_exact(spark):
-    """A burst of one key inside one bucket is split into sub-buckets."""
-    from eventmarts.plans.ordered import split_gap_sessions
-
-    df = _events(spark, _random_events(3))
-    cols = ("event_id", "session_start_at", "event_sequence_number")
-    expected = rows(_plain(df, 30), *cols)
-    for hot in (20, 200):
-        got = split_gap_sessions(df, ["source", "user_id"], "event_timestamp", "event_id",
-                                 sessions.gap_rule(30), bucket_seconds=86400, hot_rows=hot)
-        assert rows(got, *cols) == expected, hot
-    plain_rn = df.withColumn("rn", F.row_number().over(
-        Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")))
-    got = split_row_number(df, ["user_id"], "event_timestamp", "event_id", "rn",
-                           bucket_seconds=86400, hot_rows=20)
-    assert rows(got, "event_id", "rn") == rows(plain_rn, "event_id", "rn")
-
-
-def test_hot_bucket_plan_splits_the_burst(spark):
-    """With hot_rows small, the busiest (key, bucket) spans many sub-buckets."""
-    from eventmarts.plans.ordered import _time_buckets
-
+@pytest.mark.parametrize("kind", ["burst", "instant", "timeless"])
+def test_no_group_is_larger_than_a_range(spark, kind):
+    """All rows of one user within a second, at one instant, or without a time: the
+    largest (key, range) stays within three times the mean range."""
+    n, ranges = 8000, 20
+    at = {"burst": F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 120),
+          "instant": F.lit("2024-01-01").cast("timestamp"),
+          "timeless": F.lit(None).cast("timestamp")}[kind]
+    df = spark.range(n).select(F.format_string("e%06d", F.col("id")).alias("event_id"),
+                               F.lit("hot").alias("user_id"), at.alias("event_timestamp"))
+    keys = ["user_id"]
+    groups = ranged(df, keys, ["event_timestamp", "event_id"], ranges).groupBy("_pk").count()
+    assert groups.agg(F.max("count")).first()[0] <= 3 * n / ranges
+    got = split_gap_sessions(df, keys, "event_timestamp", "event_id", sessions.gap_rule(30), ranges=ranges)
+    top = got.agg(F.max("event_sequence_number"), F.min("event_sequence_number"), F.count_distinct("event_id"))
+    assert tuple(top.first()) == ((1, 1, n) if kind == "timeless" else (n, 1, n))
+
+
+def test_the_broadcast_table_has_at_most_two_rows_per_bound(spark):
     df = _events(spark, _random_events(5))
-    tb, col = _time_buckets(df, ["source", "user_id"], "event_timestamp", 86400, 25)
-    per = tb.groupBy("user_id", col).count().agg(F.max("count").alias("m")).first().m
-    coarse = df.groupBy("user_id", F.to_date("event_timestamp")).count().agg(
-        F.max("count").alias("m")).first().m
-    assert coarse > 25 and per < coarse
+    for ranges in (2, 10, 50):
+        e = numbered(df, ["source", "user_id"], "event_timestamp", "event_id", ranges).cache()
+        assert _carry(e, ["source", "user_id"], F.count(F.lit(1)).alias("n")).count() <= 2 * (ranges - 1)
+        e.unpersist()
 
 
 def test_skewed_real_table_matches_duckdb(spark):
     """sf0.01 events with one user holding ~1/3 of all rows (test-only remap):
-    the split scan, with bursts forced through subdivision, equals a plain
-    window computed independently by DuckDB."""
+    the split scan equals a plain window computed independently by DuckDB."""
     import duckdb
 
-    from eventmarts.plans.ordered import split_gap_sessions
-
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.when(F.col("user_id") < 50, F.lit("hot")).otherwise(F.col("user_id").cast("string"))
@@ -167,7 +163,7 @@ def test_skewed_real_table_matches_duckdb(spark):
         F.col("ts").cast("timestamp").alias("event_timestamp"),
         F.lit("batch_historical").alias("source"))
     got = split_gap_sessions(ev, ["source", "user_id"], "event_timestamp", "event_id",
-                             sessions.gap_rule(30), bucket_seconds=3600, hot_rows=5)
+                             sessions.gap_rule(30), ranges=30)
     got = sorted((r.event_id, r.session_start_at.replace(tzinfo=None), r.event_sequence_number)
                  for r in got.collect())
     pdf = ev.select("event_id", "user_id",
