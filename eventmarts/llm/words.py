@@ -78,12 +78,25 @@ class Texts:
         self.end = np.flatnonzero(ends)
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
-        power, inverse = _power_tables(n + 1)
-        sums = np.empty(n + 1, _U)
-        sums[0] = 0
-        np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * inverse[self.start]
-                        + (self.end - self.start).astype(_U))
+        self.hash = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        """Hash of each word; prefix sums run over about ``CHUNK_BYTES`` at a time, so a
+        very long text needs no more memory than many short ones."""
+        out = np.empty(len(self.start), _U)
+        i = 0
+        while i < len(out):
+            base = self.start[i]
+            j = max(int(np.searchsorted(self.end, base + CHUNK_BYTES, "right")), i + 1)
+            part = self.data[base:self.end[j - 1]]
+            power, inverse = _power_tables(len(part) + 1)
+            sums = np.empty(len(part) + 1, _U)
+            sums[0] = 0
+            np.cumsum(_BYTE[part] * power[:len(part)], out=sums[1:])
+            start, end = self.start[i:j] - base, self.end[i:j] - base
+            out[i:j] = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(_U))
+            i = j
+        return out
 
     def __len__(self) -> int:
         return len(self.offsets) - 1

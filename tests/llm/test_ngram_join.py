@@ -114,3 +114,13 @@ def test_words_of_arrow_strings():
                 assert len(set(hashes[first[i]:first[i + 1]])) == len(shingles(text.replace("\xa0", "~")))
                 seen += 1
     assert seen == 3 * len(texts)
+
+
+def test_a_very_long_text_hashes_like_its_parts(monkeypatch):
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choices("abcé", k=rng.randint(1, 12))) for _ in range(60_000)) + " " + "y" * 5000
+    (_, whole), = chunks(pa.array([text]))
+    monkeypatch.setattr("eventmarts.llm.words.CHUNK_BYTES", 1000)
+    (_, parts), = chunks(pa.array([text]))
+    assert (whole.hash == parts.hash).all() and len(whole.hash) == 60_001
+    assert len(np.unique(whole.hash)) == len(set(text.split()))
