@@ -48,7 +48,6 @@ BLOCK_WORDS = 1024
 SHARD_WORDS = 1 << 22
 MAX_PLAN = 4_000_000
 SEED = 17
-ROWS_PER_RUN = 50_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SEGMENTS = "array<struct<shard:int,epoch:int,first_word:long,n_words:long>>"
@@ -131,15 +130,21 @@ def make_plan(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WE
 
 
 def lay_out(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), seed: int = SEED,
-            rows_per_run: int = ROWS_PER_RUN) -> tuple[DataFrame, list[tuple[str | None, int]]]:
-    """Documents with their start on their source's axis, and every source's size."""
+            digits: int | None = None) -> tuple[DataFrame, list[tuple[str | None, int]]]:
+    """Documents with their start on their source's axis, and every source's size.
+
+    A run is the documents of a source with the same first ``digits`` hex digits of the
+    hash: about the square root of all documents by default, so that neither a run nor
+    the list of a source's runs is large.
+    """
     order = F.md5(F.concat(F.lit(f"mix:{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
                   .cast("binary"))
     narrow = stored(docs.select(*id_cols, "source", word_count(F.col("text")).alias("size"),
                                 order.alias("_order")), "mix-sizes")
     sizes = [(r["source"], r["n"]) for r in
              narrow.groupBy("source").agg(F.sum("size").alias("n")).collect()]  # a row per source
-    digits = max(0, math.ceil(math.log(max(narrow.count(), 1) / rows_per_run, 16)))
+    if digits is None:
+        digits = math.ceil(math.log(max(narrow.count(), 1), 16) / 2)
     run = F.substring("_order", 1, digits) if digits else F.lit("")
     narrow = narrow.withColumn("_run", run)
     before = Window.partitionBy("source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
