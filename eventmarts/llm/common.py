@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmarts.session import shared_dir
+from eventmarts.session import materialize
 
 #: Arrow batches end at this many bytes, so a task holds few whole texts at once.
 BATCH_BYTES = 8 << 20
@@ -39,11 +39,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back."""
-    spark = df.sparkSession
-    path = shared_dir(spark, "llm", name)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return materialize(df, f"llm-{name}")
 
 
 def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
@@ -122,9 +118,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         # ... is offered to the old root as well, then labels jump to their root's label
         offered = (step.where(F.col("low") != F.col("root"))
                    .groupBy(F.col("root").alias("node")).agg(F.min("low").alias("offer")))
-        hooked = (step.join(offered, "node", "left")
-                  .select("node", F.col("root").alias("was"),
-                          F.least("low", F.coalesce("offer", "low")).alias("low")))
+        # (written, so that the next join has two plain shuffles, which adaptive execution
+        # can split where one root has most of the nodes)
+        hooked = stored(step.join(offered, "node", "left")
+                        .select("node", F.col("root").alias("was"),
+                                F.least("low", F.coalesce("offer", "low")).alias("low")),
+                        f"{name}-hooked")
         jump = hooked.select(F.col("node").alias("low"), F.col("low").alias("top"))
         labels = stored(hooked.join(jump, "low", "left")
                         .select("node", F.coalesce("top", "low").alias("root"), "was"),
