@@ -146,10 +146,39 @@ SELECT vec_id, coalesce(degree.n, 0)::BIGINT AS n_links,
 FROM embeddings m LEFT JOIN lowest ON lowest.a = m.vec_id LEFT JOIN degree ON degree.a = m.vec_id
 """
 
+OP12 = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+OP13 = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLES = {
     "op1_ngram_jaccard_join": OP1,
     "op2_source_mixing": OP2,
     "op5_host_quality_rules": OP5,
     "op9_lattice_near_dup": OP9,
     "op4_url_filter": OP4,
+    "op12_extendible_hash_dedup": OP12,
+    "op13_zone_map_negatives": OP13,
 }

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmarts.llm import (host_quality, html_extract, lattice_dedup, mixing, ngram_join, packing,
-                            quote_links, rff_quality, secret_scan, url_filter)
+from eventmarts.llm import (exact_dedup, hard_negatives, host_quality, html_extract, lattice_dedup,
+                            mixing, ngram_join, packing, quote_links, rff_quality, secret_scan,
+                            url_filter, whitening)
 from eventmarts.llm.common import read
 from eventmarts.llm.oracle import ORACLES  # noqa: F401
 
@@ -61,6 +62,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        read(spark, sf_dir, "labels"))
 
 
+def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", whitening.as_long("deviation"))
+
+
+def op12_extendible_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
+def op13_zone_map_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_source_mixing": op2_source_mixing,
@@ -72,4 +86,7 @@ QUERIES = {
     "op8_quote_linking": op8_quote_linking,
     "op9_lattice_near_dup": op9_lattice_near_dup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_spectrum_whitening": op11_spectrum_whitening,
+    "op12_extendible_hash_dedup": op12_extendible_hash_dedup,
+    "op13_zone_map_negatives": op13_zone_map_negatives,
 }
