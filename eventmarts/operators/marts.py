@@ -10,8 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmarts.functions import pct, second_boundaries, week_start, weeks_between
-from eventmarts.schema import EVENT_FACT_FIELDS, FUNNEL_STEPS, SESSION_FIELDS
-from eventmarts.sources.raw import funnel_steps
+from eventmarts.operators.sessions import MASK_BITS, event_masks, session_masks
+from eventmarts.schema import (
+    DEFAULT_SESSION_GAP_MINUTES,
+    EVENT_FACT_FIELDS,
+    FUNNEL_STEPS,
+    SESSION_FIELDS,
+)
 
 # ---------------------------------------------------------------------------
 # Facts and calendar
@@ -56,20 +61,61 @@ def date_spine(events: DataFrame, date_col: str = "event_date",
 
 
 def funnel(fact: DataFrame, steps: DataFrame | Iterable[tuple[str, int, str]] = FUNNEL_STEPS) -> DataFrame:
-    """Sessions reaching each step and conversion percentages.
+    """Sessions reaching each step and conversion percentages, from an event fact.
 
     A session reaches a step if it has at least one event of the step's type
     (order inside the session is not required).  Steps nobody reached are
-    absent, so "start" and "previous" refer to present steps.  A constant step
-    list is a handful of rows and is broadcast; a caller's own frame may be of
-    any size and is left to the optimizer.
+    absent, so "start" and "previous" refer to present steps.  A step list is
+    answered from session masks; a caller's own frame of steps may be of any size
+    and is joined.
     """
     if not isinstance(steps, DataFrame):
-        steps = F.broadcast(funnel_steps(fact.sparkSession, steps))
+        steps = list(steps)
+        return funnel_of_masks(session_masks(fact, step_types(steps)), steps)
     reached = (fact.select("source", "event_type", "session_id")
                .join(steps, ["source", "event_type"])
                .groupBy("source", "step_number", F.col("event_type").alias("step_name"))
                .agg(F.countDistinct("session_id").alias("sessions_reached")))
+    return _conversion(reached)
+
+
+def step_types(steps: Iterable[tuple[str, int, str]]) -> list[str]:
+    """The event types of a step list, in order of first use."""
+    return list(dict.fromkeys(t for _, _, t in steps))
+
+
+def funnel_of_masks(masks: DataFrame, steps: Iterable[tuple[str, int, str]] = FUNNEL_STEPS) -> DataFrame:
+    """C9 from session masks over :func:`step_types`: any step list of the masks' types is
+    answered by counting bits, one partial aggregate per source."""
+    steps = list(steps)
+    types = step_types(steps)
+    if not steps:
+        return _conversion(masks.sparkSession.createDataFrame(
+            [], "source string, step_number int, step_name string, sessions_reached long"))
+
+    def holds(i: int):
+        word, bit = divmod(i, MASK_BITS)
+        return F.getbit(F.col(f"mask{word}"), F.lit(bit)).cast("long")
+
+    per_source = masks.groupBy("source").agg(
+        *[F.sum(holds(i)).alias(f"_n{i}") for i in range(len(types))])
+    cells = [F.struct(F.lit(source).alias("source"), F.lit(int(n)).cast("int").alias("step_number"),
+                      F.lit(t).alias("step_name"), F.col(f"_n{types.index(t)}").alias("sessions_reached"))
+             for source, n, t in steps]
+    listed = per_source.select(F.col("source").alias("_s"), F.explode(F.array(*cells)).alias("c"))
+    return _conversion(listed.where((F.col("_s") == F.col("c.source")) & (F.col("c.sessions_reached") > 0))
+                       .select("c.*"))
+
+
+def funnel_of_events(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
+                     steps: Iterable[tuple[str, int, str]] = FUNNEL_STEPS) -> DataFrame:
+    """C9 straight from conformed events: the funnel of their sessionized table without
+    building that table."""
+    steps = list(steps)
+    return funnel_of_masks(event_masks(events, step_types(steps), gap_minutes), steps)
+
+
+def _conversion(reached: DataFrame) -> DataFrame:
     w = Window.partitionBy("source").orderBy("step_number")
     return reached.select(
         "source", "step_number", "step_name", "sessions_reached",

@@ -1,4 +1,4 @@
-"""Sessions (C5) and sessionized events.
+"""Sessions (C5), sessionized events (C6) and session masks.
 
 * Native sources (``stream``): the payload's ``session_id``; a session row per
   ``(session_id, user_id, source)``.
@@ -7,8 +7,15 @@
   is greater than ``gap_minutes``.  Key = md5 of ``user_id-<start as
   timestamptz text>``.
 
-Attaching the inferred session to each event needs no join: the split gap scan
-already yields each event's session start.  The interval join of the original
+The rule counts minute boundaries, so it sees nothing but a user's *active minutes*: events
+of one minute never lie apart.  Session rows and masks therefore come from one aggregate by
+(user, minute), which collapses a burst or a heavy user map-side, and a window over that
+user's minutes, of which there are 525,600 a year at most, however many events the user has.
+No event is sorted and nothing is written.
+
+Event rows need their number in the session and keep the ordered scan.  Attaching the
+inferred session to each event needs no join: the split gap scan already yields each event's
+session start.  The interval join of the original
 (event time between start and end) is kept as :func:`attach_by_interval_join`,
 bucketed so a heavy user is not one nested loop.
 """
@@ -17,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmarts.functions import minute_boundaries, surrogate_key, ts_key_text
@@ -64,20 +71,76 @@ def gap_session_events(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP
     return e.withColumn("session_id", surrogate_key(F.col("user_id"), ts_key_text(F.col("session_start_at"))))
 
 
+def _minutes(events: DataFrame, keys: Sequence[str], gap_minutes: int, *aggs) -> DataFrame:
+    """Active minutes of each key with ``aggs`` and ``_no``, the number of their session."""
+    minute = F.floor(F.unix_seconds(TS) / F.lit(60)).cast("long")
+    active = (events.where(F.col(TS).isNotNull()).withColumn("_minute", minute)
+              .groupBy(*keys, "_minute").agg(*aggs))
+    w = Window.partitionBy(*keys).orderBy("_minute")
+    apart = F.col("_minute") - F.lag("_minute").over(w) > F.lit(int(gap_minutes))
+    opens = F.coalesce(apart, F.lit(True)).cast("long")
+    return (active.withColumn("_opens", opens)
+            .withColumn("_no", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+
+
 def gap_sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
                  sources: Sequence[str] = (HISTORICAL,)) -> DataFrame:
-    """A2 + F12: one row per inferred session."""
-    e = split_gap_sessions(
-        _by_source(events, sources).select("source", "user_id", TS, TIE),
-        ["source", "user_id"], TS, TIE, gap_rule(gap_minutes), rank_col="_srank")
-    # The start rank separates sessions whose start timestamp is NULL.
-    s = (e.groupBy("user_id", "source", "session_start_at", "_srank")
-         .agg(F.max(TS).alias("session_end_at"), F.count(F.lit(1)).alias("event_count")))
-    return s.select(
+    """A2 + F12: one row per inferred session.  An event without a time always is a
+    session of its own."""
+    chosen = _by_source(events, sources)
+    keys = ["source", "user_id"]
+    dated = _minutes(chosen, keys, gap_minutes, F.min(TS).alias("_lo"), F.max(TS).alias("_hi"),
+                     F.count(F.lit(1)).alias("_n"))
+    s = dated.groupBy(*keys, "_no").agg(
+        F.min("_lo").alias("session_start_at"), F.max("_hi").alias("session_end_at"),
+        F.sum("_n").alias("event_count")).drop("_no")
+    undated = chosen.where(F.col(TS).isNull()).select(
+        *keys, F.col(TS).alias("session_start_at"), F.col(TS).alias("session_end_at"),
+        F.lit(1).cast("long").alias("event_count"))
+    return s.unionByName(undated).select(
         surrogate_key(F.col("user_id"), ts_key_text(F.col("session_start_at"))).alias("session_id"),
         "user_id", "source", "session_start_at", "session_end_at", "event_count")
 
 
+#: Event types per mask word: the bits of a long without its sign.
+MASK_BITS = 63
+
+
+def _mask_words(types: Sequence[str]) -> list[Column]:
+    """One bit per event type, as partial-aggregated ORs, ``MASK_BITS`` types to a word."""
+    words = [types[i:i + MASK_BITS] for i in range(0, len(types), MASK_BITS)] or [()]
+    out = []
+    for k, some in enumerate(words):
+        bit = F.lit(0).cast("long")
+        for b, name in enumerate(some):
+            bit = F.when(F.col("event_type") == F.lit(name), F.lit(1 << b).cast("long")).otherwise(bit)
+        out.append(F.bit_or(bit).alias(f"mask{k}"))
+    return out
+
+
+def _merged(count: int) -> list[Column]:
+    return [F.bit_or(f"mask{k}").alias(f"mask{k}") for k in range(count)]
+
+
+def session_masks(fact: DataFrame, types: Sequence[str]) -> DataFrame:
+    """``source, mask0, ...`` of every session of a fact: which of ``types`` it holds."""
+    return (fact.where(F.col("session_id").isNotNull()).groupBy("source", "session_id")
+            .agg(*_mask_words(types)).drop("session_id"))
+
+
+def event_masks(events: DataFrame, types: Sequence[str],
+                gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
+                native: Sequence[str] = (STREAM,), inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
+    """:func:`session_masks` of the sessionized table, straight from conformed events:
+    native sessions by their id, inferred ones by their active minutes."""
+    words = _mask_words(types)
+    own = session_masks(_by_source(events, native), types)
+    keys = ["source", "user_id"]
+    gaps = _minutes(attachable(events, (), inferred), keys, gap_minutes, *words)
+    return own.unionByName(gaps.groupBy(*keys, "_no").agg(*_merged(len(words)))
+                           .drop("user_id", "_no"))
+
+
 def sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
              native: Sequence[str] = (STREAM,), inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
     """Native sessions UNION ALL inferred sessions."""

@@ -173,7 +173,13 @@ def q_date_spine(m: Model):
 
 @query("funnel", O.funnel_sql())
 def q_funnel(m: Model):
-    return marts.funnel(m.fct_events())
+    return marts.funnel_of_events(m.conformed(), m.gap)
+
+
+@query("funnel_of_fact", O.funnel_sql())
+def q_funnel_of_fact(m: Model):
+    """The same funnel from the written event fact."""
+    return marts.funnel(materialize(m.fct_events(), "fct_events"))
 
 
 MISSING_STEPS = (
@@ -191,7 +197,7 @@ MISSING_STEPS_SQL = """funnel_steps AS (
 
 @query("funnel_missing_step", O.funnel_sql(MISSING_STEPS_SQL))
 def q_funnel_missing(m: Model):
-    return marts.funnel(m.fct_events(), MISSING_STEPS)
+    return marts.funnel_of_events(m.conformed(), m.gap, MISSING_STEPS)
 
 
 @query("dau", O.active_sql("dau"))
@@ -322,7 +328,7 @@ def q_retention_matrix_orders(m: Model):
 @query("read_funnel", O.with_model(O.funnel_ctes() + "SELECT *, row_number() OVER (PARTITION BY source "
                                    "ORDER BY step_number) AS position FROM mart_funnel"))
 def q_read_funnel(m: Model):
-    return reports.read_funnel(marts.funnel(m.fct_events()))
+    return reports.read_funnel(marts.funnel_of_events(m.conformed(), m.gap))
 
 
 @query("read_active_users", O.with_model(O.ACTIVE_CTES + "SELECT *, row_number() OVER (PARTITION BY source "
@@ -782,7 +788,7 @@ def q_warehouse_funnel(m: Model):
 @query("serve_funnel_stream", O.funnel_sql().replace(
     "SELECT * FROM mart_funnel", "SELECT * FROM mart_funnel WHERE source = 'stream'"))
 def q_serve_funnel(m: Model):
-    reports.register_models({"mart_funnel_analysis": marts.funnel(m.fct_events())})
+    reports.register_models({"mart_funnel_analysis": marts.funnel_of_events(m.conformed(), m.gap)})
     return reports.serve(m.spark, "mart_funnel_analysis", "stream", ["step_number"])
 
 

@@ -62,12 +62,24 @@ def test_user_level_marts_need_no_session_scan(spark, large_plan, name):
     assert _exchanges(p) <= 9
 
 
-def test_funnel_broadcasts_only_the_step_list(spark, large_plan):
-    m = Model(spark, SF)
-    facts = m.fact_rows().withColumn("session_id", F.col("user_id"))
-    p = _plan(marts.funnel(facts))
-    assert "BroadcastHashJoin" in p and p.count("BroadcastExchange") == 1
+def test_funnel_needs_no_ordered_scan(spark, large_plan, monkeypatch):
+    """Sessions and steps from masks: nothing is written, ordered by event, expanded or
+    broadcast; a user's window is over active minutes."""
+    from eventmarts import session
+    from eventmarts.plans import ordered
+
+    def refuse(*_):
+        raise AssertionError("a table was written")
+    for module in (session, ordered, sessions):
+        monkeypatch.setattr(module, "materialize", refuse)
+    for name in ("funnel", "funnel_missing_step"):
+        p = _plan(catalog.QUERIES[name](spark, SF))
+        assert "rangepartitioning" not in p and "Expand" not in p and "BroadcastExchange" not in p
+        assert "Join" not in p and _exchanges(p) <= 7
+        windows = re.findall(r"Window \[(.*)", p)
+        assert all("_minute" in w or "step_number" in w or "_opens" in w for w in windows)
     # a caller's own frame may be of any size: no hint
+    facts = Model(spark, SF).fact_rows().withColumn("session_id", F.col("user_id"))
     steps = spark.range(9).selectExpr("'stream' as source", "cast(id as int) as step_number", "'click' as event_type")
     assert "BroadcastExchange" not in _plan(marts.funnel(facts, steps))
 
