@@ -1,10 +1,11 @@
 """End-to-end jobs: historical ingest (C2) and the model build (C14).
 
 ``run_pipeline``: quality gate -> build models -> model tests -> publish.  Every model
-is written to a folder of the run and read back from there, which cuts lineage (a lost
-executor recomputes from the written table, not from bronze) and lets every later
-model and test scan columnar data.  The published tables change only after all tests
-have passed.
+is written once, in its final layout, to a folder of the run and read back from there,
+which cuts lineage (a lost executor recomputes from the written table, not from bronze)
+and lets every later model and test scan columnar data.  After all tests have passed one
+small file makes the run's folders the current version (:mod:`eventmarts.sinks.publish`):
+readers see all of the old tables or all of the new ones.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from eventmarts.operators import historical, marts, quality, sessions, staging
 from eventmarts.schema import DEFAULT_CHUNK_SIZE, DEFAULT_SESSION_GAP_MINUTES
 from eventmarts.sinks.bronze import observed, write_historical_bronze, write_mart
+from eventmarts.sinks.publish import current, publish
 from eventmarts.sources.bronze import read_historical_bronze, read_stream_bronze
 from eventmarts.sources.raw import read_raw_csv
 
@@ -80,14 +82,16 @@ def run_pipeline(spark: SparkSession, paths: Paths,
                  tests: Sequence[tuple] = quality.MODEL_TESTS) -> dict[str, str]:
     """C14: stage and gate the bronze trees, build and test the models, publish them.
 
-    Returns table name -> Parquet path (staged tables, facts, spine, marts).
-    Raises on a failed gate or test, and then leaves the published tables alone.
+    Returns table name -> Parquet path (staged tables, facts, spine, marts) of this run;
+    ``read_mart(spark, f"{warehouse}/{table}")`` reads whatever version is current.
+    Raises on a failed gate or test, and then leaves the published version alone.
     """
-    run = os.path.join(paths.warehouse, "_runs", uuid.uuid4().hex)
+    before = current(spark, paths.warehouse)
+    run = os.path.join("_runs", uuid.uuid4().hex)
     built: dict[str, DataFrame] = {}
 
     def build(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        path = os.path.join(run, name)
+        path = os.path.join(paths.warehouse, run, name)
         write_mart(df, path, partition_by)
         built[name] = spark.read.parquet(path)
         return built[name]
@@ -125,9 +129,5 @@ def run_pipeline(spark: SparkSession, paths: Paths,
         raise AssertionError("model tests failed: " + "; ".join(
             f"{r['model']}.{r['column']} {r['test']} ({r['failures']})" for r in bad))
 
-    out = {}
-    for name, df in built.items():
-        layer = ("staging",) if name.startswith("stg_") else ()
-        out[name] = os.path.join(paths.warehouse, *layer, name)
-        write_mart(df, out[name], ("source",) if name.startswith("fct_") else ())
-    return out
+    publish(spark, paths.warehouse, {name: {"": os.path.join(run, name)} for name in built}, before.number)
+    return {name: os.path.join(paths.warehouse, run, name) for name in built}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmarts.schema import BRONZE
+from eventmarts.sinks.publish import read_published
 
 # File-name globs of the two trees.  Stream files are either flushed
 # ``events-<uuid>.jsonl`` files or the streaming file sink's part files; the
@@ -69,7 +70,12 @@ def load_bronze_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_mart(spark: SparkSession, path_or_table: str) -> DataFrame:
-    """A written mart, by table name or Parquet path."""
-    if "/" in path_or_table:
-        return spark.read.parquet(path_or_table)
-    return spark.table(path_or_table)
+    """A written mart, by table name or path.
+
+    A path ``<warehouse>/<table>`` of a published warehouse is the current version's
+    table; any other path is read as Parquet."""
+    if "/" not in path_or_table:
+        return spark.table(path_or_table)
+    warehouse, _, table = path_or_table.rstrip("/").rpartition("/")
+    published = read_published(spark, warehouse, table)
+    return spark.read.parquet(path_or_table) if published is None else published
