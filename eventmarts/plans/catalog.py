@@ -17,6 +17,7 @@ from eventmarts.operators import historical, marts, quality, reports, sessions,
 from eventmarts.plans import oracle as O
 from eventmarts.plans import pipeline
 from eventmarts.plans.build import Model
+from eventmarts.plans.incremental import SessionStore
 from eventmarts.session import materialize, shared_dir
 from eventmarts.sinks.bronze import count_files, keyed_records, record_json, write_mart
 from eventmarts.sources import binding
@@ -150,6 +151,29 @@ def q_sessionize_interval(m: Model):
     return marts.event_fact(sessions.sessionize_interval_join(m.conformed(), m.gap))
 
 
+def _flushed(m: Model) -> SessionStore:
+    """The session store after three flushes: days up to the middle one, later days, and
+    events of all days that were held back (every tenth), some between two sessions."""
+    events = materialize(m.conformed(), "conformed")
+    span = events.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
+    late = F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0
+    early = F.col("event_date") <= F.lit(span["a"] + (span["b"] - span["a"]) / 2)
+    store = SessionStore(m.spark, shared_dir(m.spark, "session_store"), m.gap)
+    for part in (events.where(~late & early), events.where(~late & ~early), events.where(late)):
+        store.flush(part)
+    return store
+
+
+@query("sessionize_incremental", SESSIONIZED_SQL)
+def q_sessionize_incremental(m: Model):
+    return _flushed(m).events()
+
+
+@query("sessions_incremental", O.with_model(f"SELECT {SESS_COLS} FROM int_sessions"))
+def q_sessions_incremental(m: Model):
+    return _flushed(m).sessions()
+
+
 # --- core marts -------------------------------------------------------------
 
 
