@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmarts.plans.ordered import split_lag
@@ -170,56 +170,83 @@ MODEL_TESTS: tuple[tuple[str, str, str, object], ...] = (
 )
 
 
-def _fused_scalar_tests(df: DataFrame, model: str,
-                        tests: Sequence[tuple[str, str, object]]) -> DataFrame:
-    """All not_null / accepted_values tests of one model in a single aggregate
-    pass, returned as one row per test (same order as given)."""
-    aggs = []
-    for i, (test, column, arg) in enumerate(tests):
-        if test == _NN:
-            aggs.append(F.count(F.when(F.col(column).isNull(), 1)).alias(f"_f{i}"))
-        else:
-            aggs.append(F.count_distinct(F.when(~F.col(column).isin(list(arg)), F.col(column)))
-                        .alias(f"_f{i}"))
-    a = df.agg(*aggs)
-    structs = [F.struct(F.lit(model).alias("model"), F.lit(test).alias("test"),
-                        F.lit(column).alias("column"), (F.col(f"_f{i}") == 0).alias("passed"),
-                        F.col(f"_f{i}").cast("long").alias("failures"))
-               for i, (test, column, _) in enumerate(tests)]
-    return a.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+#: What a test counts over the keys of its group (see :func:`run_model_tests`).
+_COUNTS = {
+    _NN: lambda own, parent: F.sum(own),
+    "accepted_values": lambda own, parent: F.count_if(own > 0),
+    "unique": lambda own, parent: F.count_if(own > 1),
+    "unique_parent": lambda own, parent: F.count_if(parent > 1),
+    "relationships": lambda own, parent: F.sum(F.when(parent == 0, own).otherwise(0)),
+}
 
 
 def run_model_tests(models: Mapping[str, DataFrame],
                     tests: Sequence[tuple[str, str, str, object]] = MODEL_TESTS) -> DataFrame:
     """All declarative tests whose model is given, as one result frame.
 
-    Tests are fused per model: one aggregate pass covers every not_null and
-    accepted_values test of the model; each unique test is one grouping and
-    each relationships test one anti join.  A model is therefore scanned a
-    small, fixed number of times however many tests it carries.
+    One scan per table and one grouping for all tests.  Every test has a group, and a table
+    gives the group the keys it must see: all values for ``unique`` and for both sides of
+    ``relationships``, only the missing ones for ``not_null``, only the odd ones for
+    ``accepted_values``.  Rows are counted by (group, key) -- as own and as parent rows -- and
+    each test is a count over the keys of its group.  Tests of one table under two
+    names, and the uniqueness of a parent key, are counted once.
     """
-    by_model: dict[str, list[tuple[str, str, object]]] = {}
-    for model, test, column, arg in tests:
-        if model in models:
-            by_model.setdefault(model, []).append((test, column, arg))
-    parts = []
-    for model, ts in by_model.items():
-        df = models[model]
-        scalar = [t for t in ts if t[0] in (_NN, "accepted_values")]
-        if scalar:
-            parts.append(_fused_scalar_tests(df, model, scalar))
-        for test, column, arg in ts:
-            if test == "unique":
-                parts.append(test_unique(df, column, model))
-            elif test == "relationships":
-                parent, pcol = arg
-                parts.append(test_relationships(df, column, models[parent], pcol, model))
-            elif test not in (_NN, "accepted_values"):
-                raise ValueError(test)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    groups: dict[tuple, int] = {}
+    given: dict[int, list[Column]] = {}  # by table: (group, key, own, parent) or NULL
+    tables: dict[int, DataFrame] = {}
+    listed: list[tuple] = []
+
+    def add(df: DataFrame, group: int, column: str, when: Column, parent: bool = False) -> None:
+        tables[id(df)] = df
+        given.setdefault(id(df), []).append(F.when(when, F.struct(
+            F.lit(group).alias("g"), F.col(column).cast("string").alias("k"),
+            F.lit(int(not parent)).alias("own"), F.lit(int(parent)).alias("parent"))))
+
+    chosen = [t for t in tests if t[0] in models]
+    # relationships first, so that a unique test can use the group that sees its keys as parent
+    for model, test, column, arg in sorted(chosen, key=lambda t: t[1] != "relationships"):
+        df, value = models[model], F.col(column)
+        if test == "relationships":
+            parent, parent_column = models[arg[0]], arg[1]
+            key = (id(df), test, column, id(parent), parent_column)
+            if key not in groups:
+                groups[key] = max(groups.values(), default=-1) + 1
+                add(df, groups[key], column, value.isNotNull())
+                add(parent, groups[key], parent_column, F.col(parent_column).isNotNull(), parent=True)
+                groups.setdefault((id(parent), "unique_parent", parent_column), groups[key])
+        elif test == "unique" and (id(df), "unique_parent", column) in groups:
+            key = (id(df), "unique_parent", column)
+        else:
+            key = (id(df), test, column, tuple(arg) if test == "accepted_values" else None)
+            if key not in groups:
+                groups[key] = max(groups.values(), default=-1) + 1
+                if test == _NN:
+                    add(df, groups[key], column, value.isNull())
+                elif test == "accepted_values":
+                    add(df, groups[key], column, ~value.isin(list(arg)))
+                elif test == "unique":
+                    add(df, groups[key], column, value.isNotNull())
+                else:
+                    raise ValueError(test)
+        listed.append((model, test, column, groups[key], key[1]))
+
+    keys = None
+    for i, rows in given.items():
+        part = tables[i].select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+        keys = part if keys is None else keys.unionByName(part)
+    counted = keys.groupBy("g", "k").agg(F.sum("own").alias("own"), F.sum("parent").alias("parent"))
+    measures = [count(F.col("own"), F.col("parent")).cast("long").alias(name) for name, count in _COUNTS.items()]
+    per_group = counted.groupBy("g").agg(*measures)
+    found = per_group.agg(F.map_from_entries(F.collect_list(F.struct(
+        "g", F.struct(*_COUNTS)))).alias("m"))  # one row per test at most
+    order = {(m, t, c): n for n, (m, t, c, _) in enumerate(chosen)}
+    cells = []
+    for model, test, column, group, measure in sorted(listed, key=lambda x: order[x[:3]]):
+        failures = F.coalesce(F.try_element_at("m", F.lit(group))[measure], F.lit(0).cast("long"))
+        cells.append(F.struct(F.lit(model).alias("model"), F.lit(test).alias("test"),
+                              F.lit(column).alias("column"), (failures == 0).alias("passed"),
+                              failures.alias("failures")))
+    return found.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------------------

@@ -56,6 +56,47 @@ def test_declarative_tests(spark):
     assert quality.test_relationships(df, "k", parent, "k").first().failures == 1  # b; NULL passes
 
 
+def test_all_tests_in_one_grouping_equal_the_single_tests(spark):
+    a = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), (None, "z", 2), ("b", None, None), ("c", "z", 3)],
+                              "k string, v string, n int")
+    b = spark.createDataFrame([("a", 2), ("a", 2), (None, 4), ("d", 4)], "k string, n int")
+    none = a.limit(0)
+    models = {"a": a, "alias": a, "b": b, "none": none}
+    tests = [("a", "unique", "k", None), ("alias", "unique", "k", None), ("a", "not_null", "v", None),
+             ("a", "accepted_values", "v", ("x", "y")), ("a", "accepted_values", "v", ("x",)),
+             ("a", "relationships", "k", ("b", "k")), ("b", "relationships", "n", ("a", "n")), ("a", "relationships", "k", ("a", "k")),
+             ("b", "unique", "k", None), ("b", "unique", "n", None), ("a", "unique", "n", None), ("b", "not_null", "k", None),
+             ("none", "unique", "k", None), ("none", "relationships", "k", ("b", "k")), ("a", "relationships", "k", ("none", "k")),
+             ("none", "not_null", "v", None), ("absent", "not_null", "k", None)]
+    got = [(r["model"], r["test"], r["column"], r["passed"], r["failures"])
+           for r in quality.run_model_tests(models, tests).collect()]
+    want = []
+    for model, test, column, arg in tests[:-1]:
+        df = models[model]
+        one = {"unique": lambda: quality.test_unique(df, column, model),
+               "not_null": lambda: quality.test_not_null(df, column, model),
+               "accepted_values": lambda: quality.test_accepted_values(df, column, arg, model),
+               "relationships": lambda: quality.test_relationships(df, column, models[arg[0]], arg[1], model)}[test]().first()
+        want.append((model, test, column, one["passed"], one["failures"]))
+    assert sorted(got) == sorted(want) and len(got) == 16
+
+
+def test_model_tests_scan_a_table_once_and_move_keys_once(spark):
+    """Plan of the shipped list over one written fact: a scan per table, one exchange of
+    keys, no join and no distinct expansion."""
+    a = spark.range(50).selectExpr("cast(id as string) event_id", "cast(id % 9 as string) session_id", "'click' event_type",
+                                   "'stream' source", "'u' user_id", "current_timestamp() event_timestamp", "current_date() date_day",
+                                   "1 step_number", "1 sessions_reached", "current_date() cohort_week", "1.0 retention_rate")
+    s = a.select("session_id").distinct()
+    models = {t[0]: s if "sessions" in t[0] and "sessionized" not in t[0] else a for t in quality.MODEL_TESTS}
+    out = quality.run_model_tests(models)
+    assert out.count() == 38
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Expand" not in plan
+    assert plan.count("Range (") == 2 and plan.count("filter(array(") == 2
+    assert len([line for line in plan.splitlines() if "Aggregate [g#" in line and "k#" in line]) == 1
+
+
 def test_cart_and_order_checks(spark):
     cart = spark.createDataFrame([("c1", "s1", 2.5, 2), ("c2", "s1", 1.0, 1)],
                                  "event_id string, session_id string, price double, quantity int")
