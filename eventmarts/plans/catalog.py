@@ -29,6 +29,7 @@ from eventmarts.sources.bronze import (
 )
 from eventmarts.sources.raw import read_event_stream
 from eventmarts.streaming import ingest as stream_ingest
+from eventmarts.streaming.sessions import stream_gap_sessions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -718,6 +719,31 @@ def q_stream_dedup(m: Model):
                                       dedup="1 hour", max_files=1))
 
 
+@query("stream_sessions", O.with_model(f"SELECT {SESS_COLS} FROM h_sessions", 30))
+def q_stream_sessions(m: Model):
+    """Sessions closed inside the stream: three deliveries of whole files with a restart between,
+    every tenth record one delivery late, then a heartbeat."""
+    records = materialize(m.historical_bronze(), "historical_bronze")
+    at = F.col("event_timestamp").cast("timestamp")
+    lo, hi = records.agg(F.min(at), F.max(at)).first()
+    third = (hi - lo) / 3
+    due = F.when(at < F.lit(lo + third), 0).when(at < F.lit(lo + 2 * third), 1).otherwise(2)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0
+    lines = records.select(record_json(records).alias("value"), F.least(
+        due + F.when(late, 1).otherwise(0), F.lit(2)).alias("delivery"))
+    beat = m.spark.createDataFrame([((hi + 9 * third).isoformat(),)], "event_timestamp string").select(
+        F.to_json(F.struct("event_timestamp")).alias("value"))
+    landing, out, ckpt = (shared_dir(m.spark, d) for d in ("landing", "stream_sessions", "stream_ckpt"))
+    for part in (*[lines.where(F.col("delivery") == k).select("value") for k in range(3)], beat):
+        part.write.mode("append").text(landing)
+        raw = stream_ingest.parse_records(read_event_stream(m.spark, "text", path=landing))
+        rows = stream_gap_sessions(staging.stage_historical(raw), m.gap,
+                                   watermark=f"{2 * int(third.total_seconds()) + 60} seconds")
+        (rows.writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out).awaitTermination())
+    return m.spark.read.parquet(out).select(*SESS_COLS.split(", "))
+
+
 @query("stream_dedup_bad_lines", """
 SELECT 'no json ' || (event_id % 3) AS value, CAST(count(*) AS BIGINT) AS lines
 FROM events WHERE event_type = 'signup' GROUP BY 1""")
