@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmarts.functions import pct, second_boundaries, week_start, weeks_between
+from eventmarts.functions import pct, second_boundaries, week_start
 from eventmarts.operators.sessions import MASK_BITS, event_masks, session_masks
 from eventmarts.schema import (
     DEFAULT_SESSION_GAP_MINUTES,
@@ -256,30 +256,75 @@ def cohorts(weeks: DataFrame) -> DataFrame:
             .where(F.col("cohort_week").isNotNull()))
 
 
-def cohort_sizes(fact: DataFrame, **cols) -> DataFrame:
+#: A Monday; weeks are counted from here.
+_WEEK_ZERO = "1970-01-05"
+#: Weeks per mask word: the bits of a long without its sign.
+_WEEK_BITS = 63
+
+
+def _user_weeks_set(fact: DataFrame, user_col: str, date_col: str, source_col: str) -> DataFrame:
+    """One row per (source, user): ``weeks``, the numbers of its active weeks, and
+    ``undated``, whether an event has no date.  The set is built map-side and holds a user's
+    weeks, 53 a year at most, however many events the user has."""
+    week = F.expr(f"cast(datediff(_week, date'{_WEEK_ZERO}') div 7 as int)")
+    rows = fact.select(F.col(source_col).alias("source"), F.col(user_col).alias("user_id"),
+                       week_start(date_col).alias("_week"))
+    return rows.groupBy("source", "user_id").agg(
+        F.collect_set(week).alias("weeks"), F.max(F.col("_week").isNull()).alias("undated"))
+
+
+def _week_date(number) -> Column:
+    return F.date_add(F.lit(_WEEK_ZERO).cast("date"), (number * 7).cast("int"))
+
+
+def cohort_sizes(fact: DataFrame, user_col: str = "user_id", date_col: str = "event_date",
+                 source_col: str = "source") -> DataFrame:
     """Distinct users per (source, cohort week).  Users without a dated week
     form the NULL cohort; the NULL user has a cohort but counts for nobody."""
-    per_user = (user_weeks(fact, **cols).groupBy("source", "user_id")
-                .agg(F.min("activity_week").alias("cohort_week")))
-    return per_user.groupBy("source", "cohort_week").agg(F.count("user_id").alias("cohort_size"))
+    per_user = _user_weeks_set(fact, user_col, date_col, source_col)
+    return (per_user.select("source", "user_id", _week_date(F.array_min("weeks")).alias("cohort_week"))
+            .groupBy("source", "cohort_week").agg(F.count("user_id").alias("cohort_size")))
+
+
+def week_masks(fact: DataFrame, user_col: str = "user_id", date_col: str = "event_date",
+               source_col: str = "source") -> DataFrame:
+    """``source, cohort, mask, undated, users``: how many users share an activity pattern.
+
+    ``mask`` is an array of longs: bit ``i`` of word ``k`` says whether the user was active
+    ``63 k + i`` weeks after the cohort week, so its lowest bit is the cohort week itself.
+    User rows are moved once (the grouping by user); patterns are few and are summed
+    map-side."""
+    per_user = _user_weeks_set(fact, user_col, date_col, source_col).where(
+        F.col("user_id").isNotNull() & (F.size("weeks") > 0))
+    since = per_user.select("source", "undated", F.array_min("weeks").alias("cohort"),
+                            F.expr("transform(weeks, w -> w - array_min(weeks))").alias("since"))
+    mask = F.expr(f"""transform(sequence(0, array_max(since) div {_WEEK_BITS}), k -> cast(aggregate(
+        filter(since, x -> x div {_WEEK_BITS} = k), 0L,
+        (word, x) -> word | shiftleft(1L, x % {_WEEK_BITS})) as bigint))""")
+    return (since.select("source", "cohort", mask.alias("mask"), "undated")
+            .groupBy("source", "cohort", "mask", "undated").agg(F.count(F.lit(1)).alias("users")))
 
 
 def retention(fact: DataFrame, user_col: str = "user_id", date_col: str = "event_date",
               source_col: str = "source") -> DataFrame:
     """C11: retained users and rate per (source, cohort week, weeks since cohort).
 
-    Rows are distinct user-weeks, so counting rows counts distinct users.  The
-    cohort size is the week-0 cell (every user is active in their cohort week),
-    spread over its cohort by a window over the small aggregated table instead of
-    a join.  Weeks without a date form a cell of their own (NULL weeks since).
-    Empty cells are absent.
+    From week masks: a cell is the number of users whose mask has its bit.  The cohort size is
+    the week-0 cell (every user is active in their cohort week), spread over its cohort
+    by a window over the small aggregated table instead of a join.  Weeks without a date
+    form a cell of their own (NULL weeks since).  Empty cells are absent.
     """
-    c = cohorts(user_weeks(fact, user_col, date_col, source_col))
-    cells = (c.groupBy("source", "cohort_week",
-                       weeks_between("cohort_week", "activity_week").alias("weeks_since_cohort"))
-             .agg(F.count(F.lit(1)).alias("retained_users")))
-    w = Window.partitionBy("source", "cohort_week")
+    set_bits = F.expr(f"""flatten(transform(mask, (word, k) -> transform(
+        filter(sequence(0, {_WEEK_BITS - 1}), i -> getbit(word, i) = 1),
+        i -> cast(k * {_WEEK_BITS} + i as bigint))))""")
+    nothing = F.array(F.lit(None).cast("long"))
+    weeks = F.when(F.col("undated"), F.concat(set_bits, nothing)).otherwise(set_bits)
+    cells = (week_masks(fact, user_col, date_col, source_col)
+             .select("source", "cohort", "users", F.explode(weeks).alias("weeks_since_cohort"))
+             .groupBy("source", "cohort", "weeks_since_cohort").agg(F.sum("users").alias("retained_users")))
+    w = Window.partitionBy("source", "cohort")
     size = F.max(F.when(F.col("weeks_since_cohort") == 0, F.col("retained_users"))).over(w)
     return (cells.withColumn("cohort_size", size)
-            .select("source", "cohort_week", "weeks_since_cohort", "cohort_size", "retained_users",
+            .select("source", _week_date(F.col("cohort")).alias("cohort_week"), "weeks_since_cohort",
+                    "cohort_size", "retained_users",
                     pct("retained_users", "cohort_size").alias("retention_rate")))

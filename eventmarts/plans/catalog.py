@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmarts.operators import historical, marts, quality, reports, sessions, staging
+from eventmarts.operators import active_bitmaps, historical, marts, quality, reports, sessions, staging
 from eventmarts.plans import oracle as O
 from eventmarts.plans import pipeline
 from eventmarts.plans.build import Model
@@ -250,6 +250,22 @@ def q_active_users_rj(m: Model):
     return marts.active_users(m.fact_rows(), m.dim_date(), method="range_join")
 
 
+@query("active_users_bitmaps", O.active_sql("all"))
+def q_active_users_bitmaps(m: Model):
+    return active_bitmaps.active_users(m.fact_rows(), m.dim_date())
+
+
+@query("active_users_bitmap_store", O.active_sql("all"))
+def q_active_users_bitmap_store(m: Model):
+    """Day bitmaps that grow by flushes, the later of which hold new and late events."""
+    store = active_bitmaps.ActiveUsers(m.spark, shared_dir(m.spark, "active_users"))
+    rows = materialize(m.conformed().select("source", "user_id", "event_date", "event_id"), "conformed")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for k in range(3):
+        store.flush(rows.where(part == k))
+    return store.active_users()
+
+
 FCT_UE = O.FCT_UE
 
 
@@ -402,6 +418,11 @@ def q_active_users_rj_nulls(m: Model):
     return marts.active_users(_gappy(m), method="range_join")
 
 
+@query("active_users_bitmaps_nulls", GAPPY_ACTIVE)
+def q_active_users_bitmaps_nulls(m: Model):
+    return active_bitmaps.active_users(_gappy(m), marts.date_spine(_gappy(m)))
+
+
 GAPPY_UE = "SELECT user_id, source, event_date FROM gappy"
 
 
