@@ -4,7 +4,6 @@ from eventmarts.functions.time import (
     iso_millis,
     minute_boundaries,
     second_boundaries,
-    time_bucket,
     week_start,
     weeks_between,
 )
@@ -12,6 +11,6 @@ from eventmarts.functions.keys import surrogate_key, ts_key_text, uuid5
 from eventmarts.functions.math import pct
 
 __all__ = [
-    "iso_millis", "minute_boundaries", "second_boundaries", "time_bucket",
+    "iso_millis", "minute_boundaries", "second_boundaries", 
     "week_start", "weeks_between", "surrogate_key", "ts_key_text", "uuid5", "pct",
 ]

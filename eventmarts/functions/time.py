@@ -44,8 +44,3 @@ def weeks_between(a, b) -> Column:
 def iso_millis(ts) -> Column:
     """ISO-8601 UTC text with millisecond precision and a 'Z' suffix."""
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-
-
-def time_bucket(ts, seconds: int) -> Column:
-    """Fixed-width time bucket number of a timestamp (used to split hot keys)."""
-    return F.floor(F.unix_micros(_col(ts)) / F.lit(int(seconds) * 1_000_000)).cast("long")

@@ -16,8 +16,8 @@ No event is sorted and nothing is written.
 Event rows need their number in the session and keep the ordered scan.  Attaching the
 inferred session to each event needs no join: the split gap scan already yields each event's
 session start.  The interval join of the original
-(event time between start and end) is kept as :func:`attach_by_interval_join`,
-bucketed so a heavy user is not one nested loop.
+(event time between start and end) is kept as :func:`attach_by_interval_join`, a sweep
+over session starts and events.
 """
 
 from __future__ import annotations
@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmarts.functions import minute_boundaries, surrogate_key, ts_key_text
-from eventmarts.functions.time import time_bucket
-from eventmarts.plans.ordered import split_gap_sessions, split_row_number
+from eventmarts.plans.ordered import split_gap_sessions, split_last, split_row_number
 from eventmarts.schema import (
     CONFORMED_FIELDS,
     DEFAULT_SESSION_GAP_MINUTES,
@@ -40,8 +39,6 @@ from eventmarts.schema import (
 from eventmarts.session import materialize
 
 TS, TIE = "event_timestamp", "event_id"
-# Width of the equi-key of the interval join.
-JOIN_BUCKET_SECONDS = 600
 
 
 def _by_source(events: DataFrame, sources: Sequence[str]) -> DataFrame:
@@ -171,38 +168,35 @@ def sessionize(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES
 
 
 def attach_by_interval_join(events: DataFrame, sess: DataFrame,
-                            inferred: Sequence[str] = (HISTORICAL,),
-                            bucket_seconds: int = JOIN_BUCKET_SECONDS) -> DataFrame:
+                            inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
     """Inferred-source events matched to their session by user, source and
-    ``event_timestamp between session_start_at and session_end_at``.
+    ``event_timestamp between session_start_at and session_end_at``, with their number in it.
 
-    Bucketed range join: each session is listed once per time bucket it
-    touches, so the equi part includes the bucket and one user's events only
-    meet the few sessions that share their bucket.
+    Sessions of a user do not overlap, so the only candidate is the last one that starts at
+    or before the event: one ordered sweep over the union of session starts and events.  A
+    session is one row, however long it lasts.
     """
-    e = _by_source(events, inferred).withColumn("_b", time_bucket(TS, bucket_seconds))
-    s = (sess.where(F.col("source").isin(list(inferred)))
-         .select(F.col("user_id").alias("_s_user"), F.col("source").alias("_s_source"),
-                 F.col("session_id").alias("_s_id"), "session_start_at", "session_end_at")
-         .withColumn("_b", F.explode(F.sequence(time_bucket("session_start_at", bucket_seconds),
-                                                time_bucket("session_end_at", bucket_seconds)))))
-    j = e.join(s, (e["user_id"] == s["_s_user"]) & (e["source"] == s["_s_source"])
-               & (e["_b"] == s["_b"])
-               & e[TS].between(s["session_start_at"], s["session_end_at"]))
-    return j.select(*[c for c in CONFORMED_FIELDS if c != "session_id"],
-                    F.col("_s_id").alias("session_id")).select(*CONFORMED_FIELDS)
+    e = attachable(_by_source(events, inferred), (), inferred)
+    own = F.struct("session_id", "session_end_at")
+    starts = (_by_source(sess, inferred)
+              .where(F.col("user_id").isNotNull() & F.col("session_start_at").isNotNull())
+              .select("source", "user_id", F.col("session_start_at").alias(TS), F.lit(0).alias("_kind"),
+                      own.alias("_own")))
+    rows = starts.unionByName(e.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    swept = split_last(rows, ["source", "user_id"], [TS, "_kind", TIE], "_own", "_at",
+                       F.col("_kind") == 1, "event_sequence_number")
+    found = swept.where((F.col("_kind") == 1) & (F.col(TS) <= F.col("_at.session_end_at")))
+    return found.select(*[F.col("_at.session_id").alias(c) if c == "session_id" else F.col(c) for c in _OUT])
 
 
 def sessionize_interval_join(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
                              native: Sequence[str] = (STREAM,),
-                             inferred: Sequence[str] = (HISTORICAL,),
-                             bucket_seconds: int = JOIN_BUCKET_SECONDS) -> DataFrame:
-    """C6 with the session table first: sessions, then the interval join, then
-    ``row_number`` over the union.  Same result as :func:`sessionize`.
+                             inferred: Sequence[str] = (HISTORICAL,)) -> DataFrame:
+    """C6 with the session table first: sessions, then the interval join.  Same result as
+    :func:`sessionize`.
 
-    The conformed events and the sessions are written once and joined from there."""
+    The conformed events and the sessions are written once and swept from there."""
     events = materialize(events.select(*CONFORMED_FIELDS), "conformed")
     sess = materialize(gap_sessions(events, gap_minutes, inferred), "sessions")
-    hist = attach_by_interval_join(events, sess, inferred, bucket_seconds)
-    combined = _by_source(events, native).unionByName(hist)
-    return split_row_number(combined, ["session_id"], TS, TIE, "event_sequence_number").select(*_OUT)
+    stream = split_row_number(_by_source(events, native), ["session_id"], TS, TIE, "event_sequence_number")
+    return stream.select(*_OUT).unionByName(attach_by_interval_join(events, sess, inferred))

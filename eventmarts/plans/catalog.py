@@ -152,6 +152,12 @@ def q_sessionize_interval(m: Model):
     return marts.event_fact(sessions.sessionize_interval_join(m.conformed(), m.gap))
 
 
+@query("sessionize_interval_join_month", O.with_model("SELECT * FROM fct_events", 43_200))
+def q_sessionize_interval_month(m: Model):
+    """Sessions that last for weeks: the join's work does not grow with their length."""
+    return marts.event_fact(sessions.sessionize_interval_join(m.conformed(), 43_200))
+
+
 def _flushed(m: Model) -> SessionStore:
     """The session store after three flushes: days up to the middle one, later days, and
     events of all days that were held back (every tenth), some between two sessions."""

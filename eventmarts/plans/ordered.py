@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmarts.session import materialize
@@ -172,3 +172,36 @@ def split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
             .select(PK, F.lag("_last").over(_per_key(keys)).alias("_before")))
     return _with_carry(e, last).select(
         *cols, F.when(F.col("_lrank") == 1, F.col("_before")).otherwise(F.col("_lag")).alias(name))
+
+
+def split_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
+               counted: Column | None = None, since: str = "since", ranges: int | None = None) -> DataFrame:
+    """The last non-NULL ``value`` at or before each row of its key's order, without
+    sending a whole key to one task: an as-of join, if ``df`` is the union of both sides.
+    ``since`` is the number of ``counted`` rows after the one that gave the value, up to the row
+    itself.  The carry table holds each range's last value and its count of rows.
+    """
+    cols = [F.col(c) for c in df.columns]
+    one = F.lit(0) if counted is None else F.when(counted, 1).otherwise(0)
+    w = Window.partitionBy(PK).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    e = ranged(df, keys, order, ranges).withColumn("_one", one).select(
+        "*", F.row_number().over(w).alias("_lrank"), F.sum("_one").over(run).alias("_run"))
+    given = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_run").alias("at")))
+    e = materialize(e.withColumn("_given", given)
+                    .withColumn("_seen", F.last("_given", ignorenulls=True).over(run)), "last-values")
+    wk = _per_key(keys)
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    ks = [*[f"_k{i}" for i in range(len(keys))], "_r"]
+    b = _carry(e, keys, F.sum("_one").alias("_cnt"),
+               F.max_by("_given", F.when(F.col("_given").isNotNull(), F.col("_lrank"))).alias("_last"))
+    b = b.select(PK, *ks, "_last", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
+    b = b.withColumn("_last", F.when(F.col("_last").isNotNull(), F.struct(
+        F.col("_last.v").alias("v"), (F.col("_offset") + F.col("_last.at")).alias("at"))))
+    b = b.select(PK, "_offset", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    out = _with_carry(e, b)
+    here = F.col("_seen").isNotNull()
+    number = F.when(here, F.col("_run") - F.col("_seen.at")).otherwise(
+        F.coalesce("_offset", F.lit(0)) + F.col("_run") - F.col("_before.at"))
+    return out.select(*cols, F.when(here, F.col("_seen.v")).otherwise(F.col("_before.v")).alias(name),
+                      number.cast("long").alias(since))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from eventmarts.functions import minute_boundaries
 from eventmarts.operators import sessions
-from eventmarts.plans.ordered import _carry, numbered, ranged, split_gap_sessions, split_lag, split_row_number
+from eventmarts.plans.ordered import _carry, numbered, ranged, split_gap_sessions, split_lag, split_last, split_row_number
 from tests.conftest import rows
 
 SCHEMA = "event_id string, user_id string, event_timestamp timestamp, source string"
@@ -215,3 +215,38 @@ def test_null_timestamps_each_start_a_session_like_sql(spark):
         FROM n GROUP BY user_id, s""").fetchall()
     assert got == sorted(exp)
     assert len(got) == 4
+
+
+@pytest.mark.parametrize("ranges", [1, 5, 40])
+def test_split_last_is_an_as_of_join(spark, ranges):
+    rng = random.Random(8)
+    rows = [("hot" if rng.random() < 0.7 else rng.choice("ab"), rng.randrange(300), i,
+             rng.choice([None, None, None, f"v{i}"])) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, t int, i int, v string")
+    last, want = {}, {}
+    for k, _, i, v in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        seen, n = last.get(k, (None, None))
+        n = None if n is None else n + (i % 2)
+        last[k] = (v, 0) if v is not None else (seen, n)
+        want[i] = last[k]
+    got = split_last(df, ["k"], ["t", "i"], "v", "at", F.col("i") % 2 == 1, "n", ranges=ranges).collect()
+    assert {r["i"]: (r["at"], r["n"]) for r in got} == want
+
+
+def test_the_interval_join_lists_a_session_once(spark):
+    """A session of 30 days is one row of the sweep: as many rows as sessions and events."""
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(f"e{k:03d}", "u", str(t0 + dt.timedelta(hours=7 * k))) for k in range(100)] + [("x", "v", str(t0))]
+    blank = [F.lit(None).cast("string").alias(c) for c in
+             ("session_id", "event_type", "element_id", "url", "referrer", "item_id", "transaction_id")]
+    events = _events(spark, data).select("*", F.to_date("event_timestamp").alias("event_date"), *blank)
+    sess = sessions.gap_sessions(events, 43_200)
+    assert sess.count() == 2
+    seen = []
+    keep = sessions.split_last
+    try:
+        sessions.split_last = lambda df, *a: (seen.append(df.count()), keep(df, *a))[1]
+        out = sessions.attach_by_interval_join(events, sess)
+    finally:
+        sessions.split_last = keep
+    assert seen == [103] and out.count() == 101 and out.select("session_id").distinct().count() == 2
