@@ -27,8 +27,9 @@ import re
 from collections import deque
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -53,6 +54,7 @@ IMPLIED = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"}),
 }
+_NOT_P = tuple(sorted(BLOCK - {"p"}))
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog search".split())
 CONTENT_TAGS = frozenset({"article", "main"})
 _BAD_NAME = re.compile(
@@ -73,12 +75,20 @@ STRONG, OUTER = 60, 15
 
 
 class Element:
-    __slots__ = ("tag", "parent", "hint", "depth", "silent", "number")
+    """An open element, with what the elements around it say, so that no one climbs."""
+
+    __slots__ = ("tag", "parent", "hint", "silent", "number", "in_content", "holder", "meaning",
+                 "nearest", "hints")
 
     def __init__(self, tag: str, parent: Element | None, hint: int, silent: bool, number: int):
-        self.tag, self.parent, self.hint, self.silent = tag, parent, hint, silent
-        self.depth = parent.depth + 1 if parent else 0
-        self.number = number
+        self.tag, self.parent, self.hint, self.silent, self.number = tag, parent, hint, silent, number
+        around = parent or self
+        self.in_content = tag in CONTENT_TAGS or (parent is not None and parent.in_content)
+        # the nearest block or hinted element, the nearest hinted one, its hint, the sum of hints
+        self.holder = self if parent is None or tag in BLOCK or hint else around.holder
+        self.meaning = number if parent is None or hint else around.meaning
+        self.nearest = hint if parent is None or hint else around.nearest
+        self.hints = hint + (parent.hints if parent else 0)
 
 
 class Block:
@@ -120,6 +130,8 @@ def parse(page: str) -> list[Block]:
     root = Element("", None, 0, False, 0)
     stack, blocks, text, link_chars, count = [root], [], [], 0, 1
     links = 0  # open links
+    open_at: dict[str, list[int]] = {}  # places on the stack by tag
+    block_at = [0]  # places of block elements
     at, n = 0, len(page)
 
     def flush() -> None:
@@ -127,26 +139,28 @@ def parse(page: str) -> list[Block]:
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                holder = stack[-1]
-                while holder.parent and holder.tag not in BLOCK and not holder.hint:
-                    holder = holder.parent
-                blocks.append(Block(joined, holder, min(link_chars, len(joined))))
+                blocks.append(Block(joined, stack[-1].holder, min(link_chars, len(joined))))
             text.clear()
         link_chars = 0
 
+    def top(tags) -> int:
+        """Place of the innermost open element of some tags (0: none)."""
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
+
     def pop_to(k: int) -> None:
         nonlocal links
         while len(stack) > k:
-            if stack.pop().tag == "a":
+            tag = stack.pop().tag
+            open_at[tag].pop()
+            if tag in BLOCK:
+                block_at.pop()
+            if tag == "a":
                 links -= 1
 
     def close(tags, until) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in until:
-                return
-            if stack[k].tag in tags:
-                pop_to(k)
-                return
+        k = top(tags)
+        if k > top(until):
+            pop_to(k)
 
     while at < n:
         m = _TOKEN.search(page, at)
@@ -164,15 +178,12 @@ def parse(page: str) -> list[Block]:
         closing = m.group(1) or m.group(4)
         attributes = m.group(3) or m.group(6) or ""
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    if tag in BLOCK or stack[k].hint:
-                        flush()
-                    pop_to(k)
-                    break
-                # an inline end tag does not close the block around it
-                if tag not in BLOCK and tag not in SILENT and stack[k].tag in BLOCK:
-                    break
+            k = top((tag,))
+            # an inline end tag does not close the block around it
+            if k and (tag in BLOCK or tag in SILENT or k > block_at[-1]):
+                if tag in BLOCK or stack[k].hint:
+                    flush()
+                pop_to(k)
             continue
         if tag == "br":
             text.append(" ")
@@ -184,13 +195,13 @@ def parse(page: str) -> list[Block]:
         if tag not in IN_HEAD and any(e.tag == "head" for e in stack[1:3]):
             pop_to(next(k for k, e in enumerate(stack) if e.tag == "head"))
         inside = stack[-1]
-        hint = _hint(tag, attributes, _in_content(inside)) if not inside.silent else 0
+        hint = _hint(tag, attributes, inside.in_content) if not inside.silent else 0
         if tag in BLOCK or hint:
             flush()
             if tag in IMPLIED:
                 close(*IMPLIED[tag])
             if tag in BLOCK:  # a paragraph ends where the next block begins
-                close({"p"}, BLOCK - {"p"})
+                close(("p",), _NOT_P)
         if tag in SILENT and tag not in RAW and tag not in ("head", "button", "select"):
             flush()
         element = Element(tag, stack[-1], hint, inside.silent or tag in SILENT, count)
@@ -202,28 +213,19 @@ def parse(page: str) -> list[Block]:
             continue
         if attributes.endswith("/") and tag in ("svg", "path", "use"):
             continue
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            block_at.append(len(stack))
         stack.append(element)
         links += tag == "a"
     flush()
     return blocks
 
 
-def _in_content(element: Element | None) -> bool:
-    while element:
-        if element.tag in CONTENT_TAGS:
-            return True
-        element = element.parent
-    return False
-
-
 def cost(block: Block) -> int:
     """Above 0: cheaper as boilerplate by so much; below 0: as content."""
-    score, first, element = 0, True, block.element
-    while element.parent:
-        if element.hint:
-            score += element.hint * (STRONG if first else OUTER)
-            first = False
-        element = element.parent
+    around = block.element
+    score = STRONG * around.nearest + OUTER * (around.hints - around.nearest)
     n_words = block.text.count(" ") + 1
     score += round(30 * block.link_chars / len(block.text))
     score -= min(20, n_words // 2)
@@ -240,13 +242,6 @@ def cost(block: Block) -> int:
     return score
 
 
-def _hinted(element: Element) -> int:
-    """The nearest element with a meaning of its own."""
-    while element.parent and not element.hint:
-        element = element.parent
-    return element.number
-
-
 class FlowGraph:
     """Maximum flow by shortest augmenting levels (Dinic), without recursion."""
 
@@ -353,7 +348,7 @@ def label(blocks: list[Block]) -> list[bool]:
         if i:
             before = blocks[i - 1].element
             same = before is b.element or before.parent is b.element.parent
-            weight = 1 if _hinted(before) != _hinted(b.element) else 6 if same else 3
+            weight = 1 if before.meaning != b.element.meaning else 6 if same else 3
             graph.edge(i - 1, i, weight, weight)
     graph.run(source, sink)
     lost = graph.reaches(sink)
@@ -369,12 +364,12 @@ def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """``id_col, url, text, n_chars`` for every row."""
     id_type = pages.schema[id_col].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            texts = [main_text(h) for h in pdf["html"]]
-            yield pd.DataFrame({id_col: pdf[id_col].array, "url": pdf["url"].array,
-                                "text": pd.array(texts, dtype=object),
-                                "n_chars": [len(t) for t in texts]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(h) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
+                 pa.array([len(t) for t in texts], pa.int64())], names=[id_col, "url", "text", "n_chars"])
 
-    return pages.select(id_col, "url", "html").mapInPandas(
+    return pages.select(id_col, F.col("url").cast("string").alias("url"), "html").mapInArrow(
         run, f"`{id_col}` {id_type}, url string, text string, n_chars long")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
+import pytest
 from eventmarts.llm import html_extract as H
 
 PAGE = """<!DOCTYPE html><html lang="en"><head><title>T &amp; t</title><style>p{margin:0}</style>
@@ -75,3 +77,10 @@ def test_rows(spark):
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in out) == [
         (0, 0), (1, len(H.main_text(PAGE))), (1, len(H.main_text(PAGE))), (2, 0)]
     assert H.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<div>x", "<span>x", "<p><i>x", "<ul><li>x", "<a><div>x", "<b><div>y</b>", "<div><b>x</section>"])
+def test_deep_pages_stay_linear(page):
+    t = time.perf_counter()
+    H.main_text(page * 100_000)
+    assert time.perf_counter() - t < 15  # about 3 s; quadratic work took minutes
