@@ -28,6 +28,7 @@ are packed each; an empty table gives an empty table.  Only ``doc_id`` and
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -47,7 +48,13 @@ WIDTH = 1024
 SEPARATOR = 2
 FAN_IN = 8
 ITEMS_PER_TASK = 200_000
-CACHED_WORDS = 800_000
+#: Words that a worker remembers in two generations, and the longest of them: a word and
+#: its ids take 250 bytes at most, so 200 MB (a line of a script without blanks is one
+#: word; it is encoded each time).
+CACHED_WORDS, CACHED_LENGTH = 800_000, 32
+
+#: Texts whose words are looked up together.
+ENCODED_TEXTS = 256
 
 # blanks and line ends with the run after them; letters before plain punctuation or the
 # end of a run stand alone, as the tokenizer always cuts there
@@ -67,6 +74,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 _LETTERS = _byte_letters()
+_BLANK = chr(_LETTERS[32])
 
 
 class Encoder:
@@ -80,6 +88,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
+        gc.set_threshold(100_000, 50, 50)  # many small objects, no cycles among them
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -94,30 +103,38 @@ class Encoder:
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in (
             e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
 
-    def _learn(self, words: set[str]) -> None:
-        """Make ``known`` hold all of ``words``."""
+    def _learn(self, words: set[str]) -> list[str]:
+        """Make ``known`` hold all of ``words``; returns the long ones among them, to forget."""
         if len(self.known) > CACHED_WORDS // 2:  # two generations: words in use are kept
             self.known, self.older = {}, self.known
         new = words.difference(self.known)
         kept = [w for w in new if w in self.older]
         self.known.update((w, self.older[w]) for w in kept)
         new.difference_update(kept)
-        other = []
+        merge, known, other = self.merge, self.known, []
         for w in new:
-            if _PLAIN.fullmatch(w):
-                ids = [t.id for t in self.merge(w.encode().decode("latin-1").translate(_LETTERS))]
-                self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
+            if not _PLAIN.fullmatch(w):
                 other.append(w)
+                continue
+            if w.isascii():  # such letters stand for themselves
+                shown = _BLANK + w[1:] if w[0] == " " else w
+            else:
+                shown = w.encode().decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in merge(shown)]
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
         if other:
-            self.known.update(zip(other, self._encode(other)))
+            known.update(zip(other, self._encode(other)))
+        return [w for w in new if len(w) > CACHED_LENGTH]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _ODD.search(t) else _WORD.findall(t) for t in texts]
-        self._learn(set().union(*(words for words in split if words)))
+        long = self._learn(set().union(*(words for words in split if words)))
         known = self.known.__getitem__
-        return [self._encode([t])[0] if words is None else b"".join(map(known, words))
-                for t, words in zip(texts, split)]
+        out = [self._encode([t])[0] if words is None else b"".join(map(known, words))
+               for t, words in zip(texts, split)]
+        for w in long:
+            del self.known[w]
+        return out
 
 
 def cut(ids: bytes, width: int = WIDTH) -> list[tuple[int, bytes]]:
@@ -138,9 +155,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, separator:
         encoder = Encoder.load(tokenizer_path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 64):
+            for at in range(0, len(texts), ENCODED_TEXTS):
                 owner, piece, start, length, crc, kept = [], [], [], [], [], []
-                for row, ids in enumerate(encoder.encode(texts[at:at + 64]), at):
+                for row, ids in enumerate(encoder.encode(texts[at:at + ENCODED_TEXTS]), at):
                     for k, (s, part) in enumerate(cut(ids + end, width)):
                         owner.append(row)
                         piece.append(k)
