@@ -17,8 +17,9 @@
 
 Nothing is joined to place a document: its interval on the axis and the plan of its
 source (broadcast; one row per source and shard) give its segments.  The plan is made
-on the driver from one row per source.  ``max_plan`` bounds sources x shards; more
-words make larger shards, more sources than that raise an error.
+on the driver from one row per source, in numpy arrays.  ``max_plan`` bounds sources x
+shards; more words make larger shards, more sources than that raise an error before any of
+them comes to the driver.
 
 Defined results: a null text has size 0 and nothing is taken of it; a null source is
 a source, last in order; repeated rows are documents each; an empty table gives an
@@ -29,12 +30,12 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,8 +46,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)  # 150 %
 MAX_EPOCHS = 2
 BLOCK_WORDS = 1024
-SHARD_WORDS = 1 << 22
-MAX_PLAN = 4_000_000
+SHARD_WORDS = 1 << 16
+MAX_PLAN = 1 << 18
 SEED = 17
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,8 +63,8 @@ class SourcePlan:
     size: int
     target: float
     quota: int  # words to take
-    ends: list[int] = field(default_factory=list)  # end of each shard's part, in words
-    shards: list[int] = field(default_factory=list)
+    ends: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of each shard's part, in words
+    shards: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
 
     def segments(self, at: int, size: int) -> list[tuple[int, int, int, int]]:
         """(shard, epoch, first word, words) of a document at [at, at + size) of the axis."""
@@ -71,11 +72,11 @@ class SourcePlan:
         for epoch in range(MAX_EPOCHS):
             begin = epoch * self.size + at
             end = min(begin + size, self.quota)
-            k = bisect_right(self.ends, begin)
+            k = int(np.searchsorted(self.ends, begin, side="right"))
             x = begin
             while x < end:
-                stop = min(end, self.ends[k])
-                out.append((self.shards[k], epoch, x - begin, stop - x))
+                stop = min(end, int(self.ends[k]))
+                out.append((int(self.shards[k]), epoch, x - begin, stop - x))
                 x, k = stop, k + 1
         return out
 
@@ -98,13 +99,82 @@ def targets(sizes: list[int], weights: list[int], share: tuple[int, int] = SHARE
     return out
 
 
+def _stirling_rest(n: float) -> float:
+    """``log n!`` less Stirling's formula, to double precision."""
+    if n < 16:
+        return math.lgamma(n + 1) - ((n + 0.5) * math.log(n) - n + 0.5 * math.log(2 * math.pi)) if n else 0.0
+    q = 1 / (n * n)
+    return (1 / 12 - (1 / 360 - (1 / 1260 - q / 1680) * q) * q) / n
+
+
+def _deviance(x: float, mean: float) -> float:
+    """``x log(x / mean) + mean - x`` without cancellation."""
+    if abs(x - mean) < 0.1 * (x + mean):
+        v = (x - mean) / (x + mean)
+        total, term, k = (x - mean) * v, 2 * x * v, 1
+        while True:
+            term *= v * v
+            k += 2
+            more = total + term / k
+            if more == total:
+                return total
+            total = more
+    return x * math.log(x / mean) + mean - x
+
+
+def _log_binomial(x: int, n: int, p: float, q: float) -> float:
+    """Log probability of ``x`` of ``n`` (C. Loader, 2000): exact to rounding at any size."""
+    if x == 0 or x == n:
+        return -_deviance(n, n * (q if x == 0 else p)) - n * (p if x == 0 else q) if n else 0.0
+    return (_stirling_rest(n) - _stirling_rest(x) - _stirling_rest(n - x) - _deviance(x, n * p)
+            - _deviance(n - x, n * q) + 0.5 * math.log(n / (2 * math.pi * x * (n - x))))
+
+
+def log_hypergeometric(x: int, good: int, bad: int, draws: int) -> float:
+    """Log probability of ``x`` good ones among ``draws`` without replacement, as a ratio of
+    three binomial terms, none of which loses digits where the counts are large."""
+    if not max(0, draws - bad) <= x <= min(good, draws):
+        return -math.inf
+    total = good + bad
+    p, q = draws / total, (total - draws) / total
+    return (_log_binomial(x, good, p, q) + _log_binomial(draws - x, bad, p, q)
+            - _log_binomial(draws, total, p, q))
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """An exact draw for urns of any size, by the ratio of uniforms (E. Stadlober, 1989)."""
+    total = good + bad
+    if not 0 < draws < total or not good or not bad:
+        return good if draws == total else draws if not bad else 0
+    few, n = min(good, bad), min(draws, total - draws)  # by symmetry
+    mean = n * (few / total)
+    spread = math.sqrt(mean * ((total - few) / total) * ((total - n) / max(total - 1, 1)) + 0.5)
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    peak = (n + 1) * (few + 1) // (total + 2)
+    top = log_hypergeometric(peak, few, total - few, n)
+    while True:
+        u, v = rng.random(2)
+        if not u:
+            continue
+        x = math.floor(mean + 0.5 + width * (v - 0.5) / u)
+        if 0 <= x <= min(few, n) and 2 * math.log(u) <= log_hypergeometric(x, few, total - few, n) - top:
+            break
+    if few != good:  # x counts the bad ones
+        x = n - x
+    return x if n == draws else good - x
+
+
 def split_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
     """(shards, sources) blocks: row sums as equal as possible, column sums ``quotas``."""
     if shards == 1:
         return quotas[None, :]
     left = shards // 2
-    take = int(quotas.sum()) * left // shards
-    half = rng.multivariate_hypergeometric(quotas, take, method="marginals")
+    rest, take = int(quotas.sum()), int(quotas.sum()) * left // shards
+    half = np.zeros_like(quotas)
+    for i, quota in enumerate(quotas.tolist()):  # multivariate: source by source
+        rest -= quota
+        half[i] = hypergeometric(rng, quota, rest, take)
+        take -= int(half[i])
     return np.vstack([split_tree(half, left, rng), split_tree(quotas - half, shards - left, rng)])
 
 
@@ -124,8 +194,8 @@ def make_plan(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WE
         parts = split_tree(blocks, shards, np.random.default_rng(seed))
         for p, counts in zip(plan.values(), parts.T):
             some = np.flatnonzero(counts)
-            p.shards = some.tolist()
-            p.ends = (np.cumsum(counts[some]) * block).tolist()
+            p.shards = some.astype(np.int32)
+            p.ends = np.cumsum(counts[some]) * block
     return plan
 
 
@@ -141,8 +211,10 @@ def lay_out(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), seed: int =
                   .cast("binary"))
     narrow = stored(docs.select(*id_cols, "source", word_count(F.col("text")).alias("size"),
                                 order.alias("_order")), "mix-sizes")
-    sizes = [(r["source"], r["n"]) for r in
-             narrow.groupBy("source").agg(F.sum("size").alias("n")).collect()]  # a row per source
+    per_source = stored(narrow.groupBy("source").agg(F.sum("size").alias("n")), "mix-sources")
+    if (n := per_source.count()) > MAX_PLAN:
+        raise ValueError(f"{n} sources; the plan holds at most {MAX_PLAN} parts")
+    sizes = [(r["source"], r["n"]) for r in per_source.collect()]  # a row per source
     if digits is None:
         digits = math.ceil(math.log(max(narrow.count(), 1), 16) / 2)
     run = F.substring("_order", 1, digits) if digits else F.lit("")
@@ -170,18 +242,24 @@ def mix(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), weights: tuple[
     plan = docs.sparkSession.sparkContext.broadcast(
         make_plan(sizes, weights, block, shard_words, seed=seed))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema if f.name != "start"]
-
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            own = [plan.value[None if pd.isna(s) else s] for s in pdf["source"]]
-            yield pdf.drop(columns="start").assign(
-                source_size=[p.size for p in own], target=[p.target for p in own],
-                segments=pd.Series([
-                    [dict(zip(("shard", "epoch", "first_word", "n_words"), s))
-                     for s in p.segments(int(a), int(n))]
-                    for p, a, n in zip(own, pdf["start"], pdf["size"])], index=pdf.index, dtype=object))
-
-    return placed.mapInPandas(
+    names = [f.name for f in placed.schema]
+    at = {c: names.index(c) for c in ("source", "size", "start")}
+    part = pa.list_(pa.struct([("shard", pa.int32()), ("epoch", pa.int32()), ("first_word", pa.int64()),
+                               ("n_words", pa.int64())]))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [plan.value[s] for s in batch.column(at["source"]).to_pylist()]
+            segments = [[dict(zip(("shard", "epoch", "first_word", "n_words"), s)) for s in p.segments(a, n)]
+                        for p, a, n in zip(own, batch.column(at["start"]).to_pylist(),
+                                           batch.column(at["size"]).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i, c in enumerate(names) if c != "start"],
+                 pa.array([p.size for p in own], pa.int64()), pa.array([p.target for p in own], pa.float64()),
+                 pa.array(segments, part)],
+                names=[*[c for c in names if c != "start"], "source_size", "target", "segments"])
+
+    return placed.mapInArrow(
         place, ", ".join([*kept, "source_size long", "target double", f"segments {SEGMENTS}"]))
 
 
@@ -203,29 +281,37 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: i
     their length.
     """
     columns = docs.columns
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    taken = (mix(rows, ("__row", "doc_id"), weights, seed=seed)
-             .select("__row", F.col("size").alias("__size"), F.explode("segments").alias("s"))
-             .select("__row", "__size", F.col("s.shard").alias("__shard"),
-                     F.col("s.first_word").alias("__first"), F.col("s.n_words").alias("__words"),
+    # the caller's columns travel in one struct, so no name of theirs meets one of ours
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"),
+                              F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")), "mix-rows")
+    sized = rows.select("row", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"),
+                        F.col("doc.source").alias("source"))
+    taken = (mix(sized, ("row", "doc_id"), weights, seed=seed)
+             .select("row", "size", F.explode("segments").alias("s"))
+             .select("row", "size", F.col("s.shard").alias("shard"), F.col("s.first_word").alias("first"),
+                     F.col("s.n_words").alias("words"),
                      # within a shard, a seeded hash is the local shuffle
-                     F.xxhash64(F.lit(seed), "__row", "s.epoch", "s.first_word").alias("__place")))
-    mixed = rows.join(taken, "__row")
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            part = (pdf["__words"] < pdf["__size"]).to_numpy()
-            if part.any():
-                texts = pdf["text"].to_numpy(dtype=object, copy=True)
-                for i in np.flatnonzero(part):
-                    texts[i] = cut_words(texts[i], int(pdf["__first"].iat[i]),
-                                         int(pdf["__words"].iat[i]))
-                pdf["text"] = texts
-                if "n_chars" in columns:
-                    sizes = pdf["n_chars"].astype("Int64")
-                    sizes[part] = [len(t) for t in texts[part]]
-                    pdf["n_chars"] = sizes
-            yield pdf[columns]
-
-    return (mixed.repartition("__shard").sortWithinPartitions("__shard", "__place")
-            .mapInPandas(cut, docs.schema))
+                     F.xxhash64(F.lit(seed), "row", "s.epoch", "s.first_word").alias("place")))
+    fields = {c: i for i, c in enumerate(columns)}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, size, first, words = (batch.column(i) for i in range(4))
+            arrays = doc.flatten()
+            part = pc.less(words, size)
+            if part.true_count:
+                texts = arrays[fields["text"]].to_pylist()
+                begin, n = first.to_pylist(), words.to_pylist()
+                lengths: list[int | None] = [None] * len(texts)
+                for i in np.flatnonzero(part.to_numpy(zero_copy_only=False)).tolist():
+                    texts[i] = cut_words(texts[i], begin[i], n[i])
+                    lengths[i] = len(texts[i])
+                arrays[fields["text"]] = pa.array(texts, arrays[fields["text"]].type)
+                if "n_chars" in fields:
+                    old = arrays[fields["n_chars"]]
+                    arrays[fields["n_chars"]] = pc.if_else(part, pa.array(lengths, pa.int64()).cast(old.type), old)
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    mixed = (rows.join(taken, "row").repartition("shard").sortWithinPartitions("shard", "place")
+             .select("doc", "size", "first", "words"))
+    return mixed.mapInArrow(cut, docs.schema)

@@ -98,3 +98,34 @@ def test_empty_tables_and_textless_sources(documents):
     assert M.mix(documents([])).count() == 0 and M.mixed_documents(documents([])).count() == 0
     out = M.mix(documents([(1, None, "a"), (2, " ", "a"), (2, "x y", None)])).collect()
     assert sorted((r["size"], r["target"], M.math.floor(r["target"])) for r in out) == [(0, 0, 0), (0, 0, 0), (2, 3, 3)]
+
+
+def test_hypergeometric_draws_are_exact():
+    """Log probabilities sum to one; draws follow them; urns far beyond 10**9 work."""
+    rng = np.random.default_rng(3)
+    for good, bad, n in [(5, 7, 4), (100, 3, 50), (20, 30, 45), (1, 9, 3), (40, 40, 40), (3, 3, 6), (0, 4, 2), (4, 0, 2), (4, 4, 0)]:
+        p = np.exp([M.log_hypergeometric(x, good, bad, n) for x in range(n + 1)])
+        assert abs(p.sum() - 1) < 1e-9
+        draws = np.bincount([M.hypergeometric(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1)
+        some = p * 20_000 > 5
+        assert ((draws[some] - 20_000 * p[some]) ** 2 / (20_000 * p[some])).sum() < some.sum() + 5 * some.sum() ** 0.5 + 10
+        assert draws[p < 1e-12].sum() == 0
+    good, bad, n = 6 * 10 ** 12, 14 * 10 ** 12, 10 ** 13
+    x = np.array([M.hypergeometric(rng, good, bad, n) for _ in range(4000)], float)
+    sd = (n * 0.3 * 0.7 * 0.5) ** 0.5
+    assert abs(x.mean() - 3e12) < 5 * sd / 4000 ** 0.5 and abs(x.std() / sd - 1) < 0.06
+
+
+def test_plan_of_a_hundred_terabytes(monkeypatch):
+    sizes = [("a", 10 ** 13), ("b", 6 * 10 ** 12), (None, 4 * 10 ** 12), ("c", 1)]
+    plan = M.make_plan(sizes, max_plan=1 << 12)
+    shards = 1 << 10
+    total = np.zeros(shards, np.int64)
+    for s, n in sizes:
+        p = plan[s]
+        parts = np.diff(np.concatenate([[0], p.ends]))
+        assert len(np.unique(p.shards)) == len(p.shards)  # disjoint, each shard once
+        assert 0 <= p.ends[-1] - p.quota < M.BLOCK_WORDS  # exact block quotas
+        total[p.shards] += parts // M.BLOCK_WORDS
+    assert total.max() - total.min() <= 1  # shards are of one size
+    assert sum(p.quota for p in plan.values()) == pytest.approx(3 * 10 ** 13, rel=1e-9)
