@@ -338,16 +338,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
     Of several rows with that id and the same words, one stays.  Rows without an id stay.
     """
-    columns = docs.columns
+    # the caller's columns travel in one struct, so no name of theirs meets one of ours
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("doc"), F.col(id_col).alias("id"))
     keep = (jaccard_join(docs, id_col).where(F.col(id_col) == F.col("class_id"))
-            .groupBy(id_col).agg(F.count(F.lit(1)).alias("__rows")))
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col)
+            .groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("rows")))
+    named = rows.where(F.col("id").isNotNull()).join(keep, "id")
     # repeated rows: the join has brought equal ids together already
-    alike = F.regexp_replace(F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")),
+    alike = F.regexp_replace(F.trim(F.translate(F.coalesce("doc.text", F.lit("")), "\t\n\x0b\x0c\r", "     ")),
                              " +", " ")
-    again = Window.partitionBy(id_col, "__words").orderBy(F.xxhash64(*columns))
-    single = named.where(F.col("__rows") == 1)
-    repeated = (named.where(F.col("__rows") > 1).withColumn("__words", F.md5(alike.cast("binary")))
-                .withColumn("__k", F.row_number().over(again)).where(F.col("__k") == 1))
-    return (single.select(*columns).unionByName(repeated.select(*columns))
-            .unionByName(docs.where(F.col(id_col).isNull())))
+    again = Window.partitionBy("id", "words").orderBy(F.xxhash64("doc"))
+    single = named.where(F.col("rows") == 1)
+    repeated = (named.where(F.col("rows") > 1).withColumn("words", F.md5(alike.cast("binary")))
+                .withColumn("k", F.row_number().over(again)).where(F.col("k") == 1))
+    return (single.select("doc").unionByName(repeated.select("doc"))
+            .unionByName(rows.where(F.col("id").isNull()).select("doc")).select("doc.*"))

@@ -31,7 +31,8 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 STRONG = ("assign", "access", "hex")
@@ -148,21 +149,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``id_col, n_assign, n_access, n_hex, n_weak, base_sha256, spans`` per row."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for text in pdf["text"]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: list[list[int]] = [[] for _ in range(len(STRONG) + 1)]
+            digests, spelled = [], []
+            for text in batch.column(1).to_pylist():
                 spans = find_spans(text)
                 base = [s for s in spans if s[1] < len(STRONG)]
-                n = [sum(k == i for _, k, _ in base) for i in range(len(STRONG))]
-                rows.append((*n, len(spans) - len(base),
-                             hashlib.sha256(spell(base).encode()).hexdigest(), spell(spans)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "n_weak",
-                                              "base_sha256", "spans"])
-            out.insert(0, id_col, pdf[id_col].array)
-            yield out
-
-    return docs.select(id_col, "text").mapInPandas(
+                for i in range(len(STRONG)):
+                    counts[i].append(sum(k == i for _, k, _ in base))
+                counts[-1].append(len(spans) - len(base))
+                digests.append(hashlib.sha256(spell(base).encode()).hexdigest())
+                spelled.append(spell(spans))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(c, pa.int64()) for c in counts],
+                 pa.array(digests, pa.string()), pa.array(spelled, pa.string())],
+                names=[id_col, "n_assign", "n_access", "n_hex", "n_weak", "base_sha256", "spans"])
+
+    return docs.select(id_col, "text").mapInArrow(
         judge, f"`{id_col}` {id_type}, n_assign long, n_access long, n_hex long, n_weak long, "
                "base_sha256 string, spans string")
 
@@ -175,17 +179,21 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     columns = docs.columns
     sized = length_col if length_col in columns else None
 
-    def clean(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            texts, sizes = [], []
-            for i, text in enumerate(pdf[text_col]):
-                spans = find_spans(text)
-                texts.append(mask(text, spans) if spans else text)
-                if sized:
-                    sizes.append(len(texts[-1]) if spans else pdf[sized].iat[i])
-            pdf = pdf.assign(**{text_col: pd.Series(texts, dtype=object, index=pdf.index)})
-            if sized:
-                pdf[sized] = pd.array(pd.Series(sizes, dtype=object), dtype="Int64")
-            yield pdf[columns]
-
-    return docs.mapInPandas(clean, docs.schema)
+    text_at, size_at = columns.index(text_col), columns.index(sized) if sized else None
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_at).to_pylist()
+            found = [find_spans(t) for t in texts]
+            changed = pa.array([bool(spans) for spans in found], pa.bool_())
+            if changed.true_count:
+                texts = [mask(t, spans) if spans else t for t, spans in zip(texts, found)]
+                arrays = list(batch.columns)
+                arrays[text_at] = pa.array(texts, batch.schema.field(text_at).type)
+                if sized:  # lengths of changed texts only; nothing passes through floats
+                    new = pa.array([len(t) if spans else None for t, spans in zip(texts, found)], pa.int64())
+                    arrays[size_at] = pc.if_else(changed, new.cast(arrays[size_at].type), arrays[size_at])
+                batch = pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+            yield batch
+
+    return docs.mapInArrow(clean, docs.schema)
