@@ -49,9 +49,9 @@ SEPARATOR = 2
 FAN_IN = 8
 ITEMS_PER_TASK = 200_000
 #: Words that a worker remembers in two generations, and the longest of them: a word and
-#: its ids take 250 bytes at most, so 200 MB (a line of a script without blanks is one
+#: its ids take 250 bytes at most, so 400 MB (a line of a script without blanks is one
 #: word; it is encoded each time).
-CACHED_WORDS, CACHED_LENGTH = 800_000, 32
+CACHED_WORDS, CACHED_LENGTH = 1_600_000, 32
 
 #: Texts whose words are looked up together.
 ENCODED_TEXTS = 256
