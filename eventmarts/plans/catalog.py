@@ -28,6 +28,7 @@ from eventmarts.sources.bronze import (
     read_stream_bronze,
 )
 from eventmarts.sources.raw import read_event_stream
+from eventmarts.streaming import batches
 from eventmarts.streaming import ingest as stream_ingest
 from eventmarts.streaming.sessions import stream_gap_sessions
 
@@ -746,6 +747,50 @@ def q_stream_dedup(m: Model):
                                       dedup="1 hour", max_files=1))
 
 
+def _batches(m: Model, landing: str, out: str, ckpt: str, **options) -> None:
+    batches.ingest_batches(read_event_stream(m.spark, "text", path=landing), out, ckpt,
+                           trigger={"availableNow": True}, **options).awaitTermination()
+
+
+@query("stream_replays_any_age", O.with_base(f"SELECT {O.C12} FROM stg_stream"))
+def q_stream_replays(m: Model):
+    """Replays without a watermark: half of the records, then all of them, then everything once
+    more under a new checkpoint; each event lands once."""
+    recs = binding.stream_records(m.table("events"))
+    landing, out, state, *ckpts = (shared_dir(m.spark, d) for d in (
+        "landing", "bronze_stream", "landed", "stream_ckpt", "stream_ckpt"))
+    for part in (recs.where(F.col("arrival") % 2 == 1), recs):
+        part.select("value").write.mode("append").text(landing)
+        _batches(m, landing, out, ckpts[0], landed=state)
+    _batches(m, landing, out, ckpts[1], landed=state)
+    return _staged(m, out)
+
+
+@query("stream_gate", """
+WITH lines AS (SELECT CASE event_type WHEN 'purchase' THEN 'missing_field' WHEN 'error' THEN 'unknown_type'
+                   ELSE 'good' END AS verdict, event_type FROM events
+            UNION ALL SELECT 'good', event_type FROM events WHERE event_type = 'signup'
+            UNION ALL SELECT 'malformed', event_type FROM events WHERE event_type = 'click')
+SELECT verdict, CAST(count(*) AS BIGINT) AS lines, CAST(count(*) AS BIGINT) AS counted
+FROM lines GROUP BY verdict""")
+def q_stream_gate(m: Model):
+    """The gate inside the stream over broken records and half lines: what lies under each verdict,
+    and what the write itself counted."""
+    e = m.table("events")
+    b = binding.dirty_stream_bronze(e)
+    halves = binding.stream_records(e.where(F.col("event_type") == "click")).select(
+        F.substring("value", 1, 20).alias("value"))
+    landing, out, ckpt = (shared_dir(m.spark, d) for d in ("landing", "bronze_stream", "stream_ckpt"))
+    for part in (b.select(record_json(b).alias("value")), halves):
+        part.write.mode("append").text(landing)
+        _batches(m, landing, out, ckpt, gated=True)
+    good, dead = batches.read_gated(m.spark, out)
+    lines = (good.select("verdict").unionByName(dead.select("verdict"))
+             .groupBy("verdict").agg(F.count(F.lit(1)).alias("lines")))
+    counted = batches.gate_report(m.spark, out).groupBy("verdict").agg(F.sum("lines").alias("counted"))
+    return lines.join(counted, "verdict")
+
+
 @query("stream_sessions", O.with_model(f"SELECT {SESS_COLS} FROM h_sessions", 30))
 def q_stream_sessions(m: Model):
     """Sessions closed inside the stream: three deliveries of whole files with a restart between,
