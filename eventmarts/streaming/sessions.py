@@ -1,14 +1,18 @@
 """Inferred sessions inside the stream (W1, W2, T1): rows leave when their session is over.
 
-``session_window`` counts elapsed time and cannot say "more than N minute boundaries", so the
-rule is kept in state.  Per user the state lists open sessions (start, end, events); a
-late event within the watermark extends one, opens one or joins two.  A session is over when the
-watermark reaches the first minute more than the gap after its last one: no admitted event can
-reach it then.  An event-time timer at that minute emits and forgets it, so the state of
-a user is the sessions of the last ``watermark`` and gap.
+Only active minutes matter to the rule, and between whole minutes "more than N minute
+boundaries" is elapsed time.  So two of Spark's own windows say it, without Python and with all
+state in the state store of the JVM:
 
-Only active minutes matter to the rule.  Each Arrow batch is reduced to one row per (user,
-minute) before it is shuffled, so a burst of one user is few rows.
+* a window of one minute per user keeps the span and the number of its events until
+  the watermark passes the minute's end, and drops events of minutes that it has passed;
+* ``session_window`` joins those minutes; a session is over, and leaves, when the watermark reaches
+  the first minute more than the gap after its last one.  No admitted event can reach it then.
+
+The second window alone would take an event that is later than the watermark by less
+than the gap for a session of its own, beside the one it belongs to.  As minutes reach it in the order
+of the watermark, it holds the sessions of the last gap; the first holds the active minutes
+of the last ``watermark``.  A burst of one user is one row a minute before the shuffle already.
 
 A record without id and type is a heartbeat: it moves the watermark, so that sessions of
 a quiet stream close, and counts for no session.
@@ -16,32 +20,26 @@ a quiet stream close, and counts for no session.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmarts.functions import surrogate_key, ts_key_text
 from eventmarts.schema import DEFAULT_SESSION_GAP_MINUTES, HISTORICAL, SESSION_FIELDS
 
 MINUTE = 60_000_000
-_ROWS = "source string, user_id string, lo long, hi long, n long, seen_at timestamp"
-_CLOSED = "source string, user_id string, lo long, hi long, n long"
-_OPEN = "lo long, hi long, n long"
 
 
 def configure_state(spark: SparkSession) -> None:
-    """State with timers needs the RocksDB store."""
+    """State that need not fit the heap: the RocksDB store."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def merge(spans: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
-    """Spans ``(first, last, events)`` in microseconds, joined where not more than ``gap``
-    minute boundaries lie between them."""
+    """The rule in plain Python, for comparison: spans ``(first, last, events)`` in microseconds,
+    joined where not more than ``gap`` minute boundaries lie between them."""
     out: list[list[int]] = []
     for lo, hi, n in sorted(spans):
         if out and lo // MINUTE - out[-1][1] // MINUTE <= gap:
@@ -52,66 +50,6 @@ def merge(spans: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, i
     return [tuple(s) for s in out]
 
 
-class OpenSessions(StatefulProcessor):
-    """Open sessions of a (source, user)."""
-
-    def __init__(self, gap: int):
-        self.gap = gap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", _OPEN)
-
-    def _over_at(self, hi: int) -> int:
-        """Milliseconds from which a session that ends at ``hi`` is over."""
-        return (hi // MINUTE + self.gap + 1) * 60_000
-
-    def _keep(self, spans: list[tuple[int, int, int]]) -> None:
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        if spans:
-            self.open.put([(int(a), int(b), int(c)) for a, b, c in spans])
-            self.handle.registerTimer(min(self._over_at(hi) for _, hi, _ in spans))
-        else:
-            self.open.clear()
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if key[0] is None:  # heartbeats; a filter would be moved below the watermark
-            return iter(())
-        spans = [(int(s[0]), int(s[1]), int(s[2])) for s in self.open.get()]
-        for pdf in rows:  # merged batch by batch: the list stays as short as the sessions are few
-            spans = merge([*spans, *zip(pdf["lo"].tolist(), pdf["hi"].tolist(), pdf["n"].tolist())], self.gap)
-        self._keep(spans)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()  # all that are over, not the timer's own alone
-        spans = [(int(s[0]), int(s[1]), int(s[2])) for s in self.open.get()]
-        over = [s for s in spans if self._over_at(s[1]) <= now]
-        self._keep([s for s in spans if self._over_at(s[1]) > now])
-        # (columns of Python objects: an Arrow-backed text column may come in chunks)
-        yield pd.DataFrame({"source": pd.Series([key[0]] * len(over), dtype=object),
-                            "user_id": pd.Series([key[1]] * len(over), dtype=object),
-                            **{c: pd.Series([s[k] for s in over], dtype="int64")
-                               for k, c in enumerate(("lo", "hi", "n"))}})
-
-    def close(self) -> None:
-        pass
-
-
-def _by_minute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(source, user, time) rows of a batch, one per user and minute."""
-    for batch in batches:
-        t = pa.table({"source": batch.column(0), "user_id": batch.column(1),
-                      "us": batch.column(2).cast(pa.int64())})
-        t = t.append_column("minute", pa.array(t["us"].to_numpy() // MINUTE))
-        g = t.group_by(["source", "user_id", "minute"]).aggregate([("us", "min"), ("us", "max"), ("us", "count")])
-        yield pa.RecordBatch.from_arrays(
-            [g[c].combine_chunks() for c in ("source", "user_id", "us_min", "us_max", "us_count")]
-            + [g["us_max"].combine_chunks().cast(pa.timestamp("us", tz="UTC"))],
-            names=["source", "user_id", "lo", "hi", "n", "seen_at"])
-
-
 def stream_gap_sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GAP_MINUTES,
                         sources: Sequence[str] = (HISTORICAL,), watermark: str = "1 day") -> DataFrame:
     """A stream of conformed ``events`` -> a stream of finished inferred sessions (A2).
@@ -125,12 +63,18 @@ def stream_gap_sessions(events: DataFrame, gap_minutes: int = DEFAULT_SESSION_GA
     chosen = events.where(F.col("source").isin(list(sources)))
     marked = chosen.select(F.when(~beat, F.col("source")).alias("source"), "user_id",
                            ts.alias("event_timestamp"), beat.alias("beat"))
-    spans = (marked.where(ts.isNotNull()).select("source", "user_id", "event_timestamp")
-             .mapInArrow(_by_minute, _ROWS).withWatermark("seen_at", watermark))
-    closed = spans.groupBy("source", "user_id").transformWithStateInPandas(
-        OpenSessions(int(gap_minutes)), _CLOSED, "Append", "EventTime")
-    dated = closed.select("source", "user_id", F.timestamp_micros("lo").alias("session_start_at"),
-                          F.timestamp_micros("hi").alias("session_end_at"), F.col("n").alias("event_count"))
+    # heartbeats go by a count: a filter on their columns would be moved below the watermark
+    minutes = (marked.where(ts.isNotNull()).withWatermark("event_timestamp", watermark)
+               .groupBy("source", "user_id", F.window("event_timestamp", "1 minute").alias("minute"))
+               .agg(F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi"),
+                    F.count(F.when(~F.col("beat"), 1)).alias("n")).where(F.col("n") > 0))
+    # (a minute's time is its last microsecond; the one more microsecond makes a session end with the
+    # first minute that is over the gap)
+    gap = f"{int(gap_minutes)} minutes 1 microsecond"
+    closed = minutes.groupBy("source", "user_id", F.session_window(F.window_time("minute"), gap)).agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
+    dated = closed.select("source", "user_id", F.col("lo").alias("session_start_at"),
+                          F.col("hi").alias("session_end_at"), F.col("n").alias("event_count"))
     undated = marked.where(ts.isNull() & ~F.col("beat")).select(
         "source", "user_id", ts.alias("session_start_at"), ts.alias("session_end_at"),
         F.lit(1).cast("long").alias("event_count"))

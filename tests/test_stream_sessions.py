@@ -77,3 +77,21 @@ def test_sessions_leave_as_the_watermark_passes(spark, scratch):
     _deliver(spark, landing, [_record(6, "u", at(0, 50))])  # later than the watermark: dropped
     _drain(spark, landing, out, ckpt, "1 hour")
     assert spark.read.parquet(out).where(F.col("user_id") == "u").count() == 1
+
+
+def test_no_user_is_a_python_call(spark, scratch):
+    lines = spark.readStream.schema(BRONZE).json(scratch)
+    plan = stream_gap_sessions(staging.stage_historical(lines))._jdf.queryExecution().analyzed().toString()
+    assert "session_window" in plan
+    assert not [n for n in ("WithState", "MapInArrow", "MapInPandas", "Python") if n in plan]
+
+
+def test_an_event_behind_the_watermark_by_less_than_the_gap_is_no_session(spark, scratch):
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    landing, out, ckpt = (os.path.join(scratch, d) for d in ("in", "out", "ckpt"))
+    _deliver(spark, landing, [_record(1, "u", at(0)), _record(2, "v", at(100))])  # the watermark: 40
+    _drain(spark, landing, out, ckpt, "1 hour")
+    _deliver(spark, landing, [_record(3, "u", at(20)), _record(4, "v", at(45)), _record(5, "v", at(400))])
+    _drain(spark, landing, out, ckpt, "1 hour")
+    got = {(r["user_id"], r["session_start_at"].minute, r["event_count"]) for r in spark.read.parquet(out).collect()}
+    assert got == {("u", 0, 1), ("v", 45, 1), ("v", 40, 1)}
