@@ -40,7 +40,7 @@ from eventmarts.schema import (
     STREAM,
 )
 from eventmarts.session import materialize
-from eventmarts.sinks.publish import Version, current, publish, read_published
+from eventmarts.sinks.publish import Version, _hadoop, current, publish, read_published
 
 UNDATED = "none"
 _FACT = ("event_id string, user_id string, session_id string, event_sequence_number long, event_type string, "
@@ -76,7 +76,7 @@ class SessionStore:
     # -- reading ---------------------------------------------------------------
 
     def _read(self, version: Version, table: str, schema: str, parts=None) -> DataFrame:
-        found = read_published(self.spark, self.root, table, version, parts)
+        found = read_published(self.spark, self.root, table, version, parts, schema)
         return self.spark.createDataFrame([], schema) if found is None else found
 
     def events(self, version: Version | None = None, dates=None) -> DataFrame:
@@ -99,10 +99,10 @@ class SessionStore:
         new = materialize(events.select(*CONFORMED_FIELDS), "flush-events")
         days = _dates(new.select(_part("event_date").alias("d")))
         stored = self.events(version, [d for d in days if d in version.tables.get("events", {})])
-        unseen = stored.select("event_id", "source").where(F.col("event_id").isNotNull()).distinct()
-        new = new.dropDuplicates(["source", "event_id"]).where(F.col("event_id").isNotNull()).join(
-            unseen, ["source", "event_id"], "left_anti").select(*CONFORMED_FIELDS).unionByName(
-                new.where(F.col("event_id").isNull()))
+        key, named = ["source", "event_id"], F.col("event_id").isNotNull()
+        seen = stored.where(named).select(*key)
+        new = new.where(named).dropDuplicates(key).join(seen, key, "left_anti").select(
+            *CONFORMED_FIELDS).unionByName(new.where(~named))
         new = materialize(new, "flush-new")
         attached = sessions.attachable(new, self.native, self.inferred)
         touched = materialize(self._touched(version, attached), "flush-touched")
@@ -146,12 +146,14 @@ class SessionStore:
                  dates: list[str]) -> tuple[DataFrame, DataFrame]:
         """(rows of ``dates`` as they were, rows sessionized again)."""
         old = self.events(version, dates)
-        keys = touched.select(F.col("source").alias("_s"), F.col("session_id").alias("_id")).distinct()
+        keys = touched.select(F.col("source").alias("_s"), F.col("session_id").alias("_id"))
         same = (F.col("source") == F.col("_s")) & F.col("session_id").eqNullSafe(F.col("_id"))
         # inferred events carry no session id of their own
         again = old.join(keys, same, "left_semi").withColumn(
             "session_id", F.when(F.col("source").isin(self.native), F.col("session_id")))
         rows = again.select(*CONFORMED_FIELDS).unionByName(new)
+        if version.tables.get("events"):  # the scan reads its rows several times; the join runs once
+            rows = materialize(rows, "flush-rows")
         rebuilt = marts.event_fact(sessions.sessionize(rows, self.gap, self.native, self.inferred))
         return old.join(keys, same, "left_anti"), materialize(rebuilt, "flush-rebuilt")
 
@@ -160,11 +162,11 @@ class SessionStore:
         """Write ``rows`` by part and point the parts at the new folders; a part that has
         become empty is dropped."""
         path = os.path.join(run, name)
-        (rows.withColumn("_part", part).repartitionByRange("_part", F.rand(7))
+        (rows.withColumn("_part", part).hint("rebalance", "_part")
          .write.partitionBy("_part").parquet(os.path.join(self.root, path)))
-        got = set()
-        if parts:
-            got = set(_dates(rows.select(part.alias("d"))))
+        folder, fs = _hadoop(self.spark, os.path.join(self.root, path))
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        got = {n.removeprefix("_part=") for n in names if n.startswith("_part=")}
         mine = tables.setdefault(name, {})
         for p in parts:
             mine.pop(p, None)
@@ -179,7 +181,7 @@ class SessionStore:
         fresh = materialize(fresh, "flush-sessions")
         part = _part(F.to_date("session_start_at"))
         parts = sorted(set(_dates(fresh.select(part.alias("d")))) | set(_dates(touched.select(part.alias("d")))))
-        keys = touched.select("source", "session_id", "user_id").distinct().select(
+        keys = touched.select(
             *[F.col(c).alias(f"_{c}") for c in ("source", "session_id", "user_id")])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("source", "session_id", "user_id")]
         kept = self._read(version, "sessions", _STATE, parts).join(keys, same, "left_anti")

@@ -98,10 +98,13 @@ def folders(version: Version, warehouse: str, table: str, parts=None) -> list[st
 
 
 def read_published(spark: SparkSession, warehouse: str, table: str, version: Version | None = None,
-                   parts=None) -> DataFrame | None:
-    """A table of the current (or a given) version; None if it has no such part."""
+                   parts=None, schema: str | None = None) -> DataFrame | None:
+    """A table of the current (or a given) version; None if it has no such part.  With its
+    ``schema`` no file is opened to find it."""
     paths = folders(version or current(spark, warehouse), warehouse, table, parts)
-    return spark.read.parquet(*paths) if paths else None
+    if not paths:
+        return None
+    return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
 
 
 def retire(spark: SparkSession, warehouse: str, keep: int = 2) -> int:

@@ -135,3 +135,20 @@ def test_an_empty_flush(spark, scratch):
     assert store.events().count() == 0 and store.sessions().count() == 0
     did = store.flush(_frame(spark, []))
     assert (did.added, did.written, store.events().count()) == (0, [], 0)
+
+
+def test_the_rows_of_a_flush_are_joined_once(spark, scratch, monkeypatch):
+    """A written table is looked up in its folder, not computed again; what the scan reads is written."""
+    from eventmarts.plans import incremental
+
+    rows, names, listed = _rows(6, 60), [], []
+    store = SessionStore(spark, os.path.join(scratch, "s"))
+    store.flush(_frame(spark, rows[:40]))
+    dates, write = incremental._dates, incremental.materialize
+    monkeypatch.setattr(incremental, "_dates", lambda d: (listed.append(d._jdf.queryExecution().analyzed().toString()),
+                                                          dates(d))[1])
+    monkeypatch.setattr(incremental, "materialize", lambda df, name: (names.append(name), write(df, name))[1])
+    store.flush(_frame(spark, rows[40:]))
+    assert "flush-rows" in names
+    assert not [p for p in listed if "Join" in p]
+    _same_as_full(spark, store, rows)
