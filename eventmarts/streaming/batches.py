@@ -75,14 +75,15 @@ def land_batch(batch: DataFrame, out: str, run: str, number: int, landed: str |
     once = (batch.where(event_id.isNotNull())
             .groupBy(event_date(F.col("value")).alias("event_date"), event_id.alias("event_id"))
             .agg(F.min("value").alias("value")))
-    fresh = state.unseen(placed(once)).persist()
     try:
+        records = state.keep(placed(once), "records")  # parsed and grouped once
+        fresh = state.unseen(records)
         _write(fresh.select("value").unionByName(batch.where(event_id.isNull()).select("value")),
                out, run, number, gated)
-        state.add(fresh)
-        state.merge(sorted(r[0] for r in fresh.select("event_date").distinct().collect()))
+        ids = fresh if fresh is records else state.keep(fresh.drop("value"), "fresh")
+        state.add(ids)
+        state.merge(sorted(r[0] for r in ids.select("event_date").distinct().collect()))
     finally:
-        fresh.unpersist()
         state.release()
 
 

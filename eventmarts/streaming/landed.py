@@ -10,8 +10,8 @@ The state lies under one folder as two Parquet tables by event date, both sets t
 A record's date is that of its own ``event_timestamp`` (``undated`` without a readable one), which a
 replay repeats; so a batch reads the state of the dates it brings and of no other.  Ids that miss the
 filter are new.  The others -- replays, and the few ids whose bits are set by chance --
-are settled by an anti join with the ids of those dates, so no new id is held back however full a
-filter is.  If a batch has no such ids, no id is read.
+are settled by a join with the ids of those dates, so no new id is held back however full a
+filter is.  If a batch has no such ids, no id is read.  These joins move ids alone, not records.
 
 A batch adds one *piece* to each of its dates, named by the query and the batch.  A batch that
 is tried again does not see its own piece and replaces it.  Pieces of a date are merged once there
@@ -26,6 +26,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmarts.session import shared_dir
 from eventmarts.sinks.publish import _hadoop
 
 WORDS = 1 << 26  # words of a date's filter; only those that hold a bit are stored
@@ -58,7 +59,13 @@ class LandedIds:
 
     def __init__(self, spark: SparkSession, root: str, run: str, batch: int):
         self.spark, self.root, self.run, self.batch = spark, root, run, batch
-        self._tested: DataFrame | None = None
+        self._scratch = shared_dir(spark, "tables", "landed-batch")
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written for the time of this batch, so that it is computed once."""
+        path = os.path.join(self._scratch, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def _pieces(self, table: str, date: str) -> list[str]:
         """Folders of a date's pieces, without those of this batch."""
@@ -87,20 +94,19 @@ class LandedIds:
         words = self._read("filter", dates)
         if words is None:
             return records
+        key = [*_KEYS, "event_id"]
         words = words.groupBy(*_KEYS).agg(F.bit_or("bits").alias("bits"))
-        known = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))
-        tested = records.join(words, _KEYS, "left").withColumn("known", known).drop("bits").persist()
-        self._tested = tested
-        new, suspects = tested.where(~F.col("known")).drop("known"), tested.where("known").drop("known")
+        suspects = self.keep(records.select(*key, "mask").join(words, _KEYS).where(
+            F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")).select(*key), "suspects")
         if suspects.isEmpty():
-            return new
-        ids = self._read("ids", dates)
-        return new.unionByName(suspects.join(ids, [*_KEYS, "event_id"], "left_anti").select(*new.columns))
+            return records
+        known = self.keep(suspects.join(self._read("ids", dates), key, "left_semi"), "known")
+        return records.join(known, key, "left_anti").select(*records.columns)
 
     def release(self) -> None:
-        """Free what :meth:`unseen` keeps while its result is in use."""
-        if self._tested is not None:
-            self._tested.unpersist()
+        """Delete what :meth:`keep` wrote."""
+        folder, fs = _hadoop(self.spark, self._scratch)
+        fs.delete(folder, True)
 
     def add(self, records: DataFrame) -> None:
         """Note that ``records`` land with this batch."""

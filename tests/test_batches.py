@@ -119,3 +119,18 @@ def test_batches_of_nothing(spark, scratch):
     land_batch(_lines(spark, [_line(1)]), out, "r", 1, state, True)
     land_batch(_lines(spark, []), out, "r", 2, state, True)
     assert _tree(spark, out) == [_line(1)]
+
+
+def test_a_batch_is_parsed_once_and_moves_ids_alone(spark, scratch, monkeypatch):
+    out, state = os.path.join(scratch, "bronze"), os.path.join(scratch, "state")
+    land_batch(_lines(spark, [_line(i) for i in range(9)]), out, "r", 0, state)
+    kept, keep = {}, landed.LandedIds.keep
+    monkeypatch.setattr(landed.LandedIds, "keep", lambda self, df, name: kept.setdefault(name, keep(self, df, name)))
+    released = []
+    release = landed.LandedIds.release
+    monkeypatch.setattr(landed.LandedIds, "release", lambda self: (release(self), released.append(self._scratch)))
+    land_batch(_lines(spark, [_line(i) for i in range(5, 14)]), out, "r", 1, state)
+    assert [n for n, df in kept.items() if "value" in df.columns] == ["records"]
+    assert set(kept) == {"records", "suspects", "known", "fresh"}
+    assert _tree(spark, out) == sorted(_line(i) for i in range(14))
+    assert [os.path.exists(p) for p in released] == [False]
