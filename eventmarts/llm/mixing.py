@@ -15,7 +15,7 @@
    only at shard borders and at the end of a quota.  Rows are shuffled within a shard
    by a seeded hash.
 
-Nothing is joined to place a document: its interval on the axis and the plan of its
+Nothing but its run's start is joined to place a document: its interval on the axis and the plan of its
 source (broadcast; one row per source and shard) give its segments.  The plan is made
 on the driver from one row per source, in numpy arrays.  ``max_plan`` bounds sources x
 shards; more words make larger shards, more sources than that raise an error before any of
@@ -32,12 +32,14 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from eventmarts.llm.common import stored
@@ -199,18 +201,21 @@ def make_plan(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WE
     return plan
 
 
-def lay_out(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), seed: int = SEED,
-            digits: int | None = None) -> tuple[DataFrame, list[tuple[str | None, int]]]:
-    """Documents with their start on their source's axis, and every source's size.
+def _measured(docs: DataFrame, columns: tuple[str | Column, ...], seed: int) -> DataFrame:
+    """``columns, source, size, _order`` of every row."""
+    order = F.md5(F.concat(F.lit(f"mix:{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+                  .cast("binary"))
+    return docs.select(*columns, "source", word_count(F.col("text")).alias("size"), order.alias("_order"))
+
+
+def _runs(narrow: DataFrame, digits: int | None = None
+          ) -> tuple[list[tuple[str | None, int]], Column, DataFrame]:
+    """Every source's size; the run of a row; ``_key, _base``: where each run starts on its axis.
 
     A run is the documents of a source with the same first ``digits`` hex digits of the
     hash: about the square root of all documents by default, so that neither a run nor
     the list of a source's runs is large.
     """
-    order = F.md5(F.concat(F.lit(f"mix:{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-                  .cast("binary"))
-    narrow = stored(docs.select(*id_cols, "source", word_count(F.col("text")).alias("size"),
-                                order.alias("_order")), "mix-sizes")
     per_source = stored(narrow.groupBy("source").agg(F.sum("size").alias("n")), "mix-sources")
     if (n := per_source.count()) > MAX_PLAN:
         raise ValueError(f"{n} sources; the plan holds at most {MAX_PLAN} parts")
@@ -218,18 +223,28 @@ def lay_out(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), seed: int =
     if digits is None:
         digits = math.ceil(math.log(max(narrow.count(), 1), 16) / 2)
     run = F.substring("_order", 1, digits) if digits else F.lit("")
-    narrow = narrow.withColumn("_run", run)
     before = Window.partitionBy("source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (narrow.groupBy("source", "_run").agg(F.sum("size").alias("_n"))
+    runs = (narrow.groupBy("source", run.alias("_run")).agg(F.sum("size").alias("_n"))
             .select(F.struct("source", "_run").alias("_key"),
                     F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
-    within = (Window.partitionBy("_key").orderBy("_order", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (narrow.withColumn("_key", F.struct("source", "_run"))  # a struct is never null
-              .withColumn("_local", F.coalesce(F.sum("size").over(within), F.lit(0)))
-              .join(runs, "_key")
-              .select(*id_cols, "source", "size", (F.col("_base") + F.col("_local")).alias("start")))
-    return placed, sizes
+    return sizes, F.struct("source", run.alias("_run")), runs  # a struct is never null
+
+
+def _starts(rows: DataFrame, key: Column, runs: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """``rows`` with their ``start`` on the axis; equal ones in ``order`` in any order."""
+    within = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("_key", key)
+            .withColumn("_local", F.coalesce(F.sum("size").over(within), F.lit(0)))
+            .join(runs, "_key").withColumn("start", F.col("_base") + F.col("_local")))
+
+
+def lay_out(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), seed: int = SEED,
+            digits: int | None = None) -> tuple[DataFrame, list[tuple[str | None, int]]]:
+    """Documents with their start on their source's axis, and every source's size."""
+    narrow = stored(_measured(docs, id_cols, seed), "mix-sizes")
+    sizes, key, runs = _runs(narrow, digits)
+    placed = _starts(narrow, key, runs, ("_order", "doc_id", "size"))
+    return placed.select(*id_cols, "source", "size", "start"), sizes
 
 
 def mix(docs: DataFrame, id_cols: tuple[str, ...] = ("doc_id",), weights: tuple[int, ...] = WEIGHTS,
@@ -267,10 +282,15 @@ def words_taken(segments: Column) -> Column:
     return F.aggregate(segments, F.lit(0).cast("long"), lambda acc, s: acc + s["n_words"])
 
 
-def cut_words(text: str, first: int, n: int) -> str:
-    """Words ``first`` to ``first + n`` of ``text`` with the white space between them."""
-    spans = [m.span() for m in _WORD.finditer(text)][first:first + n]
-    return text[spans[0][0]:spans[-1][1]] if spans else ""
+def cut_words(text: str, parts: list[tuple[int, int]]) -> list[str]:
+    """Words ``first`` to ``first + n`` of ``text`` for each ``(first, n)``, with the white
+    space between them.  The text is read once, whatever the number of parts."""
+    matches, at = _WORD.finditer(text), 0
+    spans: dict[int, tuple[int, int]] = {}
+    for k in sorted({w for first, n in parts for w in (first, first + n - 1)}):
+        spans[k] = next(islice(matches, k - at, None)).span()
+        at = k + 1
+    return [text[spans[first][0]:spans[first + n - 1][1]] for first, n in parts]
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
@@ -279,39 +299,62 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: i
     A document that is taken whole is returned as it is, once per epoch.  Of one that is
     cut at the end of a quota or a shard, the text holds the words taken, and ``n_chars``
     their length.
+
+    ``docs`` is read twice, for the sizes and for the rows, so it is a stored table or an
+    expression that gives the same rows again.  Texts move to their place on the axis, where
+    they are cut, and the parts taken to their shard; no copy of ``docs`` is written.
     """
     columns = docs.columns
     # the caller's columns travel in one struct, so no name of theirs meets one of ours
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"),
-                              F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")), "mix-rows")
-    sized = rows.select("row", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"),
-                        F.col("doc.source").alias("source"))
-    taken = (mix(sized, ("row", "doc_id"), weights, seed=seed)
-             .select("row", "size", F.explode("segments").alias("s"))
-             .select("row", "size", F.col("s.shard").alias("shard"), F.col("s.first_word").alias("first"),
-                     F.col("s.n_words").alias("words"),
-                     # within a shard, a seeded hash is the local shuffle
-                     F.xxhash64(F.lit(seed), "row", "s.epoch", "s.first_word").alias("place")))
+    rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
+            .select("doc", "doc.doc_id", "doc.text", "doc.source"))
+    sizes, key, runs = _runs(stored(_measured(rows, ("doc_id",), seed), "mix-sizes"))
+    plan = docs.sparkSession.sparkContext.broadcast(make_plan(sizes, weights, seed=seed))
+    # rows that tie in ``mix`` too are told apart by their content: a task that runs again
+    # places them alike
+    whole = _measured(rows, ("doc_id", "doc", F.xxhash64("doc").alias("_same")), seed)
+    placed = (_starts(whole, key, runs, ("_order", "doc_id", "size", "_same"))
+              .select("source", "size", "start", "doc"))
     fields = {c: i for i, c in enumerate(columns)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, size, first, words = (batch.column(i) for i in range(4))
+            source, size, start, doc = batch.columns
             arrays = doc.flatten()
-            part = pc.less(words, size)
-            if part.true_count:
-                texts = arrays[fields["text"]].to_pylist()
-                begin, n = first.to_pylist(), words.to_pylist()
-                lengths: list[int | None] = [None] * len(texts)
-                for i in np.flatnonzero(part.to_numpy(zero_copy_only=False)).tolist():
-                    texts[i] = cut_words(texts[i], begin[i], n[i])
-                    lengths[i] = len(texts[i])
-                arrays[fields["text"]] = pa.array(texts, arrays[fields["text"]].type)
-                if "n_chars" in fields:
-                    old = arrays[fields["n_chars"]]
-                    arrays[fields["n_chars"]] = pc.if_else(part, pa.array(lengths, pa.int64()).cast(old.type), old)
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
-
-    mixed = (rows.join(taken, "row").repartition("shard").sortWithinPartitions("shard", "place")
-             .select("doc", "size", "first", "words"))
-    return mixed.mapInArrow(cut, docs.schema)
+            taken, shard, epoch, first = [], [], [], []
+            parts: dict[int, list[tuple[int, int, int]]] = {}  # of a document: part, first word, words
+            for i, (s, n, at) in enumerate(zip(source.to_pylist(), size.to_pylist(), start.to_pylist())):
+                for k, e, f, words in plan.value[s].segments(at, n):
+                    if words < n:
+                        parts.setdefault(i, []).append((len(taken), f, words))
+                    taken.append(i)
+                    shard.append(k)
+                    epoch.append(e)
+                    first.append(f)
+            text: list[str | None] = [None] * len(taken)
+            length: list[int | None] = [None] * len(taken)
+            for i, own in parts.items():
+                words_of = cut_words(arrays[fields["text"]][i].as_py(), [(f, n) for _, f, n in own])
+                for (j, _, _), t in zip(own, words_of):
+                    text[j], length[j] = t, len(t)
+            part = pa.array([n is not None for n in length], pa.bool_())
+            index = pa.array(taken, pa.int64())
+            out = [a.take(index) for i, a in enumerate(arrays) if i != fields["text"]]
+            # a cut text is not copied whole for each of its parts
+            uncut = arrays[fields["text"]].take(pc.if_else(part, pa.scalar(None, pa.int64()), index))
+            out.insert(fields["text"], pc.if_else(part, pa.array(text, uncut.type), uncut))
+            if "n_chars" in fields:
+                old = out[fields["n_chars"]]
+                out[fields["n_chars"]] = pc.if_else(part, pa.array(length, pa.int64()).cast(old.type), old)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int32()), source.take(index), start.take(index), pa.array(epoch, pa.int32()),
+                 pa.array(first, pa.int64()), pa.StructArray.from_arrays(out, fields=list(doc.type))],
+                names=["shard", "source", "start", "epoch", "first", "doc"])
+
+    schema = StructType([StructField("shard", IntegerType()), StructField("source", placed.schema["source"].dataType),
+                         StructField("start", LongType()), StructField("epoch", IntegerType()),
+                         StructField("first", LongType()), StructField("doc", docs.schema, False)])
+    # within a shard, a seeded hash is the local shuffle
+    place = F.xxhash64(F.lit(seed), "source", "start", "epoch", "first").alias("place")
+    return (placed.mapInArrow(cut, schema).select("shard", place, "doc")
+            .repartition("shard").sortWithinPartitions("shard", "place").select("doc.*"))

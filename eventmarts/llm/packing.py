@@ -34,7 +34,7 @@ import re
 import struct
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,11 +49,11 @@ SEPARATOR = 2
 FAN_IN = 8
 ITEMS_PER_TASK = 200_000
 #: Words that a worker remembers in two generations, and the longest of them: a word and
-#: its ids take 250 bytes at most, so 400 MB (a line of a script without blanks is one
-#: word; it is encoded each time).
-CACHED_WORDS, CACHED_LENGTH = 1_600_000, 32
+#: its ids take 250 bytes at most, so 170 MB, and workers live as long as their executor (a
+#: line of a script without blanks is one word; it is encoded each time).
+CACHED_WORDS, CACHED_LENGTH = 680_000, 32
 
-#: Texts whose words are looked up together.
+#: Texts whose pieces are emitted together.
 ENCODED_TEXTS = 256
 
 # blanks and line ends with the run after them; letters before plain punctuation or the
@@ -77,6 +77,35 @@ _LETTERS = _byte_letters()
 _BLANK = chr(_LETTERS[32])
 
 
+class _Words(dict[str, bytes]):
+    """Ids of words, in two generations: a word that is missing is looked for in the older one,
+    else encoded, so words in use are kept and no word is held twice."""
+
+    def __init__(self, merge: Callable, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.merge, self.encode = merge, encode
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.pop(word, None)
+        if ids is None:
+            if not _PLAIN.fullmatch(word):
+                ids = self.encode(word)
+            else:
+                if word.isascii():  # such letters stand for themselves
+                    shown = _BLANK + word[1:] if word[0] == " " else word
+                else:
+                    shown = word.encode().decode("latin-1").translate(_LETTERS)
+                tokens = [t.id for t in self.merge(shown)]
+                ids = struct.pack(f"<{len(tokens)}I", *tokens)
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, remembering words."""
 
@@ -87,10 +116,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merge = self.tokenizer.model.tokenize
         gc.set_threshold(100_000, 50, 50)  # many small objects, no cycles among them
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = _Words(self.tokenizer.model.tokenize, self._encode)
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -99,42 +126,13 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (
-            e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Make ``known`` hold all of ``words``; returns the long ones among them, to forget."""
-        if len(self.known) > CACHED_WORDS // 2:  # two generations: words in use are kept
-            self.known, self.older = {}, self.known
-        new = words.difference(self.known)
-        kept = [w for w in new if w in self.older]
-        self.known.update((w, self.older[w]) for w in kept)
-        new.difference_update(kept)
-        merge, known, other = self.merge, self.known, []
-        for w in new:
-            if not _PLAIN.fullmatch(w):
-                other.append(w)
-                continue
-            if w.isascii():  # such letters stand for themselves
-                shown = _BLANK + w[1:] if w[0] == " " else w
-            else:
-                shown = w.encode().decode("latin-1").translate(_LETTERS)
-            ids = [t.id for t in merge(shown)]
-            known[w] = struct.pack(f"<{len(ids)}I", *ids)
-        if other:
-            known.update(zip(other, self._encode(other)))
-        return [w for w in new if len(w) > CACHED_LENGTH]
+    def _encode(self, text: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) else _WORD.findall(t) for t in texts]
-        long = self._learn(set().union(*(words for words in split if words)))
         known = self.known.__getitem__
-        out = [self._encode([t])[0] if words is None else b"".join(map(known, words))
-               for t, words in zip(texts, split)]
-        for w in long:
-            del self.known[w]
-        return out
+        return [self._encode(t) if _ODD.search(t) else b"".join(map(known, _WORD.findall(t))) for t in texts]
 
 
 def cut(ids: bytes, width: int = WIDTH) -> list[tuple[int, bytes]]:

@@ -94,6 +94,28 @@ def test_mixed_documents_hold_the_words_taken(documents):
     assert out.where(F.col("n_chars") != F.length("text")).count() == 0
 
 
+def test_mixed_documents_are_the_parts_of_the_mix(documents, monkeypatch):
+    """Every part that ``mix`` lists, cut from its text; no copy of the texts is written."""
+    rows = [(i, t and " ".join(f"{w}-{i}" for w in t.split()), s) for i, t, s in _rows(n=150)]
+    rows += [(1000, " \t" + "\n ".join(f"long{k}" for k in range(200_000)), "a")]  # several shards
+    docs = documents(rows)
+    segments = {r["doc_id"]: r["segments"] for r in M.mix(docs).collect()}
+    want = []
+    for i, text, _ in rows:
+        spans = [m.span() for m in M._WORD.finditer(text)]
+        for s in segments[i]:
+            part = spans[s["first_word"]:s["first_word"] + s["n_words"]]
+            want.append((i, text if s["n_words"] == len(spans) else text[part[0][0]:part[-1][1]]))
+    assert len([1 for i, _ in want if i == 1000]) > 3
+    written, stored = [], M.stored
+    monkeypatch.setattr(M, "stored", lambda df, name: (written.append(df.schema.simpleString()), stored(df, name))[1])
+    out = M.mixed_documents(docs)
+    assert not [s for s in written if "text" in s]
+    got = [tuple(r) for r in out.select("doc_id", "text").collect()]
+    assert sorted(got) == sorted(want)
+    assert [tuple(r) for r in M.mixed_documents(docs.repartition(5)).select("doc_id", "text").collect()] == got
+
+
 def test_empty_tables_and_textless_sources(documents):
     assert M.mix(documents([])).count() == 0 and M.mixed_documents(documents([])).count() == 0
     out = M.mix(documents([(1, None, "a"), (2, " ", "a"), (2, "x y", None)])).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -33,6 +34,25 @@ def test_remembered_words_give_the_ids_of_whole_texts(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_remembered_words_are_bounded(tokenizer, monkeypatch):
+    """Workers outlive their stage: two of them, full of words, leave the JVM its room."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("aeiounrstlc", k=rng.randint(6, 12)))
+    texts = [" ".join(word() for _ in range(100)) for _ in range(200)]
+    encoder = P.Encoder(PATH)
+    tracemalloc.start()
+    encoder.encode(texts)
+    per_word = tracemalloc.get_traced_memory()[0] / 20_000
+    tracemalloc.stop()
+    assert per_word > 80 and per_word * P.CACHED_WORDS < 170e6
+    monkeypatch.setattr(P, "CACHED_WORDS", 1000)
+    encoder = P.Encoder(PATH)
+    for text in [*texts, " ".join(texts)]:  # one text may hold more words than are remembered
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == \
+            tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) + len(encoder.known.older) <= 1000
+
+
 def test_cut():
     ids = lambda n: np.arange(n, dtype="<u4").tobytes()
     sizes = lambda n: [(s, len(b) // 4) for s, b in P.cut(ids(n), 10)]
