@@ -89,15 +89,19 @@ class _Words(dict[str, bytes]):
     def __missing__(self, word: str) -> bytes:
         ids = self.older.pop(word, None)
         if ids is None:
-            if not _PLAIN.fullmatch(word):
+            line = word[0] == "\n"  # one line end before a word is a token by itself
+            if not _PLAIN.fullmatch(word, line):
                 ids = self.encode(word)
             else:
-                if word.isascii():  # such letters stand for themselves
-                    shown = _BLANK + word[1:] if word[0] == " " else word
+                shown = word[1:] if line else word
+                if shown.isascii():  # such letters stand for themselves
+                    shown = _BLANK + shown[1:] if shown[0] == " " else shown
                 else:
-                    shown = word.encode().decode("latin-1").translate(_LETTERS)
+                    shown = shown.encode().decode("latin-1").translate(_LETTERS)
                 tokens = [t.id for t in self.merge(shown)]
                 ids = struct.pack(f"<{len(tokens)}I", *tokens)
+                if line:
+                    ids = self["\n"] + ids
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS // 2:
                 self.older = dict(self)

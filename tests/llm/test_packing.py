@@ -53,6 +53,16 @@ def test_remembered_words_are_bounded(tokenizer, monkeypatch):
         assert len(encoder.known) + len(encoder.known.older) <= 1000
 
 
+def test_words_after_line_ends(tokenizer):
+    words = ["Wort", " Wort", "ÀÖé", " éa", "Wortungetüm" * 5, "x1", "'s", "", " "]
+    texts = [start + a + end + w for a in ("\n", "\n\n", " \n", "\n \n") for w in words
+             for start in ("", "so") for end in ("", "so.\n")]
+    for _ in range(2):  # new words, then remembered ones
+        for text, ids in zip(texts, P.Encoder.load(PATH).encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == \
+                tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_cut():
     ids = lambda n: np.arange(n, dtype="<u4").tobytes()
     sizes = lambda n: [(s, len(b) // 4) for s, b in P.cut(ids(n), 10)]
