@@ -1,10 +1,12 @@
 """Best-fit packing of tokenised documents into sequences.
 
 Tokenising.  A text's ids end with one separator.  A text longer than a sequence
-is cut into full sequences, the shorter remainder first.  Tasks remember the ids
-of words (with the blanks and line ends before them), which the tokenizer treats
-independently; texts with any other white space or control
-character are encoded as a whole.  Both give the ids of encoding the whole text.
+is cut into full sequences, the shorter remainder first.  Tasks cut the bytes of many
+texts into words (with the blanks before them), which the tokenizer treats
+independently, number the distinct ones with Arrow and gather the ids of each; ids
+of words are remembered.  Texts with any other white space, a control character or
+one of the tokenizer's added tokens are encoded as a whole.  Both give the ids of
+encoding the whole text.
 
 Packing (hierarchical residual packing).  Pieces are dealt to partitions by hash.
 Each partition packs its pieces best-fit, longest first, and emits the bins that
@@ -39,6 +41,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,17 +56,51 @@ ITEMS_PER_TASK = 200_000
 #: line of a script without blanks is one word; it is encoded each time).
 CACHED_WORDS, CACHED_LENGTH = 680_000, 32
 
-#: Texts whose pieces are emitted together.
-ENCODED_TEXTS = 256
+#: Bytes of texts that are encoded together (one longer text is on its own): each of their
+#: words is looked up once, however often it occurs.
+CHUNK_BYTES = 4 << 20
 
-# blanks and line ends with the run after them; letters before plain punctuation or the
-# end of a run stand alone, as the tokenizer always cuts there
-_WORD = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,;:!?()]|\Z)|[ \n]*[^ \n]+|[ \n]+\Z")
 # one pre-token: the merges apply to it directly
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 # any white space but blank and line end, and control or format characters
-_ODD = re.compile(r"[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f"
-                  r"\u205f-\u2064\u3000\ufeff]")
+_ODD = (r"[\x00-\x09\x0b-\x1f\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}"
+        r"\x{205f}-\x{2064}\x{3000}\x{feff}]")
+_BLANK_BYTE, _LINE_END, _LETTER, _STOP = 1, 2, 4, 8
+
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.zeros(256, np.uint8)
+    kinds[33:127] = _STOP  # all that is no letter
+    kinds[[*range(65, 91), *range(97, 123)]] = _LETTER
+    kinds[32], kinds[10] = _BLANK_BYTE, _BLANK_BYTE | _LINE_END
+    return kinds
+
+
+_KINDS = _byte_kinds()
+
+
+def word_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where words start in the bytes of texts that lie one after the other.
+
+    Cut are places where the tokenizer always cuts, whatever stands around them: before a run
+    of blanks and line ends, around the last line end before a word, and between a letter and
+    an ASCII character that is none.
+    """
+    n = len(data)
+    kinds = _KINDS[data]
+    blank = (kinds & _BLANK_BYTE) != 0
+    start = np.zeros(n, bool)
+    if n:
+        letter = (kinds & _LETTER) != 0
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # À to ÿ
+        start[1:] = (blank[1:] & ~blank[:-1]) | (letter[:-1] & ((kinds[1:] & _STOP) != 0))
+        alone = ((kinds[:-1] & _LINE_END) != 0) & ~blank[1:]
+        inner = bounds[1:-1]
+        alone[inner[(inner > 0) & (inner < n)] - 1] = False  # no word follows in its text
+        start[:-1] |= alone
+        start[1:] |= alone
+        start[bounds[:-1][bounds[:-1] < n]] = True
+    return np.flatnonzero(start)
 
 
 def _byte_letters() -> dict[int, int]:
@@ -89,19 +126,15 @@ class _Words(dict[str, bytes]):
     def __missing__(self, word: str) -> bytes:
         ids = self.older.pop(word, None)
         if ids is None:
-            line = word[0] == "\n"  # one line end before a word is a token by itself
-            if not _PLAIN.fullmatch(word, line):
+            if not _PLAIN.fullmatch(word):
                 ids = self.encode(word)
             else:
-                shown = word[1:] if line else word
-                if shown.isascii():  # such letters stand for themselves
-                    shown = _BLANK + shown[1:] if shown[0] == " " else shown
+                if word.isascii():  # such letters stand for themselves
+                    shown = _BLANK + word[1:] if word[0] == " " else word
                 else:
-                    shown = shown.encode().decode("latin-1").translate(_LETTERS)
+                    shown = word.encode().decode("latin-1").translate(_LETTERS)
                 tokens = [t.id for t in self.merge(shown)]
                 ids = struct.pack(f"<{len(tokens)}I", *tokens)
-                if line:
-                    ids = self["\n"] + ids
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS // 2:
                 self.older = dict(self)
@@ -110,6 +143,13 @@ class _Words(dict[str, bytes]):
         return ids
 
 
+def _bounds(column: pa.LargeStringArray | pa.LargeBinaryArray) -> np.ndarray:
+    """Where each value starts among the bytes, and where the last ends."""
+    if not len(column):
+        return np.zeros(1, np.int64)
+    return np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, remembering words."""
 
@@ -122,6 +162,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         gc.set_threshold(100_000, 50, 50)  # many small objects, no cycles among them
         self.known = _Words(self.tokenizer.model.tokenize, self._encode)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([_ODD, *added])  # texts with these are encoded as a whole
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -135,8 +177,39 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known.__getitem__
-        return [self._encode(t) if _ODD.search(t) else b"".join(map(known, _WORD.findall(t))) for t in texts]
+        return [ids for _, chunk in self.chunks(pa.array(texts, pa.string())) for ids in chunk]
+
+    def chunks(self, texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+        """(first row, ids of each text) for runs of about ``CHUNK_BYTES``; null reads as empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        bounds, row = _bounds(texts), 0
+        while row < len(texts):
+            stop = int(np.searchsorted(bounds, bounds[row] + CHUNK_BYTES, "right")) - 1
+            stop = min(max(stop, row + 1), len(texts))
+            chunk = texts.slice(row, stop - row)
+            whole = pc.match_substring_regex(chunk, self.whole).to_numpy(zero_copy_only=False)
+            if whole.any():
+                rest = iter(self._by_words(chunk.filter(pa.array(~whole))))
+                yield row, [self._encode(t.as_py()) if w else next(rest) for t, w in zip(chunk, whole)]
+            else:
+                yield row, self._by_words(chunk)
+            row = stop
+
+    def _by_words(self, texts: pa.LargeStringArray) -> list[bytes]:
+        """Ids of texts from those of their distinct words."""
+        bounds = _bounds(texts)
+        if bounds[0] == bounds[-1]:
+            return [b""] * len(texts)
+        data = texts.buffers()[2].slice(bounds[0], bounds[-1] - bounds[0])
+        bounds = bounds - bounds[0]
+        starts = word_starts(np.frombuffer(data, np.uint8), bounds)
+        words = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, bounds[-1])), data).dictionary_encode()
+        known = list(map(self.known.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)))
+        ids = pa.array(known, pa.large_binary()).take(words.indices)
+        at = _bounds(ids)[np.searchsorted(starts, bounds)].tolist()
+        ids = memoryview(ids.buffers()[2])
+        return [bytes(ids[a:b]) for a, b in zip(at, at[1:])]
 
 
 def cut(ids: bytes, width: int = WIDTH) -> list[tuple[int, bytes]]:
@@ -156,10 +229,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, separator:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.load(tokenizer_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), ENCODED_TEXTS):
+            for at, encoded in encoder.chunks(batch.column(1)):
                 owner, piece, start, length, crc, kept = [], [], [], [], [], []
-                for row, ids in enumerate(encoder.encode(texts[at:at + ENCODED_TEXTS]), at):
+                for row, ids in enumerate(encoded, at):
                     for k, (s, part) in enumerate(cut(ids + end, width)):
                         owner.append(row)
                         piece.append(k)

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from eventmarts.llm import packing as P
 
@@ -63,6 +64,36 @@ def test_words_after_line_ends(tokenizer):
                 tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_word_is_looked_up_once_however_often_it_occurs():
+    class Counted(P._Words):
+        lookups = 0
+
+        def __getitem__(self, word):
+            self.lookups += 1
+            return super().__getitem__(word)
+
+    encoder = P.Encoder(PATH)
+    encoder.known = Counted(encoder.tokenizer.model.tokenize, encoder._encode)
+    encoder.encode(["some words, some more words.\nWords again***\n" * 50] * 20)  # 11,000 words
+    assert 0 < encoder.known.lookups <= 12
+
+
+@pytest.mark.parametrize("limit", [1, 40, 1 << 20])
+def test_chunks_of_a_column(tokenizer, monkeypatch, limit):
+    """Texts end where they end, whatever lies beside them in the column's bytes."""
+    monkeypatch.setattr(P, "CHUNK_BYTES", limit)
+    texts = ["left out", "ends\n", "Word", None, "", "\n\n", "it", "'s x1y2", "Straße,Ö×é;7", "\ttab",
+             " ", "a<|endoftext|>b endoftext|>", "日本.ab12", "\n \nno  end \n", "\n", "left out"]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind).slice(1, len(texts) - 2)
+        got = [ids for row, chunk in P.Encoder.load(PATH).chunks(column) for ids in enumerate(chunk, row)]
+        assert [row for row, _ in got] == list(range(len(column)))
+        for row, ids in got:
+            assert np.frombuffer(ids, "<u4").tolist() == \
+                tokenizer.encode(column[row].as_py() or "", add_special_tokens=False).ids, row
+    assert list(P.Encoder.load(PATH).chunks(pa.array([], pa.string()))) == []
+
+
 def test_cut():
     ids = lambda n: np.arange(n, dtype="<u4").tobytes()
     sizes = lambda n: [(s, len(b) // 4) for s, b in P.cut(ids(n), 10)]
